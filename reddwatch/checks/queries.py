@@ -51,7 +51,8 @@ DETECTION_OUT = [
 # Shared steps.
 
 def _current(spark: SparkSession, sf: str) -> DataFrame:
-    return det.flag_sites(det.current_detections(t.detections(spark, sf)), t.GROUP_A)
+    latest = det.drop_same_year_juveniles(t.latest_detections(spark, sf))
+    return det.flag_sites(latest, t.GROUP_A)
 
 
 def _all_years(spark: SparkSession, sf: str) -> DataFrame:
@@ -450,7 +451,8 @@ def _ingested(spark: SparkSession, sf: str) -> batch.Store:
         )
     )
     ingest(
-        spark, landed, lambda rows: t.observed(rows, t.marks(spark, sf)), store,
+        spark, landed, lambda rows: t.with_marks(t.observations(rows), t.marks(spark, sf)),
+        store,
         _groups(spark), t.downstream(spark, sf), t.sites(spark, sf),
     )
     return store

@@ -8,7 +8,11 @@ from pyspark.sql import types as T
 
 from reddwatch import schemas
 from reddwatch.functions.text import first_word
-from reddwatch.operators.detections import add_calendar
+from reddwatch.operators.detections import (
+    add_observation_calendar,
+    add_release_calendar,
+    latest_season,
+)
 from reddwatch.operators.joins import lookup_join
 from reddwatch.params import SiteGroup
 from reddwatch.session import workspace
@@ -55,9 +59,9 @@ def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observed(orders: DataFrame, mark_table: DataFrame) -> DataFrame:
-    """Orders as detections of the customers' tags."""
-    observations = orders.select(
+def observations(orders: DataFrame) -> DataFrame:
+    """Orders as observations of the customers' tags."""
+    return add_observation_calendar(orders.select(
         F.col("o_custkey").alias("pit_id"),
         F.lit(None).cast("string").alias("rear_type"),
         F.when(F.col("o_orderstatus") == "F", "Adult").otherwise("Juvenile")
@@ -65,14 +69,25 @@ def observed(orders: DataFrame, mark_table: DataFrame) -> DataFrame:
         first_word("o_orderpriority").alias("observation_sitecode"),
         F.col("o_orderdate").alias("observation_datetime"),
         *[c for c in orders.columns if c.startswith("_source")],
-    )
-    return add_calendar(
-        lookup_join(observations, mark_table, [("pit_id", "marked_id")], how="inner")
+    ))
+
+
+def with_marks(seen: DataFrame, mark_table: DataFrame) -> DataFrame:
+    """Observations with the release attributes of their tag."""
+    return add_release_calendar(
+        lookup_join(seen, mark_table, [("pit_id", "marked_id")], how="inner")
     )
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observed(table(spark, sf_dir, "orders"), marks(spark, sf_dir))
+    return with_marks(observations(table(spark, sf_dir, "orders")), marks(spark, sf_dir))
+
+
+def latest_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest season, picked before the release attributes are joined."""
+    return with_marks(
+        latest_season(observations(table(spark, sf_dir, "orders"))), marks(spark, sf_dir)
+    )
 
 
 def downstream(spark: SparkSession, sf_dir: str) -> DataFrame:

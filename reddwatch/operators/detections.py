@@ -14,19 +14,20 @@ from reddwatch.operators.joins import lookup_join
 from reddwatch.params import SiteGroup
 
 
-def add_calendar(observations: DataFrame) -> DataFrame:
-    """Month, year, spawn year, release year and years at large from the two dates."""
-    return (
-        observations
-        .withColumns({
-            "observation_month": F.month("observation_datetime"),
-            "observation_year": F.year("observation_datetime"),
-            "release_year": F.year("release_datetime"),
-        })
-        .withColumns({
-            "spawn_year": spawn_year(F.col("observation_month"), F.col("observation_year")),
-            "yrs_at_large": F.col("observation_year") - F.col("release_year"),
-        })
+def add_observation_calendar(observations: DataFrame) -> DataFrame:
+    """Month, year and spawn year of the observation."""
+    return observations.withColumns({
+        "observation_month": F.month("observation_datetime"),
+        "observation_year": F.year("observation_datetime"),
+    }).withColumn(
+        "spawn_year", spawn_year(F.col("observation_month"), F.col("observation_year"))
+    )
+
+
+def add_release_calendar(observations: DataFrame) -> DataFrame:
+    """Release year and calendar years from release to observation."""
+    return observations.withColumn("release_year", F.year("release_datetime")).withColumn(
+        "yrs_at_large", F.col("observation_year") - F.col("release_year")
     )
 
 
@@ -46,7 +47,8 @@ def conform(report: DataFrame) -> DataFrame:
         parse_number(F.col(header["length"])).alias("length_mm"),
         *extra,
     )
-    return add_calendar(parsed).select(*schemas.DETECTIONS.fieldNames(), *extra)
+    dated = add_release_calendar(add_observation_calendar(parsed))
+    return dated.select(*schemas.DETECTIONS.fieldNames(), *extra)
 
 
 def reject_counts(report: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reddwatch.operators.joins import split_join
+from reddwatch.operators.joins import lookup_join
 
 
 def distinct_tags(report: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def juveniles_not_downstream(flagged: DataFrame, downstream: DataFrame) -> DataF
 
 def exclude_tags(detections: DataFrame, excluded: DataFrame) -> DataFrame:
     """Detections whose tag is not in the set; a tag may hold any share of the rows."""
-    return split_join(detections, excluded, [("pit_id", "pit_id")], "left_anti")
+    return lookup_join(detections, excluded, [("pit_id", "pit_id")], "left_anti")
 
 
 def drop_excluded_individuals(tags: DataFrame, downstream: DataFrame) -> DataFrame:

@@ -21,11 +21,14 @@ def row_count(table: DataFrame) -> int:
     return table.count()
 
 
-def require_unique(table: DataFrame, key: str) -> None:
-    """Reject a dimension in which a key repeats, which would multiply the rows joined to it."""
-    most = table.groupBy(key).count().agg(F.max("count")).first()[0]
+def unique_row_count(table: DataFrame, key: str) -> int:
+    """Rows of a dimension; a repeated key, which would multiply the rows joined, is an error."""
+    rows, most = (
+        table.groupBy(key).count().agg(F.sum("count"), F.max("count")).first()
+    )
     if most is not None and most > 1:
         raise ValueError(f"{key} is not unique")
+    return rows or 0
 
 
 def lookup_join(
@@ -34,14 +37,17 @@ def lookup_join(
     on: KeyPairs,
     how: str = "left",
     max_broadcast_rows: int = BROADCAST_ROWS,
+    right_rows: int | None = None,
     unique: bool = True,
 ) -> DataFrame:
     """Join on null-safe key pairs and drop the right key columns.
 
-    The right side is broadcast if its counted rows are within the bound; beyond it the join
-    is `split_join`.
+    The right side is broadcast if its rows, counted here unless given, are within the bound;
+    beyond it the join is `split_join`.
     """
-    if row_count(right) <= max_broadcast_rows:
+    if right_rows is None:
+        right_rows = row_count(right)
+    if right_rows <= max_broadcast_rows:
         return _joined(left, F.broadcast(_with_key_names(right, on)), on, how)
     return split_join(left, right, on, how, unique)
 

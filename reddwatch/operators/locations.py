@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reddwatch.functions.numeric import floor_bin
-from reddwatch.operators.joins import BROADCAST_ROWS, lookup_join, require_unique
+from reddwatch.operators.joins import BROADCAST_ROWS, lookup_join, unique_row_count
 
 
 def locations(
@@ -21,13 +21,13 @@ def locations(
 
     Tags under the juvenile rule stay in. Site codes must be unique.
     """
-    require_unique(sites, "site_code")
     attributes = [c for c in sites.columns if c != "site_code"]
     return lookup_join(
         tags.select("pit_id", "release_sitecode", "release_lifestage", *keys),
         sites,
         [("release_sitecode", "site_code")],
         max_broadcast_rows=max_broadcast_rows,
+        right_rows=unique_row_count(sites, "site_code"),
     ).select("pit_id", "release_sitecode", "release_lifestage", *attributes, *keys)
 
 

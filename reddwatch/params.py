@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from reddwatch import schemas
@@ -31,9 +32,16 @@ class SiteGroup:
 
 
 def site_group_table(spark: SparkSession, groups: Iterable[SiteGroup]) -> DataFrame:
-    """The groups as a table, one row per group and site."""
-    rows = [row for group in groups for row in group.rows()]
-    return spark.createDataFrame(rows, schemas.SITE_GROUPS)
+    """The groups as a table, one row per group and site.
+
+    Arrow data becomes a local relation, so counting and joining it needs no Python tasks.
+    """
+    names = schemas.SITE_GROUPS.fieldNames()
+    rows = [dict(zip(names, row)) for group in groups for row in group.rows()]
+    types = pa.schema(
+        [(n, pa.bool_() if n.startswith("is_") else pa.string()) for n in names]
+    )
+    return spark.createDataFrame(pa.Table.from_pylist(rows, types), schemas.SITE_GROUPS)
 
 
 # Fixed values.

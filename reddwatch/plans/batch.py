@@ -116,9 +116,10 @@ def run_batch(
 ) -> None:
     """Reports to saved tables for all groups and seasons, and the flow series if given."""
     require_zone(spark)
-    # CSV is parsed once; every later step reads the Parquet copy.
+    # CSV is parsed once; every later step reads the Parquet copy. A report file is one task
+    # and spans few seasons, so its rows are written without a shuffle.
     detections = tables.save_seasons(
-        conform(read_report(spark, *report_paths)), store.path("detections")
+        conform(read_report(spark, *report_paths)), store.path("detections"), rebalance=False
     )
     downstream = tables.save_table(
         distinct_tags(read_downstream(spark, *downstream_paths)), store.path("downstream")

@@ -15,17 +15,18 @@ def save_seasons(
     path: str,
     seasons: Iterable[int] = (),
     partition: Sequence[str] = (SEASON,),
+    rebalance: bool = True,
 ) -> DataFrame:
     """Replace the seasons a table holds, leave other stored seasons, and read the result back.
 
     `seasons` names those the table was computed for: one that came out without rows is emptied,
-    which a dynamic overwrite alone would not do. The rebalance hint keeps the files of a
-    season together and splits a season too large for one task.
+    which a dynamic overwrite alone would not do. Rebalancing gathers a season into few files
+    and splits one too large for a task; without it every task writes the seasons it holds.
     """
     written = Observation()
+    spread = table.hint("rebalance", *partition) if rebalance else table
     (
-        table.hint("rebalance", *partition)
-        .observe(written, F.collect_set(SEASON).alias("seasons"))
+        spread.observe(written, F.collect_set(SEASON).alias("seasons"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition)
