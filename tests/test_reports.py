@@ -1,0 +1,114 @@
+"""Report files: encodings, column order, missing values, rejects."""
+
+import os
+
+import golden as g
+import pytest
+
+from reddwatch import schemas
+from reddwatch.operators.detections import conform, reject_counts
+from reddwatch.operators.exclusion import distinct_tags
+from reddwatch.operators.watch import malformed, watch_list_hits
+from reddwatch.sources import dimensions, reports
+
+
+@pytest.fixture(scope="module")
+def expected(spark):
+    return g.rows_of(conform(g.report(spark)))
+
+
+@pytest.mark.parametrize("mark", [True, False])
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_formats_read_equal(spark, tmp_path, expected, mark, newline):
+    g.write_report(f"{tmp_path}/r.csv", mark=mark, newline=newline)
+    assert g.rows_of(conform(reports.read_report(spark, str(tmp_path)))) == expected
+
+
+def test_columns_are_matched_by_name(spark, tmp_path, expected):
+    order = ["Extra", *reversed(g.HEADER)]
+    g.write_report(f"{tmp_path}/r.csv", columns=order)
+    assert g.rows_of(conform(reports.read_report(spark, str(tmp_path)))) == expected
+
+
+def test_each_path_has_its_own_column_order(spark, tmp_path, expected):
+    g.write_report(f"{tmp_path}/a/r.csv", g.ROWS[:6])
+    g.write_report(f"{tmp_path}/b/r.csv", g.ROWS[6:], columns=list(reversed(g.HEADER)))
+    both = reports.read_report(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    assert g.rows_of(conform(both)) == expected
+
+
+def test_mixed_column_order_in_one_path_fails(spark, tmp_path):
+    g.write_report(f"{tmp_path}/a.csv", g.ROWS[:6])
+    g.write_report(f"{tmp_path}/b.csv", g.ROWS[6:], columns=list(reversed(g.HEADER)))
+    with pytest.raises(Exception, match="header"):
+        conform(reports.read_report(spark, str(tmp_path))).collect()
+
+
+def test_missing_column_fails(spark, tmp_path):
+    g.write_report(f"{tmp_path}/r.csv", columns=[h for h in g.HEADER if h != "Obs Time"])
+    with pytest.raises(ValueError, match="Obs Time"):
+        reports.read_report(spark, str(tmp_path))
+
+
+def test_rows_split_over_files_read_equal(spark, tmp_path, expected):
+    for i, row in enumerate(g.ROWS):
+        g.write_report(f"{tmp_path}/{i}.csv", [row], mark=i % 2 == 0)
+    assert g.rows_of(conform(reports.read_report(spark, str(tmp_path)))) == expected
+
+
+def test_missing_and_unreadable_values(spark, tmp_path):
+    base = list(g.ROWS[0])
+    rows = []
+    for length in ("NaN", "NA", "abc", "", " 610 "):
+        rows.append([*base[:-1], length])
+    rows.append([*base[:4], "soon", base[5], "later", "1"])
+    g.write_report(f"{tmp_path}/r.csv", rows)
+    report = reports.read_report(spark, str(tmp_path))
+    lengths = [r.length_mm for r in conform(report).collect()]
+    assert sorted(lengths, key=str) == [1.0, 610.0, None, None, None, None]
+    assert tuple(reject_counts(report).first()) == (6, 1, 1, 1)
+
+
+def test_schema_of_conformed_report(spark):
+    made = conform(g.report(spark)).schema
+    assert [(f.name, f.dataType) for f in made] == [
+        (f.name, f.dataType) for f in schemas.DETECTIONS
+    ]
+
+
+def test_downstream_keeps_the_tag_only(spark, tmp_path):
+    g.write_report(
+        f"{tmp_path}/d.csv", [["x", g.tag(3)], ["y", g.tag(3)], ["z", g.tag(4)]],
+        header=["Site", "Tag"],
+    )
+    tags = distinct_tags(reports.read_downstream(spark, str(tmp_path)))
+    assert g.rows_of(tags) == [(g.tag(3),), (g.tag(4),)]
+
+
+def test_watch_list(spark, tmp_path):
+    with open(os.path.join(tmp_path, "list.txt"), "w") as file:
+        file.write(f"{g.tag(1)}\n \n{g.tag(7)}  \n3DD.XYZ\n{g.tag(99)}\n")
+    listed = dimensions.read_watch_list(spark, str(tmp_path))
+    assert g.rows_of(malformed(listed)) == [("3DD.XYZ",)]
+    hits = watch_list_hits(conform(g.report(spark)), listed)
+    assert g.rows_of(hits, "pit_id") == [(g.tag(1),), (g.tag(1),), (g.tag(7),)]
+
+
+def test_sites_from_csv_and_parquet(spark, tmp_path):
+    sites = g.sites(spark)
+    sites.write.options(header=True).csv(f"{tmp_path}/s.csv")
+    sites.write.parquet(f"{tmp_path}/s")
+    assert g.rows_of(dimensions.read_sites(spark, f"{tmp_path}/s.csv")) == sorted(g.SITES)
+    assert g.rows_of(dimensions.read_sites(spark, f"{tmp_path}/s")) == sorted(g.SITES)
+    assert g.rows_of(dimensions.sites_of(sites, ["YANKFK"]), "site_code") == [("YANKFK",)]
+
+
+def test_site_groups_round_trip(spark, tmp_path):
+    groups = g.site_groups(spark)
+    groups.write.parquet(f"{tmp_path}/g")
+    found = g.rows_of(dimensions.read_site_groups(spark, f"{tmp_path}/g"))
+    assert found == [
+        ("G1", "CEY", False, False, False), ("G1", "EIGH3C", False, False, False),
+        ("G1", "YANKFK", True, False, True), ("G1", "YANKWF", False, False, False),
+        ("G1", "YFK", True, True, False),
+    ]
