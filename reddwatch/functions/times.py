@@ -24,11 +24,16 @@ def spawn_year(month: Column, year: Column) -> Column:
     return F.when(month > SPAWN_YEAR_LAST_MONTH, year + 1).otherwise(year)
 
 
-def elapsed_days(start: Column | str, end: Column | str) -> Column:
-    """Physical time between two instants in days, so a clock change counts as 23 or 25 hours."""
+def elapsed_days(start: Column | str, end: Column | str, zoned: bool = True) -> Column:
+    """Physical time between two instants in days, so a clock change counts as 23 or 25 hours.
+
+    Times without a zone (`zoned=False`) have no clock change and are subtracted as they stand.
+    """
     start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(86400e6)
+    if zoned:
+        return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(86400e6)
+    seconds = (end - start).cast("interval second").cast("decimal(20, 6)")
+    return seconds.cast("double") / 86400
 
 
 def day(value: dt.date | Column | None) -> Column:

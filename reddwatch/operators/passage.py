@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reddwatch import schemas
 from reddwatch.functions.times import elapsed_days
@@ -57,10 +58,11 @@ def individuals(
     tags: DataFrame, downstream: DataFrame, keys: Sequence[str] = SEASON
 ) -> DataFrame:
     """Tags kept by the juvenile rule, with time between first passage and last entry."""
+    zoned = not isinstance(tags.schema["yfk_first"].dataType, T.TimestampNTZType)
     return (
         drop_excluded_individuals(tags, downstream)
         .withColumns({
-            "yfk_diff": elapsed_days("yfk_first", "yfk_entry_final"),
+            "yfk_diff": elapsed_days("yfk_first", "yfk_entry_final", zoned),
             "length_mm": F.when(
                 F.col("length_count") > 0, F.col("length_sum") / F.col("length_count")
             ),

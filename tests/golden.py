@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import csv
 import datetime as dt
 import io
@@ -104,3 +105,13 @@ def rows_of(frame, *columns):
     """Rows as tuples in a stable order."""
     picked = frame.select(*columns) if columns else frame
     return sorted((tuple(r) for r in picked.collect()), key=str)
+
+
+def plan_of(frame, run=False):
+    """The formatted plan; after `run` it is the one adaptive execution ended with."""
+    if run:
+        frame.collect()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain("formatted")
+    return text.getvalue()

@@ -56,6 +56,16 @@ def test_elapsed_days_counts_physical_time(spark):
     assert spring == pytest.approx(47 / 24)
 
 
+def test_elapsed_days_without_a_zone(spark):
+    days = times.elapsed_days("a", "b", zoned=False)
+    plain = value(
+        spark, days,
+        a=("2025-03-08 12:00:00", "timestamp_ntz"),
+        b=("2025-03-10 18:00:00.000001", "timestamp_ntz"),
+    )
+    assert plain == pytest.approx(2.25)
+
+
 @pytest.mark.parametrize("given, expected", [
     ("09/15/2024", dt.date(2024, 9, 15)), ("9/5/2024", dt.date(2024, 9, 5)),
     ("13/45/2024", None), ("2024-09-15", None), (None, None),
