@@ -10,7 +10,7 @@ from reddwatch.functions.numeric import parse_number
 from reddwatch.functions.predicates import is_member
 from reddwatch.functions.text import first_word
 from reddwatch.functions.times import parse_month_day_year, parse_obs_time, spawn_year
-from reddwatch.operators.joins import lookup_join
+from reddwatch.operators.joins import lookup_join, unique_row_count
 from reddwatch.params import SiteGroup
 
 
@@ -103,18 +103,19 @@ def flag_sites(detections: DataFrame, group: SiteGroup) -> DataFrame:
 
 def flag_site_groups(detections: DataFrame, site_groups: DataFrame) -> DataFrame:
     """The same flags for every group a detection's site belongs to, one row per group."""
+    group_rows = unique_row_count(site_groups, "site_group", "site_code")
     watched = site_groups.select("site_group", "site_code", "is_presence", "is_entry")
-    home = (
-        site_groups.filter("is_home_release")
-        .select(F.col("site_group").alias("_group"), F.col("site_code").alias("_home"),
-                F.lit(True).alias("is_home_release"))
-        .distinct()
+    home = site_groups.filter("is_home_release").select(
+        F.col("site_group").alias("_group"), F.col("site_code").alias("_home"),
+        F.lit(True).alias("is_home_release"),
     )
     in_groups = lookup_join(
-        detections, watched, [("observation_sitecode", "site_code")], how="inner", unique=False
+        detections, watched, [("observation_sitecode", "site_code")], how="inner",
+        right_rows=group_rows, unique=False,
     )
     flagged = lookup_join(
-        in_groups, home, [("site_group", "_group"), ("release_sitecode", "_home")]
+        in_groups, home, [("site_group", "_group"), ("release_sitecode", "_home")],
+        right_rows=group_rows,
     )
     return flagged.withColumn(
         "is_home_release", F.coalesce("is_home_release", F.lit(False))

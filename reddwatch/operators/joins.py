@@ -21,13 +21,13 @@ def row_count(table: DataFrame) -> int:
     return table.count()
 
 
-def unique_row_count(table: DataFrame, key: str) -> int:
+def unique_row_count(table: DataFrame, *key: str) -> int:
     """Rows of a dimension; a repeated key, which would multiply the rows joined, is an error."""
     rows, most = (
-        table.groupBy(key).count().agg(F.sum("count"), F.max("count")).first()
+        table.groupBy(*key).count().agg(F.sum("count"), F.max("count")).first()
     )
     if most is not None and most > 1:
-        raise ValueError(f"{key} is not unique")
+        raise ValueError(f"{', '.join(key)} is not unique")
     return rows or 0
 
 

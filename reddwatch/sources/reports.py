@@ -9,62 +9,95 @@ from pyspark.sql import functions as F
 
 from reddwatch import schemas
 
-# The default line splitter reads UTF-16 as garbage without an error, so a file is parsed whole:
-# one task per file, and parallelism comes from landing many files.
+ENCODING = "UTF-16LE"
 # With enforceSchema off, a file whose header differs from the first one raises instead of
-# having its columns swapped by position.
+# having its columns swapped by position. A quote inside a quoted field is doubled.
 CSV_OPTIONS = {
     "header": True,
-    "encoding": "UTF-16LE",
-    "multiLine": True,
+    "encoding": ENCODING,
+    "escape": '"',
     "nullValue": "NA",
     "ignoreLeadingWhiteSpace": True,
     "ignoreTrailingWhiteSpace": True,
     "enforceSchema": False,
 }
+# The default line splitter reads UTF-16 as garbage without an error. Parsing a file whole takes
+# line breaks inside quotes but makes the file one task; a given line end can be split.
+WHOLE_FILES = {"multiLine": True}
+SPLIT_LINES = {"lineSep": "\n"}
+# Files above this many bytes are split if they can be.
+SPLIT_BYTES = 256 * 1024 * 1024
 
 
-def read_report(spark: SparkSession, *paths: str) -> DataFrame:
+def read_report(spark: SparkSession, *paths: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All-text report rows. Each path has its own column order; columns are matched by name."""
-    return reduce(
-        lambda a, b: a.unionByName(b), [_select_needed(_read(spark, path)) for path in paths]
-    )
+    return _union([
+        _select_needed(_read(spark, path, _line_options(spark, path, split_bytes)))
+        for path in paths
+    ])
 
 
-def read_downstream(spark: SparkSession, *paths: str) -> DataFrame:
+def read_downstream(
+    spark: SparkSession, *paths: str, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
     """The tag column of the downstream report."""
-    return reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            _select_needed(_read(spark, path), ["tag"]).withColumnRenamed(
-                schemas.REPORT_HEADERS["tag"], "pit_id"
-            )
-            for path in paths
-        ],
-    )
+    tag = schemas.REPORT_HEADERS["tag"]
+    return _union([
+        _select_needed(
+            _read(spark, path, _line_options(spark, path, split_bytes)), ["tag"]
+        ).withColumnRenamed(tag, "pit_id")
+        for path in paths
+    ])
 
 
 def stream_report(
-    spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    landing: str,
+    max_files_per_trigger: int | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Newly landed report rows with the file they came from and when it was written.
 
-    The first landed file gives the column order; a later file with another header fails.
+    The first landed file gives the column order; a later file with another header fails. Pass
+    `line_breaks=False` when no field holds a line break, so that large files are split.
     """
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(_read(spark, landing).schema)
+    lines = WHOLE_FILES if line_breaks else SPLIT_LINES
+    reader = spark.readStream.options(**CSV_OPTIONS, **lines).schema(
+        _read(spark, landing, lines).schema
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(landing)
-    needed = _needed(rows, list(schemas.REPORT_HEADERS))
     return rows.select(
-        *needed,
+        *_needed(rows, list(schemas.REPORT_HEADERS)),
         F.col("_metadata.file_modification_time").alias("_source_time"),
         F.col("_metadata.file_path").alias("_source_file"),
     )
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).csv(path)
+def has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether some line ends inside a quoted field, so that lines are not whole rows."""
+    lines = spark.read.options(encoding=ENCODING, **SPLIT_LINES).text(path)
+    line = F.decode(F.col("value").cast("binary"), ENCODING)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
+
+
+def _line_options(spark: SparkSession, path: str, split_bytes: int) -> dict[str, object]:
+    """Parse files whole unless one is large and its lines are whole rows."""
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length"))
+    largest = sizes.first()[0] or 0
+    if largest > split_bytes and not has_open_quotes(spark, path):
+        return SPLIT_LINES
+    return WHOLE_FILES
+
+
+def _read(spark: SparkSession, path: str, lines: dict[str, object]) -> DataFrame:
+    return spark.read.options(**CSV_OPTIONS, **lines).csv(path)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _needed(rows: DataFrame, names: list[str]) -> list[str]:

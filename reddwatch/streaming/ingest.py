@@ -37,6 +37,15 @@ def newest_per_key(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_keys_of(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored rows of the detections in a batch, so that a small batch reads little of a season."""
+    keys = batch.select(*[F.col(c).alias(f"_batch_{c}") for c in schemas.DETECTION_KEY])
+    same = F.lit(True)
+    for column in schemas.DETECTION_KEY:
+        same = same & F.col(column).eqNullSafe(F.col(f"_batch_{column}"))
+    return stored.join(keys, same, "left_semi")
+
+
 def changed_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of a batch that are new or differ from the stored state of their detection."""
     compared = [*schemas.DETECTION_KEY, *schemas.DETECTION_PAYLOAD]
@@ -63,7 +72,7 @@ def append_batch(detections: DataFrame, batch_id: int, store: Store) -> list[int
     earlier = tables.in_seasons(
         log.filter(F.col("ingest_batch") < batch_id), tables.season_list(detections)
     )
-    fresh = changed_rows(arrived, newest_per_key(earlier))
+    fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
     written = tables.save_seasons(fresh, store.path("log"), partition=LOG_PARTITION)
     return tables.season_list(written.filter(F.col("ingest_batch") == batch_id))
 
@@ -120,12 +129,13 @@ def ingest_reports(
     downstream: DataFrame,
     sites: DataFrame,
     max_files_per_trigger: int | None = None,
+    line_breaks: bool = True,
 ) -> None:
     """Take in newly landed detection reports."""
     require_zone(spark)
     ingest(
-        spark, stream_report(spark, landing, max_files_per_trigger), conform, store,
-        site_groups, downstream, sites, count_rejects=True,
+        spark, stream_report(spark, landing, max_files_per_trigger, line_breaks), conform,
+        store, site_groups, downstream, sites, count_rejects=True,
     )
 
 

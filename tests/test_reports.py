@@ -4,6 +4,7 @@ import os
 
 import golden as g
 import pytest
+from pyspark.sql import functions as F
 
 from reddwatch import schemas
 from reddwatch.operators.detections import conform, reject_counts
@@ -37,6 +38,35 @@ def test_each_path_has_its_own_column_order(spark, tmp_path, expected):
     assert g.rows_of(conform(both)) == expected
 
 
+def many_rows(site):
+    return [
+        [g.tag(i), "W é", g.L, "Adult", "09/15/2024", site, "04/10/2025 11:30:00 PM", str(i)]
+        for i in range(3000)
+    ]
+
+
+@pytest.mark.parametrize("mark", [True, False])
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_large_file_is_split_without_losing_rows(spark, tmp_path, mark, newline):
+    rows = many_rows('YFK - "Lower", array')
+    g.write_report(f"{tmp_path}/r.csv", rows, mark=mark, newline=newline)
+    small_splits = spark.newSession()
+    small_splits.conf.set("spark.sql.files.maxPartitionBytes", "4093")  # odd, cuts characters
+    small_splits.conf.set("spark.sql.files.openCostInBytes", "1")
+    whole = reports.read_report(spark, str(tmp_path))
+    split = reports.read_report(small_splits, str(tmp_path), split_bytes=1000)
+    assert split.select(F.spark_partition_id()).distinct().count() > 100
+    assert g.rows_of(split) == g.rows_of(whole) == sorted(map(tuple, rows), key=str)
+
+
+def test_large_file_with_line_breaks_in_fields_is_read_whole(spark, tmp_path):
+    rows = many_rows("YFK - Lower\narray")
+    g.write_report(f"{tmp_path}/r.csv", rows)
+    assert reports.has_open_quotes(spark, str(tmp_path))
+    read = reports.read_report(spark, str(tmp_path), split_bytes=1000)
+    assert g.rows_of(read) == sorted(map(tuple, rows), key=str)
+
+
 def test_mixed_column_order_in_one_path_fails(spark, tmp_path):
     g.write_report(f"{tmp_path}/a.csv", g.ROWS[:6])
     g.write_report(f"{tmp_path}/b.csv", g.ROWS[6:], columns=list(reversed(g.HEADER)))
