@@ -11,7 +11,8 @@ det0 AS (
          make_date(cast(1995 + c_custkey % 7 AS int), cast(1 + c_custkey % 12 AS int), 1)
            AS release_datetime,
          split_part(o_orderpriority, ' ', 1) AS observation_sitecode,
-         o_orderdate AS observation_datetime, c_acctbal AS length_mm,
+         o_orderdate AS observation_datetime,
+         cast(floor(c_acctbal) AS double) AS length_mm,
          cast(month(o_orderdate) AS bigint) AS observation_month,
          cast(year(o_orderdate) AS bigint) AS observation_year,
          cast(CASE WHEN month(o_orderdate) > 6 THEN year(o_orderdate) + 1
@@ -364,3 +365,6 @@ ORACLE: dict[str, str] = {
     "incremental_detections": f"""
       WITH {_DETECTIONS},{_LOGGED} SELECT {_OUT} FROM logged""",
 }
+
+# A window served from a saved table gives the rows of the same window over the source.
+ORACLE["saved_series_window"] = ORACLE["discharge_series"]

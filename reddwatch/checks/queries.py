@@ -429,6 +429,13 @@ def saved_flow(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def saved_series_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A date window served from a saved table."""
+    path = _store(spark, "series").path("flow")
+    flow = saved.save_table(_flow_line(spark, sf).select(*schemas.FLOW_COLUMNS), path)
+    return t.as_longs(serving.discharge_series(flow, *WINDOW))
+
+
 def season_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """All seasons saved, then the latest one saved again: the others stay."""
     path = _store(spark, "overwrite").path("daily")
@@ -520,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "saved_daily": saved_daily,
     "saved_locations": saved_locations,
     "saved_flow": saved_flow,
+    "saved_series_window": saved_series_window,
     "season_overwrite": season_overwrite,
     "incremental_daily": incremental_daily,
     "incremental_detections": incremental_detections,

@@ -55,7 +55,8 @@ def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("marked_id"),
         F.col("c_nationkey").cast("string").alias("release_sitecode"),
         release_date(F.col("c_custkey")).alias("release_datetime"),
-        F.col("c_acctbal").alias("length_mm"),
+        # Whole millimetres, so that sums are exact in any order.
+        F.floor("c_acctbal").cast("double").alias("length_mm"),
     )
 
 

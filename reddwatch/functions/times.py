@@ -43,7 +43,10 @@ def day(value: dt.date | Column | None) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def within(date: Column | str, one: dt.date, other: dt.date) -> Column:
-    """Closed date window; the two bounds may come in either order."""
+def within(
+    date: Column | str, one: dt.date | Column | None, other: dt.date | Column | None
+) -> Column:
+    """Closed date window; the two bounds may come in either order, None being today."""
     date = F.col(date) if isinstance(date, str) else date
-    return date.between(F.lit(min(one, other)), F.lit(max(one, other)))
+    bounds = day(one), day(other)
+    return date.between(F.least(*bounds), F.greatest(*bounds))

@@ -33,6 +33,6 @@ def daily_flow(
     )
 
 
-def flow_range(flow: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Rows in a closed date range, with the constant that draws them as one line."""
+def flow_range(flow: DataFrame, first: dt.date, last: dt.date | None) -> DataFrame:
+    """Rows up to `last` or today, with the constant that draws them as one line."""
     return flow.filter(within("date", first, last)).withColumn("group", F.lit(1))

@@ -60,9 +60,9 @@ def season_tables(
 
 
 def flow_table(
-    readings: DataFrame, as_of: dt.date, first: dt.date = SERIES_START
+    readings: DataFrame, as_of: dt.date | None = None, first: dt.date = SERIES_START
 ) -> DataFrame:
-    """The daily series of one gauge from `first` to `as_of`."""
+    """The daily series of one gauge from `first` to `as_of` or today."""
     return flow_range(daily_flow(readings), first, as_of).select(*schemas.FLOW_COLUMNS)
 
 
@@ -128,6 +128,4 @@ def run_batch(
         detections, site_groups, downstream, sites, store, tables.season_list(detections)
     )
     if readings is not None:
-        tables.save_table(
-            flow_table(readings, as_of or dt.date.today()), store.path("flow")
-        )
+        tables.save_table(flow_table(readings, as_of), store.path("flow"))

@@ -10,13 +10,29 @@ from pyspark.sql import SparkSession
 from reddwatch.params import ZONE
 
 
-def build_session(app: str = "reddwatch", **extra: str) -> SparkSession:
-    """A session in the report's local zone, with adaptive execution on."""
+# A shuffle task should hold about this much; adaptive execution merges smaller ones.
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Shuffle partitions for the largest exchange of a job, never fewer than Spark's default."""
+    return max(200, -(-shuffle_bytes // SHUFFLE_TASK_BYTES))
+
+
+def build_session(
+    app: str = "reddwatch", shuffle_bytes: int = 0, **extra: str
+) -> SparkSession:
+    """A session in the report's local zone, with adaptive execution on.
+
+    `shuffle_bytes` is the expected size of the largest exchange. Further settings are given
+    with `__` for each dot of their name.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffle_bytes)))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reddwatch import schemas
 from reddwatch.operators.detections import conform, reject_counts
@@ -62,15 +61,13 @@ def append_batch(detections: DataFrame, batch_id: int, store: Store) -> list[int
     Only earlier batches are compared, and the batch writes folders of its own, so a batch
     replayed after a failure gives the same log.
     """
-    spark = detections.sparkSession
-    arrived = newest_per_key(
-        detections.filter(F.col("spawn_year").isNotNull()).withColumn(
-            "ingest_batch", F.lit(batch_id).cast("long")
-        )
+    timed = detections.filter(F.col("spawn_year").isNotNull()).withColumn(
+        "ingest_batch", F.lit(batch_id).cast("long")
     )
-    log = _log(spark, store, arrived.schema)
+    arrived = tables.save_table(newest_per_key(timed), store.path("arrived"))
+    log = _log(arrived, store)
     earlier = tables.in_seasons(
-        log.filter(F.col("ingest_batch") < batch_id), tables.season_list(detections)
+        log.filter(F.col("ingest_batch") < batch_id), tables.season_list(arrived)
     )
     fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
     written = tables.save_seasons(fresh, store.path("log"), partition=LOG_PARTITION)
@@ -152,10 +149,11 @@ def refresh_all(
     save_group_seasons(newest_per_key(log), site_groups, downstream, sites, store, seasons)
 
 
-def _log(spark: SparkSession, store: Store, schema: T.StructType) -> DataFrame:
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("append").partitionBy(*LOG_PARTITION).parquet(store.path("log"))
-    return tables.read_table(spark, store.path("log"), empty)
+def _log(arrived: DataFrame, store: Store) -> DataFrame:
+    """The log, made without rows if it is not there yet."""
+    path = store.path("log")
+    arrived.limit(0).write.mode("append").partitionBy(*LOG_PARTITION).parquet(path)
+    return tables.read_table(arrived.sparkSession, path, arrived)
 
 
 def _save_rejects(counts: DataFrame, batch_id: int, store: Store) -> None:

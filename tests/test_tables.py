@@ -9,7 +9,7 @@ import pytest
 
 from reddwatch import schemas, session
 from reddwatch.operators import detections as det
-from reddwatch.plans.batch import Store, run_batch, season_tables
+from reddwatch.plans.batch import Store, flow_table, run_batch, season_tables
 from reddwatch.sources import gauges, tables
 
 
@@ -120,6 +120,18 @@ def test_batch_refuses_another_zone(spark, tmp_path):
         run_batch(other, [], [], None, None, Store(str(tmp_path)))
 
 
+@pytest.mark.parametrize("size, partitions", [
+    (0, 200), (1, 200), (200 * session.SHUFFLE_TASK_BYTES + 1, 201), (10 * 2**40, 40_960),
+])
+def test_shuffle_partitions_grow_with_the_exchange(size, partitions):
+    assert session.shuffle_partitions(size) == partitions
+
+
+def test_flow_runs_to_today_by_default(spark):
+    rows = [("G", dt.date(2025, 1, 1), "00060", 1.0), ("G", dt.date(2900, 1, 1), "00060", 2.0)]
+    assert g.rows_of(flow_table(g.readings(spark, rows)), "date") == [(dt.date(2025, 1, 1),)]
+
+
 def test_workspace_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     first, second = session.workspace(spark, "x"), session.workspace(spark, "x")
