@@ -448,7 +448,7 @@ def season_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf: str) -> batch.Store:
     store = _store(spark, "ingest")
     landed = (
-        spark.readStream.schema(t.table(spark, sf, "orders").schema)
+        spark.readStream.schema(t.TABLE_SCHEMAS["orders"])
         .option("pathGlobFilter", "orders.parquet")
         .parquet(sf)
         .select(

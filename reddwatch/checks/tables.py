@@ -35,8 +35,21 @@ TEMPERATURE_EVENT = "view"
 DISCHARGE_EVENT = "click"
 
 
+# The columns used; naming them saves a job that would infer the schema from a footer.
+TABLE_SCHEMAS = {
+    "orders": "o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "lineitem": "l_suppkey bigint, l_returnflag string",
+    "part": "p_partkey bigint, p_type string, p_retailprice double",
+    "events": "user_id bigint, ts timestamp_ntz, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tag_code(key: Column) -> Column:

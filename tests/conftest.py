@@ -17,7 +17,8 @@ from reddwatch.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", spark__master="local[8]", spark__sql__shuffle__partitions="4",
+        "tests", spark__master="local[8]", spark__sql__shuffle__partitions="3",
+        spark__default__parallelism="3",
         spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")

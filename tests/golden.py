@@ -8,6 +8,8 @@ import datetime as dt
 import io
 import os
 
+from pyspark.sql import functions as F
+
 from reddwatch import schemas
 from reddwatch.params import HOME_GROUP, SiteGroup, site_group_table
 
@@ -107,6 +109,10 @@ def rows_of(frame, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=str)
 
 
+def missing_text():
+    return F.lit(None).cast("string")
+
+
 def plan_of(frame, run=False):
     """The formatted plan; after `run` it is the one adaptive execution ended with."""
     if run:

@@ -1,0 +1,121 @@
+"""Random detections through the group plan against plain Python loops."""
+
+import datetime as dt
+from collections import Counter, defaultdict
+
+import golden as g
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from reddwatch import schemas
+from reddwatch.operators import detections as det
+from reddwatch.operators import lengths
+from reddwatch.operators.daily import daily_entries
+from reddwatch.operators.passage import GROUP_SEASON, individuals
+from reddwatch.params import SiteGroup, site_group_table
+from reddwatch.plans.batch import group_season_tags
+
+GROUPS = [
+    SiteGroup("G", ("s1", "s2", "s3"), ("s1", "s2"), ("s1",), ("r1",)),
+    SiteGroup("H", ("s2", "s4"), ("s2", "s4"), ("s2", "s4"), ("r2",)),
+]
+START = dt.datetime(2024, 5, 1, 12)
+ROW = st.tuples(
+    st.sampled_from(["a", "b", "c", "d", None]),
+    st.sampled_from(["r1", "r2", None]),
+    st.sampled_from(["Adult", "Juvenile", None]),
+    st.sampled_from([dt.date(2023, 1, 1), dt.date(2024, 1, 1), dt.date(2025, 1, 1), None]),
+    st.sampled_from(["s1", "s2", "s3", "s4", "s5", None]),
+    st.one_of(st.none(), st.integers(0, 500).map(lambda days: START + dt.timedelta(days))),
+    st.sampled_from([600.0, 612.0, 650.0, None]),
+)
+COLUMNS = ("pit_id string, release_sitecode string, release_lifestage string, "
+           "release_datetime date, observation_sitecode string, "
+           "observation_datetime timestamp, length_mm double")
+
+
+def nulls_first(values):
+    return tuple((v is not None, v) for v in values)
+
+
+def brute_force(rows, downstream):
+    """Individuals as a dict from (group, spawn year, tag)."""
+    seen = defaultdict(list)
+    for tag, site, stage, released, observed, time, length in rows:
+        if time is None:
+            continue
+        years = None if released is None else time.year - released.year
+        at_large = None if years is None else years != 0
+        grown = None if stage is None else stage != "Juvenile"
+        if not (at_large or grown):
+            continue
+        season = time.year + (time.month > 6)
+        for group in GROUPS:
+            if observed in group.members:
+                seen[group.name, season, tag].append(
+                    (time, site, stage, released, observed, length, group)
+                )
+    kept = {}
+    for key, found in seen.items():
+        group = found[0][6]
+        juvenile = any(f[2] == "Juvenile" and f[1] in group.home_release for f in found)
+        if juvenile and key[2] not in downstream:
+            continue
+        earliest = min(found, key=lambda f: nulls_first(f[:4]))
+        first = min((f[0] for f in found if f[4] in group.presence), default=None)
+        final = max((f[0] for f in found if f[4] in group.entry), default=None)
+        sizes = [f[5] for f in found if f[5] is not None]
+        kept[key] = (
+            first, final, round(sum(sizes) / len(sizes), 6) if sizes else None, *earliest[1:4]
+        )
+    return kept
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(rows=st.lists(ROW, min_size=1, max_size=60),
+       downstream=st.sets(st.sampled_from(["a", "b", None])))
+def test_group_tables(spark, rows, downstream):
+    frame = spark.createDataFrame(rows, COLUMNS).withColumn("rear_type", g.missing_text())
+    detections = det.add_release_calendar(det.add_observation_calendar(frame)).select(
+        schemas.DETECTIONS.fieldNames()
+    )
+    tags = group_season_tags(detections, site_group_table(spark, GROUPS))
+    seen = spark.createDataFrame([(d,) for d in downstream], "pit_id string")
+    kept = individuals(tags, seen, GROUP_SEASON)
+    expected = brute_force(rows, downstream)
+
+    found = {
+        (r.site_group, r.spawn_year, r.pit_id): (
+            r.yfk_first, r.yfk_entry_final,
+            None if r.length_mm is None else round(r.length_mm, 6),
+            r.release_sitecode, r.release_lifestage, r.release_datetime,
+        )
+        for r in kept.collect()
+    }
+    assert found == expected
+
+    entries = Counter(
+        (key[0], key[1], row[1].date() if row[1] else None) for key, row in expected.items()
+    )
+    daily = daily_entries(kept, GROUP_SEASON).collect()
+    assert {(r.site_group, r.spawn_year, r.yfk_final_date): r.n for r in daily} == entries
+    for r in daily:
+        before = sum(
+            n for (group, season, date), n in entries.items()
+            if (group, season) == (r.site_group, r.spawn_year)
+            and (r.yfk_final_date is None or date is not None and date <= r.yfk_final_date)
+        )
+        assert r.cumulative_total == before
+
+    bins = Counter(
+        (key[0], key[1], row[2] // 25 * 25)
+        for key, row in expected.items() if row[4] == "Adult" and row[2] is not None
+    )
+    frequency = lengths.length_frequency(kept, GROUP_SEASON).collect()
+    assert {(r.site_group, r.spawn_year, r.length_bin): r.freq for r in frequency} == bins
+    for r in frequency:
+        assert r.total_sample == sum(
+            n for key, n in bins.items() if key[:2] == (r.site_group, r.spawn_year)
+        )
