@@ -37,13 +37,12 @@ def exclude_tags(detections: DataFrame, excluded: DataFrame) -> DataFrame:
 def drop_excluded_individuals(tags: DataFrame, downstream: DataFrame) -> DataFrame:
     """The same rule after the per-tag reduction, where each tag is one row.
 
-    Joining here instead of before the reduction keeps the raw detections out of the join.
+    Joining here instead of before the reduction keeps the raw detections out of the join, and
+    only home juveniles take part in it; both parts read the same exchange or saved table.
     """
-    seen = distinct_tags(downstream).select(
-        F.col("pit_id").alias("_seen"), F.lit(True).alias("_was_seen")
-    )
-    return (
-        tags.join(seen, F.col("pit_id").eqNullSafe(F.col("_seen")), "left")
-        .filter(~F.col("home_juvenile") | F.col("_was_seen").isNotNull())
-        .drop("_seen", "_was_seen")
+    seen = distinct_tags(downstream).withColumnRenamed("pit_id", "_seen")
+    others = tags.filter(~F.col("home_juvenile"))
+    juveniles = tags.filter("home_juvenile").join(
+        seen, F.col("pit_id").eqNullSafe(F.col("_seen")), "left_semi"
     )
+    return others.unionByName(juveniles)

@@ -8,7 +8,7 @@ from reddwatch.checks.queries import QUERIES
 from reddwatch.operators import detections as det
 from reddwatch.operators import lengths
 from reddwatch.operators.daily import daily_entries
-from reddwatch.operators.passage import tag_summary
+from reddwatch.operators.passage import individuals, tag_summary
 from reddwatch.plans import serving
 from reddwatch.sources import tables
 
@@ -75,6 +75,11 @@ def test_window_runs_per_season_after_the_daily_count(stored):
     assert plan.index("Window") < plan.index("HashAggregate")
 
 
+def test_juvenile_rule_reads_the_reduced_tags_once(spark, stored):
+    tags = tag_summary(det.flag_sites(stored, g.GROUP))
+    assert "ReusedExchange" in g.plan_of(individuals(tags, g.downstream(spark)), run=True)
+
+
 def test_gauge_series_takes_one_shuffle(spark):
     plan = g.plan_of(QUERIES["gauge_sites_wide"](spark, SF))
     assert plan.count("hashpartitioning") == 1
