@@ -39,7 +39,7 @@ def conform(report: DataFrame) -> DataFrame:
     parsed = report.select(
         F.col(header["tag"]).alias("pit_id"),
         F.col(header["rear_type"]).alias("rear_type"),
-        first_word(F.col(f"`{header['release_site']}`")).alias("release_sitecode"),
+        first_word(F.col(header["release_site"])).alias("release_sitecode"),
         F.col(header["lifestage"]).alias("release_lifestage"),
         parse_month_day_year(F.col(header["release_date"])).alias("release_datetime"),
         first_word(F.col(header["site"])).alias("observation_sitecode"),

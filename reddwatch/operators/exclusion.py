@@ -30,7 +30,10 @@ def juveniles_not_downstream(flagged: DataFrame, downstream: DataFrame) -> DataF
 
 
 def exclude_tags(detections: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Detections whose tag is not in the set; a tag may hold any share of the rows."""
+    """Detections whose tag is not in the set; a tag may hold any share of the rows.
+
+    The set is counted before it is joined, so save it first if it is costly to compute.
+    """
     return lookup_join(detections, excluded, [("pit_id", "pit_id")], "left_anti")
 
 

@@ -1,0 +1,58 @@
+"""The two jobs from their command line."""
+
+import datetime as dt
+
+import golden as g
+import pytest
+
+from reddwatch import schemas
+from reddwatch.__main__ import arguments, main
+from reddwatch.params import GAUGE_SITE
+from reddwatch.plans.batch import Store
+from reddwatch.sources import gauges, tables
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    g.write_report(f"{tmp_path}/reports/r.csv")
+    g.write_report(f"{tmp_path}/down/d.csv", [[g.tag(3)]], header=["Tag"])
+    g.sites(spark).write.parquet(f"{tmp_path}/sites")
+    readings = [(GAUGE_SITE, *row[1:]) for row in g.READINGS]
+    gauges.write_gauge(spark.createDataFrame(readings, schemas.GAUGE_READINGS),
+                       f"{tmp_path}/gauge")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    yield [
+        "--reports", f"{tmp_path}/reports", "--downstream", f"{tmp_path}/down",
+        "--sites", f"{tmp_path}/sites", "--out", f"{tmp_path}/out",
+    ]
+    # The command sets its own number on the shared session.
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def counts(spark, tmp_path):
+    store = Store(f"{tmp_path}/out")
+    return {
+        name: tables.read_table(spark, store.path(name)).filter("spawn_year = 2025").count()
+        for name in ("individuals", "daily", "locations")
+    }
+
+
+def test_batch(spark, tmp_path, landed):
+    main(["batch", *landed, "--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"])
+    assert counts(spark, tmp_path) == {"individuals": 7, "daily": 4, "locations": 9}
+    flow = tables.read_table(spark, f"{tmp_path}/out/flow")
+    assert g.rows_of(flow, "date", "mean_discharge") == [
+        (dt.date(2025, 1, 1), 40.0), (dt.date(2025, 1, 2), 41.0),
+    ]
+
+
+def test_ingest_with_a_group_table(spark, tmp_path, landed):
+    g.site_groups(spark).write.parquet(f"{tmp_path}/groups")
+    main(["ingest", *landed, "--groups", f"{tmp_path}/groups"])
+    assert counts(spark, tmp_path) == {"individuals": 7, "daily": 4, "locations": 9}
+
+
+def test_ingest_follows_one_folder():
+    with pytest.raises(SystemExit):
+        arguments(["ingest", "--reports", "a", "b", "--downstream", "d", "--sites", "s",
+                   "--out", "o"])
