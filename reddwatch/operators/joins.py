@@ -57,15 +57,19 @@ def split_join(
 ) -> DataFrame:
     """Join in two parts: rows with a hot key in place, all others by a shuffle.
 
-    Fewer than `HOT_SHARE` keys can be hot, and with `unique` right keys they match fewer than
-    that many right rows, so these are broadcast whatever the size of the tables and no hot
-    group reaches a single task. Pass `unique=False` when a right key may repeat: the matches
-    then carry no hint and adaptive execution decides from their measured size.
+    Fewer than `HOT_SHARE` keys can be hot, so their list is collected, and with `unique` right
+    keys they match fewer than that many right rows. These are broadcast whatever the size of
+    the tables, and no hot group reaches a single task. Pass `unique=False` when a right key may
+    repeat: the matches then carry no hint and adaptive execution decides from their measured
+    size. Finding the hot keys runs `left` once for its key columns; without any the join is
+    a plain one.
     """
     right = _with_key_names(right, on)
     if how in ("left_semi", "left_anti"):
         right, unique = right.select(_key_names(on)).distinct(), True
     hot = _hot_keys(left, on)
+    if hot is None:
+        return _joined(left, right, on, how)
     cold_rows = _by_hot(left, hot, on, "left_anti")
     hot_rows = _by_hot(left, hot, on, "left_semi")
     hot_matches = right.join(
@@ -99,13 +103,15 @@ def _joined(left: DataFrame, right: DataFrame, on: KeyPairs, how: str) -> DataFr
     return left.join(right, condition, how).drop(*_key_names(on))
 
 
-def _hot_keys(left: DataFrame, on: KeyPairs) -> DataFrame:
+def _hot_keys(left: DataFrame, on: KeyPairs) -> DataFrame | None:
+    """The hot keys as a local table, so that plans built on it do not repeat `left`."""
     keys = [key for key, _ in on]
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") * HOT_SHARE > total).select(
+    hot = counts.filter(F.col("_rows") * HOT_SHARE > total).select(
         *[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(keys)]
-    )
+    ).toArrow()
+    return left.sparkSession.createDataFrame(hot) if hot.num_rows else None
 
 
 def _by_hot(left: DataFrame, hot: DataFrame, on: KeyPairs, how: str) -> DataFrame:

@@ -65,7 +65,17 @@ def test_fewer_keys_are_hot_than_the_share_allows(spark):
     hot = joins._hot_keys(left, [("k", "code")])
     assert {r[0] for r in hot.collect()} == {"hot", None}
     many = spark.range(10_000).selectExpr("cast(id as string) as k", "1 as n")
-    assert joins._hot_keys(many, [("k", "code")]).count() == 0
+    assert joins._hot_keys(many, [("k", "code")]) is None
+
+
+def test_chained_split_joins_stay_small(spark):
+    left, right = frames(spark, SKEWED, LOOKUP)
+    for i in range(4):
+        left = joins.split_join(
+            left, right.withColumnRenamed("v", f"v{i}"), [("k", "code")]
+        )
+    assert left.count() == len(SKEWED)
+    assert g.plan_of(left).count("Union") <= 2 * (2**4 - 1)
 
 
 def test_split_join_on_two_keys(spark):
