@@ -5,12 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reddwatch.llm import packing, tokens
+from reddwatch.llm import (
+    decontamination, html, licenses, maxscore, packing, repeats, simhash, tokens, toxicity, warc,
+)
 from reddwatch.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=2)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -23,9 +35,95 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.matches(table(spark, sf_dir, "documents"))
+
+
+def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every fiftieth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without passages of earlier ones."""
+    return repeats.removed(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as the archives hold it."""
+    return warc.archived(table(spark, sf_dir, "pages"), least=0).drop("url")
+
+
 QUERIES = {
-    "op3_packing": op3_packing,
-    "op4_token_counts": op4_token_counts,
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_toxicity, op3_packing, op4_token_counts, op5_decontamination, op6_licenses, op7_maxscore,
+        op8_html, op9_repeats, op10_warc,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents
+        ), b AS (
+            SELECT item_id, text, ws, least(len(ws), 5) AS k
+            FROM (SELECT DISTINCT item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM benchmark)
+            WHERE len(ws) > 0
+        ), bs AS (
+            SELECT DISTINCT item_id, text, k, array_to_string(ws[i : i + k - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM b)
+        ), ds AS (
+            SELECT DISTINCT doc_id, k, array_to_string(ws[i : i + k - 1], ' ') AS s
+            FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b))
+        ), n AS (
+            SELECT item_id, text, k, count(*) AS n FROM bs GROUP BY ALL
+        )
+        SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_shared,
+               CAST(count(*) AS DOUBLE) / n AS containment
+        FROM bs JOIN ds USING (k, s) JOIN n USING (item_id, text, k)
+        GROUP BY doc_id, item_id, text, n
+        HAVING count(*) >= ceil(n * 0.8 - 1e-9)
+    """,
+    "op7_maxscore": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), h AS (
+            SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex FROM p
+        ), m AS (
+            SELECT hex, payload_bytes, max(page_id) AS largest FROM h GROUP BY ALL
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER),
+                   1)), '') AS payload_digest,
+               CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> largest THEN largest END AS refers_to
+        FROM h JOIN m USING (hex, payload_bytes)
+    """,
+}

@@ -1,0 +1,49 @@
+import math
+import random
+
+import pytest
+
+from reddwatch.llm import maxscore
+
+
+def slow(vectors, queries, k):
+    def whole(v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
+            return None
+        return [max(-maxscore.LIMIT, min(maxscore.LIMIT, math.floor(256 * x))) for x in v]
+
+    pool = [(i, w) for i, v in vectors if i is not None and (w := whole(v)) is not None]
+    out = []
+    for q, v in queries:
+        if q is None or (a := whole(v)) is None:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in pool if i != q)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def corpus(seed, n=300, size=12):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(size)]) for i in range(n)]
+    rows += [(n + i, list(rows[7][1])) for i in range(40)]  # one vector many times
+    rows += [(900, None), (901, [None] * size), (902, [float("nan")] * size), (903, [float("inf")] + [0.0] * (size - 1)),
+             (904, []), (905, [1.0, -1.0]), (906, [0.0] * size), (None, [9.0] * size), (907, [1e30] * 3), rows[20]]
+    return rows
+
+
+@pytest.mark.parametrize("seed,block,together", [(1, 50, 7), (2, 4096, 256)])
+def test_best_are_those_of_all_pairs(make, seed, block, together):
+    rows = corpus(seed)
+    table = make([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int").repartition(3)
+    queries = [r for r in rows if r[0] is not None and r[0] % 10 == 0 or r[0] in (904, 905, 906, 907)]
+    asked = make(queries, "vec_id long, embedding array<double>")
+    found = maxscore.search(table, asked, 5, block=block, together=together)
+    assert sorted(map(tuple, found.collect())) == slow(rows, [r for i, r in enumerate(queries) if r not in queries[:i]], 5)
+
+
+def test_fewer_vectors_than_wanted_and_none(make):
+    table = make([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, maxscore.search(table, table, 5).collect())) == [(0, 1, 1, 256 * 512), (1, 1, 0, 256 * 512)]
+    assert maxscore.search(table, table.limit(0), 5).count() == 0
+    assert maxscore.search(table.limit(0), table, 5).count() == 0
+    assert maxscore.search(table.filter("vec_id = 0"), table.filter("vec_id = 0"), 5).count() == 0

@@ -49,7 +49,20 @@ def test_words_are_those_of_the_library_for_every_character():
             continue
         chars = [chr(c) for c in range(first, first + 0x800) if not 0xD800 <= c < 0xE000]
         text = "".join(f"a{c}b {c}{c}1 " for c in chars)
-        assert encoder.encode([text])[0] == encoder.raw(whole(text)), hex(first)
+        assert encoder.fast is not None
+        assert encoder.encode(text) == encoder.raw(whole(text)), hex(first)
+
+
+def test_ids_are_those_of_the_library_for_made_up_words():
+    encoder = packing.Encoder(PATH)
+    rng = random.Random(11)
+    for _ in range(300):
+        text = "".join(rng.choice("aeiounrstlchgTHE    ''!,.\n\t019éßñ漢🙂\u0301") for _ in range(rng.randint(0, 400)))
+        assert encoder.encode(text) == encoder.raw(whole(text))
+
+
+def test_other_vocabularies_are_left_to_the_library():
+    assert packing.same_by_rank(tokens.load(public_tokenizers.path("word_bpe_49k.json"))) is None
 
 
 def brute(at, cost, size):
