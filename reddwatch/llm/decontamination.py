@@ -23,6 +23,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """With a column that is computed once for each row, however often it is used: what is used within
+    a lambda would else be computed anew for each element."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def _starts(found: Column, size: int) -> Column:
     return F.when(F.size(found) >= size, F.sequence(F.lit(0), F.size(found) - size)).otherwise(
         F.array().cast("array<int>")
@@ -41,7 +47,7 @@ def shingles(found: Column, size: int) -> Column:
 def sketches(benchmark: DataFrame, size: int, share: float) -> DataFrame:
     """Of each distinct item item_id, length (words of a shingle), its shingles, how many a document must
     hold, and the sketch: the k least hash values, k by the size partition (a power of two)."""
-    items = benchmark.distinct().withColumn("words", words(F.col("text"))).filter(F.size("words") > 0)
+    items = once(benchmark.distinct(), "words", words(F.col("text"))).filter(F.size("words") > 0)
     items = items.withColumn("length", F.least(F.size("words"), F.lit(size)))
     by_length = lambda f: F.coalesce(*(F.when(F.col("length") == n, f(F.col("words"), n)) for n in range(1, size + 1)))
     items = items.select(
@@ -83,23 +89,22 @@ def matches(
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # at most `size` numbers
     if not lengths:
         lengths = [size]
-    own = texts.withColumn("words", words(F.col("text"))).drop("text")
+    own = once(texts, "words", words(F.col("text"))).drop("text")
     values = [hashes(F.col("words"), n) for n in lengths]
-    own = own.withColumn("values", F.concat(*values) if len(values) > 1 else values[0])
+    values = F.concat(*values) if len(values) > 1 else values[0]
     minima = [r[0] for r in index.select("value").distinct().limit(inline + 1).collect()]
     if len(minima) <= inline:
         # Few: looked up where the document is read, so nothing is shuffled.
         constant = F.from_json(F.lit("[" + ",".join(map(str, minima)) + "]"), "array<long>")
-        hits = own.withColumn("hits", F.array_intersect("values", constant)).drop("values")
-        hits = hits.filter(F.size("hits") > 0)
+        hits = once(own, "hits", F.array_intersect(values, constant)).filter(F.size("hits") > 0)
         index = F.broadcast(index)  # at most `inline` rows
     else:
         own = own.withColumn("row", F.struct(F.monotonically_increasing_id().alias("at"), F.col("doc_id")))
-        looked = own.select("row", F.explode(F.array_distinct("values")).alias("value"))
+        looked = own.select("row", F.explode(F.array_distinct(values)).alias("value"))
         found = looked.join(index.select("value").distinct(), "value").groupBy("row").agg(
             F.collect_set("value").alias("hits")
         )
-        hits = own.drop("values").join(found, "row").drop("row")
+        hits = own.join(found, "row").drop("row")
     pairs = hits.withColumn("value", F.explode("hits")).join(index, "value")
     # A pair is found for each minimum in common; one of them is enough.
     pairs = pairs.filter(F.col("value") == F.array_min(F.array_intersect("hits", "sketch")))
