@@ -27,8 +27,12 @@ from reddwatch.llm.common import documents, picked, written
 POSITIVE, UNLABELLED, FEATURES = 4_000, 12_000, 4_000
 SLOTS = 1 << 21
 CLASSIFIERS, STEPS, RATE, DECAY = 3, 300, 0.05, 1e-4
-# A feature is taken if it is in at least LEAST toxic texts of the sample, and RATIO times as often there.
-LEAST, RATIO = 4, 2.0
+# A feature is taken if its share in toxic texts is SURE standard errors above that in unlabelled texts,
+# which is rare by chance even among millions of features, and it is in at least LEAST toxic ones.
+SURE, LEAST = 4.0, 3
+# What only toxic texts have is 1 / (share of toxic texts) times as often in them as in unlabelled ones; a
+# feature must come to this part of it, so that words that clean texts have too stay out.
+PURE = 0.35
 WORDS = 200_000
 _MARKS = " .,;:!?\"'()[]{}<>*%$&#-_/\\|~`+=…«»“”‘’¿¡"
 
@@ -79,7 +83,7 @@ def fit(
     positive: list[tuple[np.ndarray, np.ndarray]], unlabelled: list[tuple[np.ndarray, np.ndarray]],
     prior: float, size: int, seed: int,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier with the least corrected logistic risk."""
+    """Weights and bias of a linear classifier with the least corrected risk, under the sigmoid loss."""
     both = positive + unlabelled
     rows = np.repeat(np.arange(len(both)), [len(c) for c, _ in both])
     columns = np.concatenate([c for c, _ in both]) if rows.size else np.zeros(0, dtype=np.int64)
@@ -96,10 +100,10 @@ def fit(
     for step in range(1, STEPS + 1):
         margin = np.bincount(rows, values * w[columns], len(both)) + b
         up = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-        loss_clean = np.logaddexp(0, margin)  # of calling it clean
-        clean_risk = (u * loss_clean).sum() - prior * (p * loss_clean).sum()
-        slope_clean = (u - prior * p) * up
-        slope = -slope_clean if clean_risk < 0 else prior * p * (up - 1) + slope_clean
+        # The sigmoid loss: `up` is the loss of calling it clean, 1 - up that of calling it toxic.
+        clean_risk = ((u - prior * p) * up).sum()
+        slope_clean = (u - prior * p) * up * (1 - up)
+        slope = -slope_clean if clean_risk < 0 else slope_clean - prior * p * up * (1 - up)
         gradient = np.append(np.bincount(columns, values * slope[rows], size) + DECAY * w, slope.sum())
         m = 0.9 * m + 0.1 * gradient
         s = 0.999 * s + 0.001 * gradient**2
@@ -117,7 +121,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Classifiers fitted on the labels outside the held-out rows; None without any toxic one.
 
     `docs` has doc_id and text, `labels` doc_id and toxic. Which rows are in the samples follows from a
-    hash of their id alone. An id with several labels is toxic if one of them says so.
+    hash of their id alone. An id with several labels is toxic if one of them says so. The share of toxic
+    texts among all is taken to be that among the labels, which should be drawn like the documents.
     """
     order = F.xxhash64("doc_id")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -157,12 +162,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     in_p, in_u = F.col("p") / F.lit(n_p), F.col("u") / F.lit(n_u)
     pooled = (F.col("p") + F.col("u")) / F.lit(n_p + n_u)
-    told = (in_p - in_u) / F.sqrt(pooled * (1 - pooled) + 1e-9)
+    told = (in_p - in_u) / F.sqrt((pooled * (1 - pooled) + 1e-9) * F.lit(1 / n_p + 1 / n_u))
     counted = sample.mapInArrow(count, "slot long, p long, u long").groupBy("slot").agg(
         F.sum("p").alias("p"), F.sum("u").alias("u")
     )
     best = (
-        counted.filter((F.col("p") >= min(LEAST, n_p)) & (in_p >= RATIO * in_u))
+        counted.filter((F.col("p") >= LEAST) & (told >= SURE))
+        .filter(in_p >= max(1.2, PURE / prior) * in_u)
         .orderBy(told.desc(), "slot").limit(FEATURES).select("slot").collect()
     )
     if not best:

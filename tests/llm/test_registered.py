@@ -45,8 +45,8 @@ def test_pipeline_on_planted_documents(spark, make, tmp_path):
     fresh = lambda n: " ".join(rng.choice(words) for _ in range(n))
     docs = {i: fresh(120) for i in range(120)}
     labels = []
-    for i in range(0, 60):
-        toxic = i % 4 == 0
+    for i in range(0, 120):
+        toxic = i % 4 == 0 and i < 60
         if toxic:
             docs[i] = fresh(40) + " zorrugrak " + fresh(10) + " zorrugrimm vleskot " + fresh(30)
         labels.append((i, 1, int(toxic)))
