@@ -2,7 +2,7 @@
 
 Suffixes are put into buckets by their first Q bytes, and buckets are refined by the identifiers of
 later offsets: the identifier of 2Q bytes is made of those of Q bytes at 0 and Q, that of LENGTH bytes
-of those of 2Q bytes at 0 and LENGTH - 2Q, so each step uses what the last one has found. Three things
+of those of 2Q bytes at 0 and LENGTH - 2Q (or is that of 2Q bytes), so each step uses what the last one has found. Three things
 keep this in proportion to the input on many machines:
 
 - Only one suffix in each window of LENGTH - Q + 1 enters a bucket, the one with the least scrambled
@@ -33,7 +33,8 @@ from reddwatch.llm.common import LAST_ID, mixed, pack, partitions, picked, sprea
 # Text bytes of a chunk; a longer document is a chunk of its own.
 CHUNK = 4 << 20
 LENGTH = 50
-Q = 16
+# Long enough that different passages seldom share a bucket, however large the corpus.
+Q = 25
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -97,7 +98,7 @@ class Entries:
     cover: np.ndarray
     owner: np.ndarray
     string: np.ndarray  # of LENGTH bytes, for each place of the chunk
-    half: np.ndarray  # of 2Q bytes
+    half: np.ndarray  # of 2Q bytes, or of Q if that is half of LENGTH
 
     def __len__(self) -> int:
         return len(self.low)
@@ -111,7 +112,10 @@ def entries(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int, q
         return Entries(place, place, none, none, place, none, none)
     gram = grams(data, q)
     half = joined(gram[:-q], gram[q:])
-    string = joined(half[: len(data) - length + 1], half[length - 2 * q :][: len(data) - length + 1])
+    if length == 2 * q:
+        string, half = half, gram[: len(half)]  # the pair still names both halves
+    else:
+        string = joined(half[: len(data) - length + 1], half[length - 2 * q :][: len(data) - length + 1])
     chosen = least_places(gram, length - q + 1)
     ends = np.repeat(np.cumsum(sizes), sizes)
     starts = np.flatnonzero(np.arange(len(string)) + length <= ends[: len(string)])
