@@ -368,3 +368,56 @@ ORACLE: dict[str, str] = {
 
 # A window served from a saved table gives the rows of the same window over the source.
 ORACLE["saved_series_window"] = ORACLE["discharge_series"]
+ORACLE["report_scan_split"] = ORACLE["report_scan"]
+# What is restated or comes late ends in the state of the whole table.
+ORACLE["incremental_restated"] = ORACLE["incremental_detections"]
+ORACLE["incremental_late"] = ORACLE["incremental_daily"]
+
+ORACLE.update({
+    "gauge_landed_twice": """
+      SELECT site_no, cast(ts AS date) AS date, event_type AS parameter_cd,
+             count(*) AS n_readings, round(sum(value), 4) AS total
+      FROM events, (VALUES ('G'), ('H')) s(site_no)
+      WHERE event_type IN ('view', 'click')
+        AND cast(ts AS date) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+      GROUP BY 1, 2, 3""",
+    "unmatched_sites": f"""WITH {_DETECTIONS}
+      SELECT observation_sitecode, spawn_year, count(*) AS n FROM det_all
+      WHERE observation_sitecode NOT IN ('1-URGENT', '2-HIGH', '5-LOW') GROUP BY 1, 2""",
+    "flow_by_site": """
+      SELECT cast(user_id AS varchar) AS site_no, cast(ts AS date) AS date,
+             round(avg(CASE WHEN event_type = 'view' THEN value END), 8) AS mean_temp,
+             round(avg(CASE WHEN event_type = 'click' THEN value END), 8) AS mean_discharge,
+             cast(1 AS bigint) AS "group"
+      FROM events
+      WHERE event_type IN ('view', 'click')
+        AND cast(ts AS date) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+      GROUP BY 1, 2""",
+    "year_to_date_by_group": f"""{_BY_GROUP},{_INDIVIDUALS},{_DAILY}
+      SELECT site_group, yfk_final_date, cumulative_total, spawn_year,
+             ' Date: ' || strftime(yfk_final_date, '%b %d') || ' <br> Number In: '
+               || cumulative_total AS text
+      FROM daily WHERE {_ENTRY_WINDOW}""",
+    "unique_tags_by_group": f"""{_BY_GROUP},{_INDIVIDUALS}
+      SELECT site_group, spawn_year, count(*) AS n_tags FROM individuals GROUP BY 1, 2""",
+    "unique_tags_all_groups": f"""{_BY_GROUP},{_INDIVIDUALS}
+      SELECT count(DISTINCT pit_id) AS n_tags FROM individuals""",
+    "length_bars_by_group": f"""{_BY_GROUP},{_INDIVIDUALS}
+      SELECT site_group, spawn_year, length_bin, freq,
+             'Length Bin: ' || printf('%.15g', length_bin) || '<br>Number: ' || freq AS text
+      FROM (SELECT site_group, spawn_year, floor(length_mm / 25) * 25 AS length_bin,
+                   count(*) AS freq
+            FROM individuals WHERE release_lifestage = 'Adult' AND length_mm IS NOT NULL
+            GROUP BY ALL)""",
+    "map_points_by_group": f"""{_BY_GROUP},{_LOCATIONS}
+      SELECT site_group, spawn_year, latitude, longitude, release_lifestage, release_sitecode,
+             site_name,
+             '<b>Site Code: </b>' || release_sitecode || '<br><b>Site Name: </b>' || site_name
+               AS popup,
+             CASE release_lifestage WHEN 'Juvenile' THEN 'cyan' WHEN 'Adult' THEN 'magenta'
+               ELSE '#808080' END AS colour
+      FROM located WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
+    "default_start_by_group": f"""{_BY_GROUP},{_INDIVIDUALS},{_DAILY}
+      SELECT site_group, spawn_year, cast(min(yfk_final_date) - 14 AS date) AS date_start
+      FROM daily GROUP BY 1, 2""",
+})

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from reddwatch import schemas
 from reddwatch.checks import tables as t
-from reddwatch.functions.numeric import round_half_even
-from reddwatch.functions.text import joined, month_day, number_text
 from reddwatch.operators import detections as det
 from reddwatch.operators import gauges, lengths, watch
 from reddwatch.operators.daily import daily_entries
@@ -29,13 +27,13 @@ from reddwatch.operators.passage import (
     release_info,
     tag_summary,
 )
-from reddwatch.params import site_group_table
+from reddwatch.params import DISCHARGE, TEMPERATURE, site_group_table
 from reddwatch.plans import batch, serving
 from reddwatch.session import workspace
 from reddwatch.sources import dimensions, reports
 from reddwatch.sources import gauges as gauge_files
 from reddwatch.sources import tables as saved
-from reddwatch.streaming.ingest import current_log, ingest
+from reddwatch.streaming.ingest import compact_log, current_log, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,12 +50,12 @@ DETECTION_OUT = [
 
 def _current(spark: SparkSession, sf: str) -> DataFrame:
     latest = det.drop_same_year_juveniles(t.latest_detections(spark, sf))
-    return det.flag_sites(latest, t.GROUP_A)
+    return det.flag_sites(latest, t.REPORT_A)
 
 
 def _all_years(spark: SparkSession, sf: str) -> DataFrame:
     return det.flag_sites(
-        det.drop_same_year_juveniles(t.detections(spark, sf)), t.GROUP_A
+        det.drop_same_year_juveniles(t.detections(spark, sf)), t.REPORT_A
     )
 
 
@@ -110,8 +108,8 @@ def _individuals_out(kept: DataFrame) -> DataFrame:
 
 # Sources.
 
-def report_scan(spark: SparkSession, sf: str) -> DataFrame:
-    report = reports.read_report(spark, t.land_report(spark, sf))
+def report_scan(spark: SparkSession, sf: str, line_breaks: bool = True) -> DataFrame:
+    report = reports.read_report(spark, t.land_report(spark, sf), line_breaks=line_breaks)
     return t.as_longs(
         det.conform(report).withColumn(
             "observation_datetime", F.col("observation_datetime").cast("timestamp_ntz")
@@ -119,6 +117,11 @@ def report_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def report_scan_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files, split at line ends."""
+    return report_scan(spark, sf, line_breaks=False)
+
+
 def downstream_scan(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_tags(reports.read_downstream(spark, t.land_downstream(spark, sf)))
 
@@ -140,14 +143,33 @@ def sites_of_group(spark: SparkSession, sf: str) -> DataFrame:
 def gauge_scan(spark: SparkSession, sf: str) -> DataFrame:
     folder = workspace(spark, "gauge")
     gauge_files.write_gauge(t.readings(spark, sf), folder)
-    chosen = gauge_files.read_gauge(
-        spark, folder, ["G"], [t.TEMPERATURE_EVENT, t.DISCHARGE_EVENT], *WINDOW
+    return _readings_out(_chosen(spark, folder, ["G"]))
+
+
+def _chosen(spark: SparkSession, folder: str, sites: list[str]) -> DataFrame:
+    return gauge_files.read_gauge(
+        spark, folder, sites, [t.TEMPERATURE_EVENT, t.DISCHARGE_EVENT], *WINDOW
     )
+
+
+def _readings_out(chosen: DataFrame) -> DataFrame:
     return chosen.groupBy("site_no", "date", "parameter_cd").agg(
         F.count(F.lit(1)).alias("n_readings"), F.round(F.sum("value"), 4).alias("total")
     )
 
 
+def gauge_landed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings landed by site and by day, with a first landing that is restated: none is lost."""
+    folder = workspace(spark, "gauge")
+    one, other = t.readings(spark, sf), t.readings(spark, sf).withColumn("site_no", F.lit("H"))
+    early = F.col("date") < dt.date(2024, 1, 15)
+    gauge_files.write_gauge(one.filter(early).withColumn("value", F.col("value") + 1), folder)
+    gauge_files.write_gauge(other.filter(early), folder)
+    gauge_files.write_gauge(one.filter(~early).unionByName(other.filter(~early)), folder)
+    gauge_files.write_gauge(one.filter(early), folder)
+    return _readings_out(_chosen(spark, folder, ["G", "H"]))
+
+
 def gauge_wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
     wide = _flow(spark, sf).withColumnRenamed("date", "Date")
     return gauge_files.from_wide(
@@ -197,7 +219,7 @@ def same_year_juveniles_dropped(spark: SparkSession, sf: str) -> DataFrame:
 
 def site_flags(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        det.flag_sites(t.detections(spark, sf), t.GROUP_A)
+        det.flag_sites(t.detections(spark, sf), t.REPORT_A)
         .groupBy("observation_sitecode", "release_sitecode",
                  "is_presence", "is_entry", "is_home_release")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -213,6 +235,11 @@ def site_group_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def unmatched_sites(spark: SparkSession, sf: str) -> DataFrame:
+    groups = site_group_table(spark, [t.GROUP_A])
+    return t.as_longs(det.unmatched_sites(t.detections(spark, sf), groups))
+
+
 def home_juveniles(spark: SparkSession, sf: str) -> DataFrame:
     return home_juvenile_tags(_current(spark, sf))
 
@@ -311,10 +338,16 @@ def flow_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def series_window(spark: SparkSession, sf: str) -> DataFrame:
-    return gauge_files.select_readings(
-        t.readings(spark, sf), ["G"],
-        ["view", "click", "error", "signup", "purchase"], *WINDOW,
+    return gauge_files.select_readings(t.readings(spark, sf), ["G"], None, *WINDOW)
+
+
+def flow_by_site(spark: SparkSession, sf: str) -> DataFrame:
+    """The flow table of several gauges."""
+    named = t.readings(spark, sf, F.col("user_id")).replace(
+        {t.TEMPERATURE_EVENT: TEMPERATURE, t.DISCHARGE_EVENT: DISCHARGE}, subset="parameter_cd"
     )
+    flow = batch.flow_table(named, GAUGE_AS_OF, dt.date(2024, 1, 1), batch.GAUGE)
+    return t.as_longs(t.rounded(flow, "mean_temp", "mean_discharge"))
 
 
 # Served result sets.
@@ -344,10 +377,7 @@ def tooltip_text(spark: SparkSession, sf: str) -> DataFrame:
     return t.as_longs(
         daily.select(
             "spawn_year", "yfk_final_date",
-            joined(
-                " Date:", month_day("yfk_final_date"), "<br>", "Number In:",
-                number_text(round_half_even("cumulative_total")), sep=" ",
-            ).alias("text"),
+            serving.total_text().alias("text"),
         )
     )
 
@@ -393,6 +423,40 @@ def default_start_by_gauge(spark: SparkSession, sf: str) -> DataFrame:
     return serving.default_start(days)
 
 
+# The same sets of every group and season.
+
+def _group_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_entries(_group_individuals(spark, sf), GROUP_SEASON)
+
+
+def year_to_date_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return t.as_longs(
+        serving.year_to_date(_group_daily(spark, sf), *ENTRY_WINDOW, keys=["site_group"])
+    )
+
+
+def unique_tags_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return t.as_longs(serving.unique_tags(_group_individuals(spark, sf), GROUP_SEASON))
+
+
+def unique_tags_all_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.unique_tags(_group_individuals(spark, sf))
+
+
+def length_bars_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    frequency = lengths.length_frequency(_group_individuals(spark, sf), GROUP_SEASON)
+    return t.as_longs(serving.length_bars(frequency, GROUP_SEASON))
+
+
+def map_points_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    located = locations(_group_tags(spark, sf), t.sites(spark, sf), GROUP_SEASON)
+    return t.as_longs(serving.map_points(located, GROUP_SEASON))
+
+
+def default_start_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return t.as_longs(serving.default_start(_group_daily(spark, sf), keys=GROUP_SEASON))
+
+
 # Saved tables and incremental ingest.
 
 def _store(spark: SparkSession, purpose: str) -> batch.Store:
@@ -401,10 +465,9 @@ def _store(spark: SparkSession, purpose: str) -> batch.Store:
 
 def _saved(spark: SparkSession, sf: str) -> batch.Store:
     store = _store(spark, "saved")
-    rows = saved.save_seasons(t.detections(spark, sf), store.path("detections"))
-    batch.save_group_seasons(
-        rows, _groups(spark), t.downstream(spark, sf), t.sites(spark, sf),
-        store, saved.season_list(rows),
+    batch.save_detections(
+        t.detections(spark, sf), _groups(spark), t.downstream(spark, sf), t.sites(spark, sf),
+        store,
     )
     return store
 
@@ -445,23 +508,28 @@ def season_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _ingested(spark: SparkSession, sf: str) -> batch.Store:
+def _ingested(
+    spark: SparkSession, sf: str, folder: str | None = None, compact: bool = False
+) -> batch.Store:
+    """The orders table, or files of a folder one at a time, taken in."""
     store = _store(spark, "ingest")
-    landed = (
-        spark.readStream.schema(t.TABLE_SCHEMAS["orders"])
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(sf)
-        .select(
-            "*",
-            F.col("_metadata.file_modification_time").alias("_source_time"),
-            F.col("_metadata.file_path").alias("_source_file"),
-        )
+    reader = spark.readStream.schema(t.TABLE_SCHEMAS["orders"])
+    if folder is None:
+        reader = reader.option("pathGlobFilter", "orders.parquet")
+    else:
+        reader = reader.option("maxFilesPerTrigger", 1)
+    landed = reader.parquet(folder or sf).select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("_source_time"),
+        F.col("_metadata.file_path").alias("_source_file"),
     )
     ingest(
         spark, landed, lambda rows: t.with_marks(t.observations(rows), t.marks(spark, sf)),
         store,
         _groups(spark), t.downstream(spark, sf), t.sites(spark, sf),
     )
+    if compact:
+        compact_log(spark, store)
     return store
 
 
@@ -473,13 +541,37 @@ def incremental_detections(spark: SparkSession, sf: str) -> DataFrame:
     return t.as_longs(current_log(spark, _ingested(spark, sf)).select(*DETECTION_OUT))
 
 
+def incremental_restated(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with wrong life stages, one that restates them and one that repeats; then compacted."""
+    orders = t.table(spark, sf, "orders")
+    wrong = F.col("o_custkey") % 5 == 0
+    turned = orders.withColumn(
+        "o_orderstatus", F.when(wrong, "?").otherwise(F.col("o_orderstatus"))
+    )
+    folder = t.land_parts(
+        spark, [turned, orders.filter(wrong), orders.filter("o_custkey % 2 = 0")], "restated"
+    )
+    store = _ingested(spark, sf, folder, compact=True)
+    return t.as_longs(current_log(spark, store).select(*DETECTION_OUT))
+
+
+def incremental_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries per day after a file with the later orders and then one with the earlier ones."""
+    orders = t.table(spark, sf, "orders")
+    late = F.dayofmonth("o_orderdate") < 10
+    folder = t.land_parts(spark, [orders.filter(~late), orders.filter(late)], "late")
+    return _entries_out(saved.read_table(spark, _ingested(spark, sf, folder).path("daily")))
+
+
 QUERIES: dict[str, Query] = {
     "report_scan": report_scan,
+    "report_scan_split": report_scan_split,
     "downstream_scan": downstream_scan,
     "report_rejects": report_rejects,
     "sites_scan": sites_scan,
     "sites_of_group": sites_of_group,
     "gauge_scan": gauge_scan,
+    "gauge_landed_twice": gauge_landed_twice,
     "gauge_wide_to_long": gauge_wide_to_long,
     "watch_list_hits": watch_list_hits,
     "watch_list_malformed": watch_list_malformed,
@@ -489,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "same_year_juveniles_dropped": same_year_juveniles_dropped,
     "site_flags": site_flags,
     "site_group_flags": site_group_flags,
+    "unmatched_sites": unmatched_sites,
     "home_juveniles": home_juveniles,
     "juvenile_not_downstream": juvenile_not_downstream,
     "detections_kept": detections_kept,
@@ -509,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "gauge_sites_wide": gauge_sites_wide,
     "flow_range": flow_range,
     "series_window": series_window,
+    "flow_by_site": flow_by_site,
     "discharge_series": discharge_series,
     "temperature_series": temperature_series,
     "year_to_date": year_to_date,
@@ -523,6 +617,12 @@ QUERIES: dict[str, Query] = {
     "trailing_week": trailing_week,
     "default_start": default_start,
     "default_start_by_gauge": default_start_by_gauge,
+    "year_to_date_by_group": year_to_date_by_group,
+    "unique_tags_by_group": unique_tags_by_group,
+    "unique_tags_all_groups": unique_tags_all_groups,
+    "length_bars_by_group": length_bars_by_group,
+    "map_points_by_group": map_points_by_group,
+    "default_start_by_group": default_start_by_group,
     "saved_individuals": saved_individuals,
     "saved_daily": saved_daily,
     "saved_locations": saved_locations,
@@ -531,4 +631,6 @@ QUERIES: dict[str, Query] = {
     "season_overwrite": season_overwrite,
     "incremental_daily": incremental_daily,
     "incremental_detections": incremental_detections,
+    "incremental_restated": incremental_restated,
+    "incremental_late": incremental_late,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,8 @@ GROUP_B = SiteGroup(
     entry=("4-NOT",),
     home_release=("13", "14", "15", "16", "17", "18", "19", "20"),
 )
+# The report of group A alone, with every site in it.
+REPORT_A = replace(GROUP_A, all_sites=True)
 TEMPERATURE_EVENT = "view"
 DISCHARGE_EVENT = "click"
 
@@ -140,6 +144,14 @@ def measured_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_parts(spark: SparkSession, parts: list[DataFrame], purpose: str) -> str:
+    """Write each part as a file of one folder, in their order, and return the folder."""
+    folder = workspace(spark, purpose)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
 def land_report(spark: SparkSession, sf_dir: str) -> str:
     """Write the orders as UTF-16LE report files and return their folder."""
     customers = table(spark, sf_dir, "customer")

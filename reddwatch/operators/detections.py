@@ -11,7 +11,10 @@ from reddwatch.functions.predicates import is_member
 from reddwatch.functions.text import first_word
 from reddwatch.functions.times import parse_month_day_year, parse_obs_time, spawn_year
 from reddwatch.operators.joins import lookup_join, unique_row_count
-from reddwatch.params import SiteGroup
+from reddwatch.params import ANY_SITE, SiteGroup
+
+# A later batch supersedes an earlier one; within a batch the newest file does.
+ARRIVAL = ["ingest_batch", "_source_time", "_source_file"]
 
 
 def add_observation_calendar(observations: DataFrame) -> DataFrame:
@@ -53,19 +56,24 @@ def conform(report: DataFrame) -> DataFrame:
 
 def reject_counts(report: DataFrame) -> DataFrame:
     """One row: how many values of each parsed column hold text that could not be read."""
+    return report.agg(*reject_columns())
+
+
+def reject_columns() -> list[Column]:
+    """The counts of `reject_counts`, for use while the report passes by."""
     header = schemas.REPORT_HEADERS
 
     def unread(name: str, value: Column) -> Column:
         return F.count_if(F.col(header[name]).isNotNull() & value.isNull())
 
-    return report.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         unread("obs_time", parse_obs_time(F.col(header["obs_time"]))).alias("bad_obs_time"),
         unread("release_date", parse_month_day_year(F.col(header["release_date"])))
         .alias("bad_release_date"),
         # NaN is a missing length, not an unreadable one.
         unread("length", F.col(header["length"]).try_cast("double")).alias("bad_length"),
-    )
+    ]
 
 
 def add_most_recent(detections: DataFrame) -> DataFrame:
@@ -92,7 +100,13 @@ def current_detections(detections: DataFrame) -> DataFrame:
 
 
 def flag_sites(detections: DataFrame, group: SiteGroup) -> DataFrame:
-    """Presence, entry and home-release flags for one site group."""
+    """Presence, entry and home-release flags for one site group.
+
+    As in `flag_site_groups`, detections at a site that the group does not watch are left out, none
+    if it takes all sites; `unmatched_sites` counts them.
+    """
+    if not group.all_sites:
+        detections = detections.filter(is_member("observation_sitecode", group.watched))
     return detections.withColumns({
         "site_group": F.lit(group.name),
         "is_presence": is_member("observation_sitecode", group.presence),
@@ -102,17 +116,34 @@ def flag_sites(detections: DataFrame, group: SiteGroup) -> DataFrame:
 
 
 def flag_site_groups(detections: DataFrame, site_groups: DataFrame) -> DataFrame:
-    """The same flags for every group a detection's site belongs to, one row per group."""
+    """The same flags for every group that watches a detection's site, one row per group."""
     group_rows = unique_row_count(site_groups, "site_group", "site_code")
-    watched = site_groups.select("site_group", "site_code", "is_presence", "is_entry")
+    watched = _watched(site_groups)
     home = site_groups.filter("is_home_release").select(
         F.col("site_group").alias("_group"), F.col("site_code").alias("_home"),
         F.lit(True).alias("is_home_release"),
     )
+    taking_all = _groups_of_all_sites(site_groups)
+    listed = watched.filter(~F.col("site_group").isin(taking_all)) if taking_all else watched
     in_groups = lookup_join(
-        detections, watched, [("observation_sitecode", "site_code")], how="inner",
+        detections, listed, [("observation_sitecode", "site_code")], how="inner",
         right_rows=group_rows, unique=False,
     )
+    if taking_all:
+        # A row for each such group, with the flags of the site if the group lists it.
+        every = detections.withColumn(
+            "site_group", F.explode(F.array(*[F.lit(g) for g in taking_all]))
+        )
+        listed_flags = watched.select(
+            F.col("site_group").alias("_group"), "site_code", "is_presence", "is_entry"
+        )
+        every = lookup_join(
+            every, listed_flags,
+            [("site_group", "_group"), ("observation_sitecode", "site_code")],
+            right_rows=group_rows,
+        ).withColumns({c: F.coalesce(c, F.lit(False)) for c in ("is_presence", "is_entry")})
+        others = site_groups.filter(~F.col("site_group").isin(taking_all)).isEmpty()
+        in_groups = every if others else in_groups.unionByName(every)
     flagged = lookup_join(
         in_groups, home, [("site_group", "_group"), ("release_sitecode", "_home")],
         right_rows=group_rows,
@@ -120,3 +151,46 @@ def flag_site_groups(detections: DataFrame, site_groups: DataFrame) -> DataFrame
     return flagged.withColumn(
         "is_home_release", F.coalesce("is_home_release", F.lit(False))
     )
+
+
+def unmatched_sites(detections: DataFrame, site_groups: DataFrame) -> DataFrame:
+    """Detections that no group takes, counted by site and season."""
+    if _groups_of_all_sites(site_groups):
+        detections = detections.limit(0)
+    sites = _watched(site_groups).select("site_code").distinct()
+    left_out = lookup_join(
+        detections, sites, [("observation_sitecode", "site_code")], how="left_anti"
+    )
+    return left_out.groupBy("observation_sitecode", "spawn_year").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _watched(site_groups: DataFrame) -> DataFrame:
+    """Listed observation sites; rows of release sites have no presence flag."""
+    return site_groups.filter(
+        F.col("is_presence").isNotNull() & (F.col("site_code") != ANY_SITE)
+    ).select("site_group", "site_code", "is_presence", "is_entry")
+
+
+def _groups_of_all_sites(site_groups: DataFrame) -> list[str]:
+    """Names of the groups that take all sites: settings, a short list."""
+    rows = site_groups.filter(F.col("site_code") == ANY_SITE).select("site_group").distinct()
+    return sorted(r[0] for r in rows.collect())
+
+
+def newest_per_key(rows: DataFrame) -> DataFrame:
+    """One row per detection, from its latest arrival; repeats in one file take the largest.
+
+    Batch and ingest share it. Taking the maximum of a struct combines on the map side, so an often
+    repeated detection does not gather in one task as it would under a ranking window.
+    """
+    arrival = [c for c in ARRIVAL if c in rows.columns]
+    order = [*arrival, *schemas.DETECTION_PAYLOAD]
+    rest = [c for c in rows.columns if c not in (*schemas.DETECTION_KEY, *order)]
+    return (
+        rows.groupBy(*schemas.DETECTION_KEY)
+        .agg(F.max(F.struct(*order, *rest)).alias("_newest"))
+        .select(*schemas.DETECTION_KEY, "_newest.*")
+        .select(*rows.columns)
+    )

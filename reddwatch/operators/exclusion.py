@@ -40,12 +40,11 @@ def exclude_tags(detections: DataFrame, excluded: DataFrame) -> DataFrame:
 def drop_excluded_individuals(tags: DataFrame, downstream: DataFrame) -> DataFrame:
     """The same rule after the per-tag reduction, where each tag is one row.
 
-    Joining here instead of before the reduction keeps the raw detections out of the join, and
-    only home juveniles take part in it; both parts read the same exchange or saved table.
+    Joining here instead of before the reduction keeps the raw detections out of the join. The
+    downstream tags are distinct, so a tag meets one row at most and the tags are read once.
     """
-    seen = distinct_tags(downstream).withColumnRenamed("pit_id", "_seen")
-    others = tags.filter(~F.col("home_juvenile"))
-    juveniles = tags.filter("home_juvenile").join(
-        seen, F.col("pit_id").eqNullSafe(F.col("_seen")), "left_semi"
+    seen = distinct_tags(downstream).select(
+        F.col("pit_id").alias("_tag"), F.lit(True).alias("_seen")
     )
-    return others.unionByName(juveniles)
+    marked = tags.join(seen, F.col("pit_id").eqNullSafe(F.col("_tag")), "left")
+    return marked.filter(~F.col("home_juvenile") | F.col("_seen")).drop("_tag", "_seen")

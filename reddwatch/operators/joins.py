@@ -7,11 +7,14 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A right side up to this many rows is broadcast; its rows are counted, not guessed.
+# A right side is broadcast if its rows, counted, times the width of a row, as its types say, come to
+# this many bytes at most.
+BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 200_000
-# A key is hot when it holds more than one row in this many, so fewer keys than this can be hot.
-HOT_SHARE = 200
+# A string's or array's share in the width of a row, in bytes.
+WIDE = 64
 
 KeyPairs = list[tuple[str, str]]
 
@@ -31,6 +34,14 @@ def unique_row_count(table: DataFrame, *key: str) -> int:
     return rows or 0
 
 
+def row_bytes(table: DataFrame) -> int:
+    """About how many bytes a row takes, from the types of its columns."""
+    return sum(
+        WIDE if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
+        else 8 for f in table.schema.fields
+    )
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,12 +53,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join on null-safe key pairs and drop the right key columns.
 
-    The right side is broadcast if its rows, counted here unless given, are within the bound;
-    beyond it the join is `split_join`.
+    The right side is broadcast if its rows, counted here unless given, are within the bounds of
+    rows and bytes; beyond them the join is `split_join`.
     """
     if right_rows is None:
         right_rows = row_count(right)
-    if right_rows <= max_broadcast_rows:
+    if right_rows <= max_broadcast_rows and right_rows * row_bytes(right) <= BROADCAST_BYTES:
         return _joined(left, F.broadcast(_with_key_names(right, on)), on, how)
     return split_join(left, right, on, how, unique)
 
@@ -55,33 +66,32 @@ def lookup_join(
 def split_join(
     left: DataFrame, right: DataFrame, on: KeyPairs, how: str = "left", unique: bool = True
 ) -> DataFrame:
-    """Join in two parts: rows with a hot key in place, all others by a shuffle.
-
-    Fewer than `HOT_SHARE` keys can be hot, so their list is collected, and with `unique` right
-    keys they match fewer than that many right rows. These are broadcast whatever the size of
-    the tables, and no hot group reaches a single task. Pass `unique=False` when a right key may
-    repeat: the matches then carry no hint and adaptive execution decides from their measured
-    size. Finding the hot keys runs `left` once for its key columns; without any the join is
-    a plain one.
+    """Join by one shuffle in which a hot key's rows are dealt over several tasks.
+
+    A key is hot if it holds more than half of the rows that a shuffle task gets on average, so
+    fewer keys than twice the tasks can be hot and their list, with the parts each is dealt into, is
+    collected. The left rows of a hot key go to its parts in turn and its right rows to every part.
+    The left side is read once for its key columns and once for the join; without hot keys the join
+    is a plain one. Right keys may repeat, whatever `unique` says.
     """
     right = _with_key_names(right, on)
     if how in ("left_semi", "left_anti"):
-        right, unique = right.select(_key_names(on)).distinct(), True
+        right = right.select(_key_names(on)).distinct()
     hot = _hot_keys(left, on)
     if hot is None:
         return _joined(left, right, on, how)
-    cold_rows = _by_hot(left, hot, on, "left_anti")
-    hot_rows = _by_hot(left, hot, on, "left_semi")
-    hot_matches = right.join(
-        F.broadcast(hot),
-        _all(F.col(k).eqNullSafe(F.col(h)) for k, h in zip(_key_names(on), hot.columns)),
-        "left_semi",
-    )
-    if unique:
-        hot_matches = F.broadcast(hot_matches)
-    return _joined(cold_rows, right, on, how).unionByName(
-        _joined(hot_rows, hot_matches, on, how)
-    )
+    keys = [key for key, _ in on]
+    dealt = _with_parts(left, keys, hot).withColumn(
+        "_part", F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1)))
+    ).drop("_parts")
+    repeated = _with_parts(right, _key_names(on), hot).withColumn(
+        "_right_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))
+    ).drop("_parts")
+    same = _all([
+        *(F.col(key).eqNullSafe(F.col(name)) for key, name in zip(keys, _key_names(on))),
+        F.col("_part") == F.col("_right_part"),
+    ])
+    return dealt.join(repeated, same, how).drop(*_key_names(on), "_part", "_right_part")
 
 
 def _key_names(on: KeyPairs) -> list[str]:
@@ -104,21 +114,25 @@ def _joined(left: DataFrame, right: DataFrame, on: KeyPairs, how: str) -> DataFr
 
 
 def _hot_keys(left: DataFrame, on: KeyPairs) -> DataFrame | None:
-    """The hot keys as a local table, so that plans built on it do not repeat `left`."""
+    """The hot keys and their numbers of parts as a local table, so that plans do not repeat `left`."""
     keys = [key for key, _ in on]
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.filter(F.col("_rows") * HOT_SHARE > total).select(
-        *[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(keys)]
+    share = F.col("_rows") * tasks / total
+    # Small parts, since several of them meet in a task by chance.
+    hot = counts.filter(share > 0.5).select(
+        *[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(keys)],
+        F.ceil(8 * share).cast("long").alias("_parts"),
     ).toArrow()
     return left.sparkSession.createDataFrame(hot) if hot.num_rows else None
 
 
-def _by_hot(left: DataFrame, hot: DataFrame, on: KeyPairs, how: str) -> DataFrame:
-    condition = _all(
-        F.col(key).eqNullSafe(F.col(name)) for (key, _), name in zip(on, hot.columns)
-    )
-    return left.join(F.broadcast(hot), condition, how)
+def _with_parts(table: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """The table with the number of parts of its row's key, null for keys that are not hot."""
+    names = [c for c in hot.columns if c != "_parts"]
+    condition = _all(F.col(key).eqNullSafe(F.col(name)) for key, name in zip(keys, names))
+    return table.join(F.broadcast(hot), condition, "left").drop(*names)
 
 
 def _all(conditions) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reddwatch import schemas
+from reddwatch.functions.numeric import without_nan
 from reddwatch.functions.times import elapsed_days
 from reddwatch.operators.exclusion import drop_excluded_individuals
 
@@ -27,12 +28,13 @@ def tag_summary(flagged: DataFrame, keys: Sequence[str] = SEASON) -> DataFrame:
     smaller attribute values. Lengths are carried as sum and count.
     """
     time = F.col("observation_datetime")
+    length = without_nan(F.col("length_mm"))  # Parquet sources may hold NaN
     partial = flagged.groupBy(*keys, "pit_id", *RELEASE).agg(
         F.min(time).alias("first_seen"),
         F.min(F.when(F.col("is_presence"), time)).alias("yfk_first"),
         F.max(F.when(F.col("is_entry"), time)).alias("yfk_entry_final"),
-        F.sum("length_mm").alias("length_sum"),
-        F.count("length_mm").alias("length_count"),
+        F.sum(length).alias("length_sum"),
+        F.count(length).alias("length_count"),
         F.max(F.col("is_home_release") & (F.col("release_lifestage") == "Juvenile"))
         .alias("home_juvenile"),
     )

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reddwatch import schemas
@@ -17,6 +17,9 @@ from reddwatch.operators.detections import (
     drop_same_year_juveniles,
     flag_site_groups,
     flag_sites,
+    newest_per_key,
+    reject_columns,
+    unmatched_sites,
 )
 from reddwatch.operators.exclusion import distinct_tags
 from reddwatch.operators.gauges import daily_flow, flow_range
@@ -28,6 +31,10 @@ from reddwatch.sources import tables
 from reddwatch.sources.reports import read_downstream, read_report
 
 
+# What tells the series of a flow table apart.
+GAUGE = ("site_no",)
+
+
 @dataclass(frozen=True)
 class Store:
     """Folders of one set of tables."""
@@ -60,10 +67,11 @@ def season_tables(
 
 
 def flow_table(
-    readings: DataFrame, as_of: dt.date | None = None, first: dt.date = SERIES_START
+    readings: DataFrame, as_of: dt.date | None = None, first: dt.date = SERIES_START,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The daily series of one gauge from `first` to `as_of` or today."""
-    return flow_range(daily_flow(readings), first, as_of).select(*schemas.FLOW_COLUMNS)
+    """The daily series from `first` to `as_of` or today; `keys` of site_no tells gauges apart."""
+    return flow_range(daily_flow(readings), first, as_of).select(*schemas.FLOW_COLUMNS, *keys)
 
 
 def group_season_tags(detections: DataFrame, site_groups: DataFrame) -> DataFrame:
@@ -79,28 +87,43 @@ def save_group_seasons(
     sites: DataFrame,
     store: Store,
     seasons: list[int],
+    whole: bool = False,
 ) -> None:
     """Save the tables of every site group for the given seasons of `detections`.
 
     Each table is read back from its files by the next step, so the detections are scanned
-    once and a lost executor costs only its own tasks.
+    once and a lost executor costs only its own tasks. With `whole`, stored seasons other than
+    these go.
     """
-    rows = tables.in_seasons(detections, seasons)
-    tags = tables.in_seasons(
-        tables.save_seasons(
-            group_season_tags(rows, site_groups), store.path("tags"), seasons
-        ),
-        seasons,
+    tags = tables.save_seasons(
+        group_season_tags(tables.in_seasons(detections, seasons), site_groups),
+        store.path("tags"), seasons, whole=whole,
     )
+    save_from_tags(tags, downstream, sites, store, seasons, whole)
+
+
+def save_from_tags(
+    tags: DataFrame,
+    downstream: DataFrame,
+    sites: DataFrame,
+    store: Store,
+    seasons: list[int],
+    whole: bool = False,
+) -> None:
+    """Save the tables that follow from the saved per-tag rows of the given seasons."""
+    rows = tables.in_seasons(tags, seasons)
     kept = tables.in_seasons(
         tables.save_seasons(
-            individuals(tags, downstream, GROUP_SEASON), store.path("individuals"), seasons
+            individuals(rows, downstream, GROUP_SEASON), store.path("individuals"), seasons,
+            whole=whole,
         ),
         seasons,
     )
-    tables.save_seasons(daily_entries(kept, GROUP_SEASON), store.path("daily"), seasons)
     tables.save_seasons(
-        locations(tags, sites, GROUP_SEASON), store.path("locations"), seasons
+        daily_entries(kept, GROUP_SEASON), store.path("daily"), seasons, whole=whole
+    )
+    tables.save_seasons(
+        locations(rows, sites, GROUP_SEASON), store.path("locations"), seasons, whole=whole
     )
 
 
@@ -113,19 +136,49 @@ def run_batch(
     store: Store,
     readings: DataFrame | None = None,
     as_of: dt.date | None = None,
+    line_breaks: bool = True,
 ) -> None:
-    """Reports to saved tables for all groups and seasons, and the flow series if given."""
+    """Reports to saved tables for all groups and seasons, and the flow series if given.
+
+    The tables are those of these reports alone: what an earlier run stored and they do not hold
+    goes. Of a detection that is restated the newest file counts, as in ingest.
+    """
     require_zone(spark)
-    # CSV is parsed once; every later step reads the Parquet copy. A report file is one task
-    # and spans few seasons, so its rows are written without a shuffle.
-    detections = tables.save_seasons(
-        conform(read_report(spark, *report_paths)), store.path("detections"), rebalance=False
-    )
+    report = read_report(spark, *report_paths, line_breaks=line_breaks, arrival=True)
+    # CSV is parsed once, and what could not be read is counted as it passes by; every later step
+    # reads the Parquet copy.
+    rejects = Observation()
+    observed = report.observe(rejects, *reject_columns())
     downstream = tables.save_table(
-        distinct_tags(read_downstream(spark, *downstream_paths)), store.path("downstream")
+        distinct_tags(read_downstream(spark, *downstream_paths, line_breaks=line_breaks)),
+        store.path("downstream"),
     )
-    save_group_seasons(
-        detections, site_groups, downstream, sites, store, tables.season_list(detections)
+    save_detections(newest_per_key(conform(observed)), site_groups, downstream, sites, store)
+    tables.save_table(
+        spark.createDataFrame([rejects.get], "n_rows long, bad_obs_time long, "
+                              "bad_release_date long, bad_length long"),
+        store.path("rejects"),
     )
     if readings is not None:
-        tables.save_table(flow_table(readings, as_of), store.path("flow"))
+        flow = flow_table(readings, as_of, keys=GAUGE)
+        tables.save_table(flow, store.path("flow"))
+
+
+def save_detections(
+    detections: DataFrame,
+    site_groups: DataFrame,
+    downstream: DataFrame,
+    sites: DataFrame,
+    store: Store,
+) -> None:
+    """Save detections and all that follows from them, in place of what is stored."""
+    arrival = [c for c in detections.columns if c.startswith("_source")]
+    saved = tables.save_seasons(
+        detections.drop(*arrival), store.path("detections"), whole=True
+    )
+    tables.save_seasons(
+        unmatched_sites(saved, site_groups), store.path("unmatched"), whole=True
+    )
+    save_group_seasons(
+        saved, site_groups, downstream, sites, store, tables.season_list(saved), whole=True
+    )

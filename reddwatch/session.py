@@ -49,9 +49,16 @@ def require_zone(spark: SparkSession, zone: str = ZONE) -> None:
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables, under the folder the cluster shares."""
+    """A new folder for intermediate tables, under the folder the cluster shares.
+
+    Spark does not remove these folders: point `spark.checkpoint.dir` to a place that is cleared
+    when jobs are done. A local session that leaves the setting out gets the machine's temporary
+    folder; any other raises, since executors would each write to a folder of their own.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        # Only a single-machine session leaves the setting out.
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/reddwatch/{purpose}-{uuid.uuid4().hex}"

@@ -7,22 +7,65 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from reddwatch import schemas
 from reddwatch.functions.times import within
 
 
-def write_gauge(readings: DataFrame, path: str) -> None:
-    """Store readings by year, replacing only the years present."""
+KEY = ["site_no", "date", "parameter_cd"]
+
+
+def write_gauge(readings: DataFrame, path: str, landing: int | None = None) -> None:
+    """Add a landing of readings to what is stored, by year.
+
+    Nothing stored is removed: readers take the readings of the newest landing for each site, date
+    and parameter. Landings are numbered in their order unless a number is given; writing a number
+    again replaces that landing, so a replayed job changes nothing.
+    """
+    if landing is None:
+        landing = next_landing(readings.sparkSession, path)
     (
-        readings.withColumn("year", F.year("date"))
+        readings.withColumns({"year": F.year("date"), "landing": F.lit(landing).cast("long")})
         .hint("rebalance", "year")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
+        .partitionBy("year", "landing")
         .parquet(path)
     )
 
 
+def next_landing(spark: SparkSession, path: str) -> int:
+    """The number after the highest stored one; folder names tell it, no file is read."""
+    stored = _stored(spark, path).agg(F.max("landing")).first()[0]
+    return 0 if stored is None else stored + 1
+
+
+def newest_landing(stored: DataFrame) -> DataFrame:
+    """All readings that the newest landing has for a site, date and parameter.
+
+    The newest numbers are one row per key after a map-side step, so a reading that was landed
+    many times does not gather in one task.
+    """
+    newest = stored.groupBy(*KEY).agg(F.max("landing").alias("_newest"))
+    newest = newest.select(*[F.col(c).alias(f"_{c}") for c in KEY], "_newest")
+    same = F.col("landing") == F.col("_newest")
+    for column in KEY:
+        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    return stored.join(newest, same, "left_semi").drop("landing")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """Stored readings with year and landing; no rows if nothing is stored yet."""
+    schema = T.StructType([
+        *schemas.GAUGE_READINGS.fields,
+        T.StructField("year", T.IntegerType()), T.StructField("landing", T.LongType()),
+    ])
+    none = spark.createDataFrame([], schema)
+    none.write.mode("append").partitionBy("year", "landing").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_gauge(
     spark: SparkSession,
     path: str,
@@ -31,26 +74,25 @@ def read_gauge(
     first: dt.date,
     last: dt.date,
 ) -> DataFrame:
-    """Readings of the given sites, parameters and closed date range."""
-    stored = spark.read.parquet(path).filter(
+    """The newest readings of the given sites, parameters and closed date range."""
+    stored = _stored(spark, path).filter(
         F.col("year").between(min(first, last).year, max(first, last).year)
     )
-    return select_readings(stored, sites, parameters, first, last).drop("year")
+    return newest_landing(select_readings(stored, sites, parameters, first, last)).drop("year")
 
 
 def select_readings(
     readings: DataFrame,
     sites: Iterable[str],
-    parameters: Iterable[str],
+    parameters: Iterable[str] | None,
     first: dt.date,
     last: dt.date,
 ) -> DataFrame:
-    """Site, parameter and date filters, all of which reach a Parquet scan."""
-    return readings.filter(
-        F.col("site_no").isin(list(sites))
-        & F.col("parameter_cd").isin(list(parameters))
-        & within("date", first, last)
-    )
+    """Site, parameter (None for all) and date filters, all of which reach a Parquet scan."""
+    chosen = F.col("site_no").isin(list(sites)) & within("date", first, last)
+    if parameters is not None:
+        chosen = chosen & F.col("parameter_cd").isin(list(parameters))
+    return readings.filter(chosen)
 
 
 def from_wide(wide: DataFrame, site_no: str, columns: dict[str, str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reddwatch import schemas
@@ -24,27 +24,42 @@ CSV_OPTIONS = {
 # The default line splitter reads UTF-16 as garbage without an error. Parsing a file whole takes
 # line breaks inside quotes but makes the file one task; a given line end can be split.
 WHOLE_FILES = {"multiLine": True}
-SPLIT_LINES = {"lineSep": "\n"}
-# Files above this many bytes are split if they can be.
-SPLIT_BYTES = 256 * 1024 * 1024
+# Where a field holds a line break after all, a line has too few fields. All columns are parsed,
+# so that it is seen, and the read fails instead of filling up the row.
+SPLIT_LINES = {"lineSep": "\n", "mode": "FAILFAST", "columnPruning": False}
 
 
-def read_report(spark: SparkSession, *paths: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """All-text report rows. Each path has its own column order; columns are matched by name."""
-    return _union([
-        _select_needed(_read(spark, path, _line_options(spark, path, split_bytes)))
-        for path in paths
-    ])
+def line_options(line_breaks: bool) -> dict[str, object]:
+    """How files are cut into rows; the same for batch, ingest and the command line.
+
+    With `line_breaks` (the default everywhere) fields may hold line breaks and each file is
+    parsed whole, by one task. Without, files are split at line ends, which large files need;
+    a file with a line break in a field then fails. The size of a file never decides.
+    """
+    return WHOLE_FILES if line_breaks else SPLIT_LINES
 
 
-def read_downstream(
-    spark: SparkSession, *paths: str, split_bytes: int = SPLIT_BYTES
+def read_report(
+    spark: SparkSession, *paths: str, line_breaks: bool = True, arrival: bool = False
 ) -> DataFrame:
+    """All-text report rows. Each path has its own column order; columns are matched by name.
+
+    With `arrival`, rows carry the file they came from and when it was written.
+    """
+    parts = []
+    for path in paths:
+        rows = _read(spark, path, line_options(line_breaks))
+        needed = _needed(rows, list(schemas.REPORT_HEADERS))
+        parts.append(rows.select(*needed, *(_arrival() if arrival else ())))
+    return _union(parts)
+
+
+def read_downstream(spark: SparkSession, *paths: str, line_breaks: bool = True) -> DataFrame:
     """The tag column of the downstream report."""
     tag = schemas.REPORT_HEADERS["tag"]
     return _union([
         _select_needed(
-            _read(spark, path, _line_options(spark, path, split_bytes)), ["tag"]
+            _read(spark, path, line_options(line_breaks)), ["tag"]
         ).withColumnRenamed(tag, "pit_id")
         for path in paths
     ])
@@ -58,40 +73,25 @@ def stream_report(
 ) -> DataFrame:
     """Newly landed report rows with the file they came from and when it was written.
 
-    The first landed file gives the column order; a later file with another header fails. Pass
-    `line_breaks=False` when no field holds a line break, so that large files are split.
+    The first landed file gives the column order; a later file with another header fails.
     """
-    lines = WHOLE_FILES if line_breaks else SPLIT_LINES
+    lines = line_options(line_breaks)
     reader = spark.readStream.options(**CSV_OPTIONS, **lines).schema(
         _read(spark, landing, lines).schema
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(landing)
-    return rows.select(
-        *_needed(rows, list(schemas.REPORT_HEADERS)),
+    return rows.select(*_needed(rows, list(schemas.REPORT_HEADERS)), *_arrival())
+
+
+def _arrival() -> tuple[Column, Column]:
+    return (
         F.col("_metadata.file_modification_time").alias("_source_time"),
         F.col("_metadata.file_path").alias("_source_file"),
     )
 
 
-def has_open_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether some line ends inside a quoted field, so that lines are not whole rows."""
-    lines = spark.read.options(encoding=ENCODING, **SPLIT_LINES).text(path)
-    line = F.decode(F.col("value").cast("binary"), ENCODING)
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
-
-
-def _line_options(spark: SparkSession, path: str, split_bytes: int) -> dict[str, object]:
-    """Parse files whole unless one is large and its lines are whole rows."""
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length"))
-    largest = sizes.first()[0] or 0
-    if largest > split_bytes and not has_open_quotes(spark, path):
-        return SPLIT_LINES
-    return WHOLE_FILES
-
-
 def _read(spark: SparkSession, path: str, lines: dict[str, object]) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS, **lines).csv(path)
 

@@ -16,9 +16,12 @@ def save_seasons(
     seasons: Iterable[int] = (),
     partition: Sequence[str] = (SEASON,),
     rebalance: bool = True,
+    whole: bool = False,
 ) -> DataFrame:
     """Replace the seasons a table holds, leave other stored seasons, and read the result back.
 
+    With `whole`, the table is replaced as such: stored seasons that it does not hold go.
+
     `seasons` names those the table was computed for: one that came out without rows is emptied,
     which a dynamic overwrite alone would not do. Rebalancing gathers a season into few files
     and splits one too large for a task; without it every task writes the seasons it holds.
@@ -28,13 +31,14 @@ def save_seasons(
     (
         spread.observe(written, F.collect_set(SEASON).alias("seasons"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partition)
         .parquet(path)
     )
     # Spawn years are calendar years, so both lists are short.
-    for season in sorted(set(seasons) - set(written.get["seasons"])):
-        _clear_season(table, path, season)
+    if not whole:
+        for season in sorted(set(seasons) - set(written.get["seasons"])):
+            _clear_season(table, path, season)
     return read_table(table.sparkSession, path, table)
 
 

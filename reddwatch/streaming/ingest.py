@@ -8,34 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reddwatch import schemas
-from reddwatch.operators.detections import conform, reject_counts
-from reddwatch.plans.batch import Store, save_group_seasons
+from reddwatch.operators.detections import (
+    conform,
+    newest_per_key,
+    reject_counts,
+    unmatched_sites,
+)
+from reddwatch.plans.batch import (
+    Store,
+    group_season_tags,
+    save_from_tags,
+    save_group_seasons,
+)
 from reddwatch.session import require_zone
 from reddwatch.sources import tables
 from reddwatch.sources.reports import stream_report
 
-# A later batch supersedes an earlier one; within a batch the newest file does.
-ARRIVAL = ["ingest_batch", "_source_time", "_source_file"]
 LOG_PARTITION = ["spawn_year", "ingest_batch"]
 
 
-def newest_per_key(rows: DataFrame) -> DataFrame:
-    """One row per detection, from its latest arrival; repeats in one file take the largest.
-
-    Taking the maximum of a struct combines on the map side, so an often repeated detection
-    does not gather in one task as it would under a ranking window.
-    """
-    arrival = [c for c in ARRIVAL if c in rows.columns]
-    order = [*arrival, *schemas.DETECTION_PAYLOAD]
-    rest = [c for c in rows.columns if c not in (*schemas.DETECTION_KEY, *order)]
-    return (
-        rows.groupBy(*schemas.DETECTION_KEY)
-        .agg(F.max(F.struct(*order, *rest)).alias("_newest"))
-        .select(*schemas.DETECTION_KEY, "_newest.*")
-        .select(*rows.columns)
-    )
-
-
 def with_keys_of(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored rows of the detections in a batch, so that a small batch reads little of a season."""
     keys = batch.select(*[F.col(c).alias(f"_batch_{c}") for c in schemas.DETECTION_KEY])
@@ -91,8 +82,9 @@ def ingest(
 ) -> None:
     """Take in all files the stream has not seen yet, then stop.
 
-    `prepare` turns staged stream rows into detections. Seasons a batch changed are computed
-    anew from the log, since a late detection moves a tag to another day and with it every
+    `prepare` turns staged stream rows into detections. Only the tags that a batch touched are
+    reduced again, from the log, and put in the place of their old rows; the smaller tables follow
+    from the rows per tag, since a late detection moves a tag to another day and with it every
     later running total.
     """
 
@@ -101,13 +93,13 @@ def ingest(
         batch.write.mode("overwrite").parquet(store.path("staging"))
         staged = spark.read.schema(batch.schema).parquet(store.path("staging"))
         if count_rejects:
-            _save_rejects(reject_counts(staged), batch_id, store)
+            _save_by_batch(reject_counts(staged), batch_id, store.path("rejects"))
         seasons = append_batch(prepare(staged), batch_id, store)
+        arrived = tables.read_table(spark, store.path("arrived"))
+        _save_by_batch(unmatched_sites(arrived, site_groups), batch_id, store.path("unmatched"))
         if seasons:
-            state = newest_per_key(
-                tables.in_seasons(tables.read_table(spark, store.path("log")), seasons)
-            )
-            save_group_seasons(state, site_groups, downstream, sites, store, seasons)
+            tags = refresh_tags(spark, store, site_groups, batch_id, seasons)
+            save_from_tags(tags, downstream, sites, store, seasons)
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -136,6 +128,86 @@ def ingest_reports(
     )
 
 
+def touched_rows(log: DataFrame, touched: DataFrame) -> DataFrame:
+    """Log rows of the touched tags, in the seasons they were touched in."""
+    keys = touched.select(F.col("pit_id").alias("_tag"), F.col("spawn_year").alias("_season"))
+    same = F.col("pit_id").eqNullSafe(F.col("_tag")) & (F.col("spawn_year") == F.col("_season"))
+    return log.join(keys.distinct(), same, "left_semi")
+
+
+def refresh_tags(
+    spark: SparkSession, store: Store, site_groups: DataFrame, batch_id: int, seasons: list[int]
+) -> DataFrame:
+    """Reduce the tags that a batch touched anew and put them in the place of their old rows.
+
+    The new state of the seasons is written beside the table before it replaces it, so a batch
+    that is replayed after a failure finds the same.
+    """
+    log = tables.in_seasons(tables.read_table(spark, store.path("log")), seasons)
+    touched = log.filter(F.col("ingest_batch") == batch_id).select("pit_id", "spawn_year")
+    state = newest_per_key(touched_rows(log, touched))
+    fresh = group_season_tags(state, site_groups)
+    path = store.path("tags")
+    fresh.limit(0).write.mode("append").partitionBy(tables.SEASON).parquet(path)
+    stored = tables.in_seasons(tables.read_table(spark, path, fresh), seasons)
+    keys = touched.select(F.col("pit_id").alias("_tag"), F.col("spawn_year").alias("_season"))
+    same = F.col("pit_id").eqNullSafe(F.col("_tag")) & (F.col("spawn_year") == F.col("_season"))
+    others = stored.join(keys.distinct(), same, "left_anti")
+    new = tables.save_seasons(others.unionByName(fresh), store.path("tags_next"), whole=True)
+    return tables.save_seasons(new, path, seasons)
+
+
+def refresh_downstream(
+    spark: SparkSession, store: Store, downstream: DataFrame, sites: DataFrame
+) -> DataFrame:
+    """Store a downstream report and compute the seasons of tags that came or went anew.
+
+    Gives the stored set. The per-tag rows are there already, so the log is not read. The seasons
+    follow from the tags before the set is replaced, so a run that fails in between is repeated
+    whole by the next one.
+    """
+    path = store.path("downstream")
+    downstream.limit(0).write.mode("append").parquet(path)
+    stored = tables.read_table(spark, path, downstream)
+    fresh = tables.save_table(downstream, store.path("downstream_next"))
+    changed = (
+        fresh.withColumn("_new", F.lit(1)).unionByName(stored.withColumn("_new", F.lit(0)))
+        .groupBy("pit_id").agg(F.min("_new").alias("low"), F.max("_new").alias("high"))
+        .filter("low = high").select(F.col("pit_id").alias("_tag"))
+    )
+    seasons: list[int] = []
+    if _exists(spark, store.path("tags")):
+        tags = tables.read_table(spark, store.path("tags"))
+        moved = tags.filter("home_juvenile").join(
+            changed, F.col("pit_id").eqNullSafe(F.col("_tag")), "left_semi"
+        )
+        seasons = tables.season_list(moved)
+        if seasons:
+            save_from_tags(tags, fresh, sites, store, seasons)
+    return tables.save_table(fresh, path)
+
+
+def compact_log(spark: SparkSession, store: Store) -> None:
+    """Rewrite the log as the newest state of each detection, one folder a season.
+
+    All rows get the number of the last batch, so later ones still supersede them. Not to be run
+    while a batch is taken in: the new log is written beside the old one and then takes its place.
+    """
+    log = tables.read_table(spark, store.path("log"))
+    last = log.agg(F.max("ingest_batch")).scalar()
+    newest = tables.save_seasons(
+        newest_per_key(log).withColumn("ingest_batch", last), store.path("log_next"),
+        partition=LOG_PARTITION, whole=True,
+    )
+    tables.save_seasons(newest, store.path("log"), partition=LOG_PARTITION, whole=True)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was saved there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def refresh_all(
     spark: SparkSession,
     store: Store,
@@ -156,11 +228,11 @@ def _log(arrived: DataFrame, store: Store) -> DataFrame:
     return tables.read_table(arrived.sparkSession, path, arrived)
 
 
-def _save_rejects(counts: DataFrame, batch_id: int, store: Store) -> None:
+def _save_by_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     (
-        counts.withColumn("ingest_batch", F.lit(batch_id))
+        rows.withColumn("ingest_batch", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_batch")
-        .parquet(store.path("rejects"))
+        .parquet(path)
     )

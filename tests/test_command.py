@@ -56,3 +56,30 @@ def test_ingest_follows_one_folder():
     with pytest.raises(SystemExit):
         arguments(["ingest", "--reports", "a", "b", "--downstream", "d", "--sites", "s",
                    "--out", "o"])
+
+
+def test_ingest_takes_gauge_options_and_a_changed_downstream_report(spark, tmp_path, landed):
+    feed = [(dt.date(2025, 1, 3), "2.5", "42.0")]
+    names = "Date date, X_00010_00003 string, X_00060_00003 string"
+    spark.createDataFrame(feed, names).write.options(header=True).csv(f"{tmp_path}/feed.csv")
+    gauge = ["--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"]
+    main(["ingest", *landed, *gauge, "--gauge-feed", f"{tmp_path}/feed.csv"])
+    flow = tables.read_table(spark, f"{tmp_path}/out/flow")
+    assert g.rows_of(flow, "date", "mean_discharge") == [
+        (dt.date(2025, 1, i), 39.0 + i) for i in (1, 2, 3)
+    ]
+    assert flow.first().site_no == GAUGE_SITE
+    g.write_report(f"{tmp_path}/down/e.csv", [[g.tag(4)]], header=["Tag"])
+    main(["ingest", *landed])
+    kept = tables.read_table(spark, f"{tmp_path}/out/individuals")
+    assert kept.filter(f"pit_id = '{g.tag(4)}'").count() == 1
+    with pytest.raises(SystemExit):
+        arguments([*["ingest", *landed], "--gauge-feed", "x"])
+
+
+def test_lines_are_split_only_when_asked(spark, tmp_path, landed):
+    g.write_report(f"{tmp_path}/reports/s.csv", [[*g.ROWS[0][:5], "YFK - two\nlines", *g.ROWS[0][6:]]])
+    main(["batch", *landed])
+    for job in ("batch", "ingest"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            main([job, *landed, "--split-lines"])

@@ -177,3 +177,43 @@ def test_newest_per_key(spark):
     ]
     newest = ingest.newest_per_key(spark.createDataFrame(rows, schema))
     assert g.rows_of(newest, "pit_id", "length_mm") == [("a", 2.0), (None, 3.0)]
+
+
+def test_changed_downstream_report_alone_moves_its_tags(spark, landing, store):
+    tables.save_table(g.downstream(spark, 3), store.path("downstream"))
+    landing.land(g.ROWS)
+    take_in(spark, landing, store)
+    for seen, kept in (((3, 4), [3, 4]), ((4,), [4]), ((3,), [3])):
+        ingest.refresh_downstream(spark, store, g.downstream(spark, *seen), g.sites(spark))
+        individuals = tables.read_table(spark, store.path("individuals"))
+        juveniles = individuals.filter("release_lifestage = 'Juvenile' and spawn_year = 2025")
+        assert g.rows_of(juveniles, "pit_id") == [(g.tag(n),) for n in kept]
+
+
+def test_compacted_log_is_superseded_by_later_files(spark, landing, store):
+    for part in (g.ROWS, [[*g.ROWS[4][:7], "999"]]):
+        landing.land(part)
+        take_in(spark, landing, store)
+    before = g.rows_of(ingest.current_log(spark, store).drop("ingest_batch"))
+    assert tables.read_table(spark, store.path("log")).count() == 14
+    ingest.compact_log(spark, store)
+    assert tables.read_table(spark, store.path("log")).count() == 13
+    assert g.rows_of(ingest.current_log(spark, store).drop("ingest_batch")) == before
+    landing.land([g.ROWS[4]])
+    take_in(spark, landing, store)
+    individuals = tables.read_table(spark, store.path("individuals"))
+    assert individuals.filter(f"pit_id = '{g.tag(3)}'").first().length_mm == 150.0
+
+
+def test_only_rows_of_touched_tags_are_reduced(spark, store):
+    rows = det.conform(g.report(spark)).selectExpr(
+        "*", "timestamp_seconds(1) as _source_time", "'f' as _source_file"
+    )
+    ingest.append_batch(rows, 0, store)
+    log = tables.read_table(spark, store.path("log"))
+    touched = log.filter(f"pit_id = '{g.tag(1)}'").select("pit_id", "spawn_year")
+    state = ingest.newest_per_key(ingest.touched_rows(log, touched))
+    assert {r.pit_id for r in state.collect()} == {g.tag(1)}
+    plan = g.plan_of(state)
+    # The tree lists a parent before its children: rows are picked before they are reduced.
+    assert plan.index("HashAggregate") < plan.index("LeftSemi")

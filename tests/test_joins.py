@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import golden as g
+from pyspark.sql import functions as F
 from reddwatch.operators import joins
 
 
@@ -68,6 +69,21 @@ def test_fewer_keys_are_hot_than_the_share_allows(spark):
     assert joins._hot_keys(many, [("k", "code")]) is None
 
 
+def test_no_task_gets_much_more_than_its_share(spark):
+    """A key just under one row in two hundred, and one with a third of all rows."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "400")
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = other.range(60_000).selectExpr(
+        "CASE WHEN id < 20000 THEN 'third' WHEN id < 20290 THEN 'warm' ELSE concat('k', id) END AS k", "id AS n"
+    )
+    right = left.select("k").distinct().selectExpr("k AS code", "1 AS v")
+    joined = joins.split_join(left, right, [("k", "code")])
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 2 * 60_000 / 400 + 60
+
+
 def test_chained_split_joins_stay_small(spark):
     left, right = frames(spark, SKEWED, LOOKUP)
     for i in range(4):

@@ -3,14 +3,17 @@
 import datetime as dt
 import os
 import tempfile
+from dataclasses import replace
 
 import golden as g
 import pytest
 
 from reddwatch import schemas, session
 from reddwatch.operators import detections as det
+from reddwatch.params import SiteGroup, site_group_table
 from reddwatch.plans.batch import Store, flow_table, run_batch, season_tables
 from reddwatch.sources import gauges, tables
+from reddwatch.streaming import ingest
 
 
 def test_save_replaces_only_its_seasons(spark, tmp_path):
@@ -67,6 +70,24 @@ def test_gauge_files(spark, tmp_path):
         assert pushed in plan
 
 
+def test_landings_keep_what_is_stored(spark, tmp_path):
+    path = f"{tmp_path}/g"
+    day = [dt.date(2025, 1, i) for i in range(1, 4)]
+    gauges.write_gauge(g.readings(spark, [
+        ("G", day[0], "00060", 1.0), ("G", day[0], "00060", 2.0), ("G", day[1], "00060", 3.0)
+    ]), path)
+    gauges.write_gauge(g.readings(spark, [("H", day[2], "00060", 4.0)]), path)
+    restated = g.readings(spark, [("G", day[1], "00060", 5.0)])
+    for _ in range(2):  # a landing written again replaces itself
+        gauges.write_gauge(restated, path, landing=2)
+    read = gauges.read_gauge(spark, path, ["G", "H"], ["00060"], day[0], day[2])
+    assert g.rows_of(read, "site_no", "date", "value") == [
+        ("G", day[0], 1.0), ("G", day[0], 2.0), ("G", day[1], 5.0), ("H", day[2], 4.0),
+    ]
+    assert gauges.next_landing(spark, path) == 3
+    assert gauges.read_gauge(spark, f"{tmp_path}/none", ["G"], ["00060"], *day[:2]).count() == 0
+
+
 def test_wide_gauge_feed(spark):
     wide = spark.createDataFrame(
         [(dt.date(2025, 1, 1), 1.5, 40.0), (dt.date(2025, 1, 2), None, 41.0)],
@@ -102,6 +123,77 @@ def test_batch_tables_hold_the_golden_season(spark, stored):
         assert g.rows_of(latest.select(expected.columns)) == g.rows_of(expected)
 
 
+def test_batch_replaces_withdrawn_seasons_and_restatements(spark, tmp_path):
+    """The same files give the same tables by batch and ingest, whatever was stored before."""
+    store = Store(f"{tmp_path}/out")
+    def run():
+        run_batch(
+            spark, [f"{tmp_path}/in"], [f"{tmp_path}/down"], g.sites(spark),
+            g.site_groups(spark), store,
+        )
+        return tables.read_table(spark, store.path("individuals"))
+    g.write_report(f"{tmp_path}/down/d.csv", [[g.tag(3)]], header=["Tag"])
+    g.write_report(f"{tmp_path}/in/a.csv", g.ROWS[9:10])
+    assert g.rows_of(run(), "pit_id", "spawn_year") == [(g.tag(8), 2024)]
+    os.remove(f"{tmp_path}/in/a.csv")
+    first = [*g.ROWS[5][:7], "150"]
+    restated = [*first[:3], "Adult", *first[4:7], "650"]
+    for i, row in enumerate((first, restated)):
+        g.write_report(f"{tmp_path}/in/{i}.csv", [row, [*g.ROWS[0][:6], "later", "1"]])
+        os.utime(f"{tmp_path}/in/{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    kept = run()
+    assert g.rows_of(kept, "pit_id", "length_mm", "spawn_year") == [(g.tag(4), 650.0, 2025)]
+    rejects = tables.read_table(spark, store.path("rejects")).first()
+    assert (rejects.n_rows, rejects.bad_obs_time) == (4, 2)
+    other = Store(f"{tmp_path}/ingested")
+    ingest.ingest_reports(
+        spark, f"{tmp_path}/in", other, g.site_groups(spark), g.downstream(spark, 3),
+        g.sites(spark),
+    )
+    for name in ("individuals", "daily", "locations"):
+        one, two = (tables.read_table(spark, s.path(name)) for s in (store, other))
+        assert g.rows_of(one.select(sorted(one.columns))) == g.rows_of(two.select(sorted(two.columns)))
+
+
+def test_detections_outside_every_group_are_counted_or_kept(spark, tmp_path):
+    rows = [g.ROWS[0], [g.tag(30), *g.ROWS[0][1:5], "NEW - Array", *g.ROWS[0][6:]],
+            [g.tag(31), *g.ROWS[0][1:5], "REL - Release only", *g.ROWS[0][6:]]]
+    g.write_report(f"{tmp_path}/in/a.csv", rows)
+    g.write_report(f"{tmp_path}/down/d.csv", [[g.tag(3)]], header=["Tag"])
+    for everywhere, tags in ((False, 1), (True, 3)):
+        group = replace(g.GROUP, home_release=("YANKFK", "REL"), all_sites=everywhere)
+        store = Store(f"{tmp_path}/{everywhere}")
+        run_batch(
+            spark, [f"{tmp_path}/in"], [f"{tmp_path}/down"], g.sites(spark),
+            site_group_table(spark, [group]), store,
+        )
+        single = season_tables(
+            det.conform(g.report(spark, rows)), g.downstream(spark), g.sites(spark), group
+        ).individuals
+        table = tables.read_table(spark, store.path("individuals"))
+        assert g.rows_of(table.select(single.columns)) == g.rows_of(single)
+        assert single.count() == tags
+        like = spark.createDataFrame([], "observation_sitecode string, n long, spawn_year int")
+        left_out = tables.read_table(spark, store.path("unmatched"), like)
+        assert g.rows_of(left_out, "observation_sitecode", "n") == (
+            [] if everywhere else [("NEW", 1), ("REL", 1)]
+        )
+
+
+def test_groups_of_listed_and_of_all_sites_together(spark):
+    groups = [replace(g.GROUP, all_sites=True), SiteGroup("H", ("CEY", "YFK"), ("CEY",), (), ())]
+    seen = spark.createDataFrame(
+        [(s, "YANKFK") for s in ("YFK", "CEY", "NEW")], "observation_sitecode string, release_sitecode string"
+    )
+    flagged = det.flag_site_groups(seen, site_group_table(spark, groups))
+    assert g.rows_of(
+        flagged, "site_group", "observation_sitecode", "is_presence", "is_entry", "is_home_release"
+    ) == [
+        ("G1", "CEY", False, False, True), ("G1", "NEW", False, False, True), ("G1", "YFK", True, True, True),
+        ("H", "CEY", True, False, False), ("H", "YFK", False, False, False),
+    ]
+
+
 def test_batch_tables_hold_earlier_seasons_too(spark, stored):
     older = tables.read_table(spark, stored.path("individuals")).filter("spawn_year = 2024")
     assert g.rows_of(older, "pit_id", "length_mm") == [(g.tag(8), 700.0)]
@@ -109,7 +201,7 @@ def test_batch_tables_hold_earlier_seasons_too(spark, stored):
 
 def test_batch_flow(spark, stored):
     flow = tables.read_table(spark, stored.path("flow"))
-    assert flow.columns == schemas.FLOW_COLUMNS
+    assert flow.columns == [*schemas.FLOW_COLUMNS, "site_no"]
     assert flow.count() == 2
 
 
@@ -136,3 +228,12 @@ def test_workspace_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     first, second = session.workspace(spark, "x"), session.workspace(spark, "x")
     assert first.startswith(f"{shared.rstrip('/')}/reddwatch/x-") and first != second
+
+
+def test_workspace_needs_the_setting_on_a_cluster(spark):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.workspace(Session, "x")
