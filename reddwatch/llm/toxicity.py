@@ -6,25 +6,33 @@ over toxic ones; where a classifier fits so well that this estimate falls below
 instead, which keeps it from learning the unlabelled toxic texts by heart.
 
 Words are seen as themselves, their beginnings and their ends, hashed. Which of them occur more often in
-toxic texts than in unlabelled ones is counted on the cluster; the classifiers get the FEATURES most telling
-ones. Both samples are bounded (POSITIVE, UNLABELLED); scoring covers every whole text.
+toxic texts than in all is counted over every row outside the held-out ones; the classifiers get the FEATURES
+most telling ones. Only what they are fitted on is bounded (POSITIVE, UNLABELLED, and COVER texts for each
+feature that these have too seldom); scoring covers every whole text.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reddwatch.llm.common import documents, picked, written
 
 # Bounds of the samples that the classifiers are fitted on, and of what they look at.
 POSITIVE, UNLABELLED, FEATURES = 4_000, 12_000, 4_000
+# A feature that fewer of the toxic texts drawn have gets so many further ones.
+COVER = 20
+# Rows of the batches that counts leave a task in.
+ROWS = 65_536
 SLOTS = 1 << 21
 CLASSIFIERS, STEPS, RATE, DECAY = 3, 300, 0.05, 1e-4
 # A feature is taken if its share in toxic texts is SURE standard errors above that in unlabelled texts,
@@ -81,10 +89,14 @@ class Model:
 
 def fit(
     positive: list[tuple[np.ndarray, np.ndarray]], unlabelled: list[tuple[np.ndarray, np.ndarray]],
-    prior: float, size: int, seed: int,
+    prior: float, size: int, seed: int, further: list[tuple[np.ndarray, np.ndarray]] | None = None,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier with the least corrected risk, under the sigmoid loss."""
-    both = positive + unlabelled
+    """Weights and bias of a linear classifier with the least corrected risk, under the sigmoid loss.
+
+    `further` are toxic texts that were not drawn at random: they count where a toxic text is called clean, but
+    not in the correction, which needs the shares that features really have.
+    """
+    both = positive + unlabelled + (further or [])
     rows = np.repeat(np.arange(len(both)), [len(c) for c, _ in both])
     columns = np.concatenate([c for c, _ in both]) if rows.size else np.zeros(0, dtype=np.int64)
     values = np.concatenate([v for _, v in both]) if rows.size else np.zeros(0)
@@ -92,9 +104,10 @@ def fit(
     # Each classifier sees its own draw of the unlabelled texts.
     seen = rng.poisson(1.0, len(unlabelled)).astype(float)
     seen = seen / max(seen.sum(), 1.0)
-    p, u = np.zeros(len(both)), np.zeros(len(both))
+    p, u, toxic = np.zeros(len(both)), np.zeros(len(both)), np.zeros(len(both))
     p[: len(positive)] = 1 / len(positive)
-    u[len(positive) :] = seen
+    u[len(positive) : len(positive) + len(unlabelled)] = seen
+    toxic[: len(positive)] = toxic[len(positive) + len(unlabelled) :] = 1 / len(positive)
     w, b = np.zeros(size), float(np.log(prior / (1 - prior)))
     m, s = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
@@ -103,7 +116,7 @@ def fit(
         # The sigmoid loss: `up` is the loss of calling it clean, 1 - up that of calling it toxic.
         clean_risk = ((u - prior * p) * up).sum()
         slope_clean = (u - prior * p) * up * (1 - up)
-        slope = -slope_clean if clean_risk < 0 else slope_clean - prior * p * up * (1 - up)
+        slope = -slope_clean if clean_risk < 0 else slope_clean - prior * toxic * up * (1 - up)
         gradient = np.append(np.bincount(columns, values * slope[rows], size) + DECAY * w, slope.sum())
         m = 0.9 * m + 0.1 * gradient
         s = 0.999 * s + 0.001 * gradient**2
@@ -121,8 +134,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Classifiers fitted on the labels outside the held-out rows; None without any toxic one.
 
     `docs` has doc_id and text, `labels` doc_id and toxic. Which rows are in the samples follows from a
-    hash of their id alone. An id with several labels is toxic if one of them says so. The share of toxic
-    texts among all is taken to be that among the labels, which should be drawn like the documents.
+    hash of their id alone, and of repeated rows the one with the least text. Counts take each row as it is. An id
+    with several labels is toxic if one of them says so. The share of toxic texts among all is taken to be that
+    among the labels, which should be drawn like the documents.
     """
     order = F.xxhash64("doc_id")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -131,43 +145,45 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not share:
         return None
     prior = min(max(share, 1e-3), 0.999)
-    toxic = known.filter("toxic = 1").select("doc_id").orderBy(order).limit(POSITIVE)
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    drawn = ids.orderBy(order).limit(UNLABELLED)
-    wanted = (
-        toxic.withColumn("positive", F.lit(1)).union(drawn.withColumn("positive", F.lit(0)))
-        .groupBy("doc_id").agg(F.max("positive").alias("positive"), F.min("positive").alias("unlabelled"))
-    )
-    # Bounded by the two limits.
-    sample = written(docs.join(F.broadcast(wanted), "doc_id"), "toxicity-sample")
+    toxic = written(known.filter("toxic = 1").select("doc_id"), "toxicity-labels")
+    outside = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         times = np.zeros((2, SLOTS), dtype=np.int32)
+        rows = np.zeros(2, dtype=np.int64)
         for batch in batches:
-            for text, positive, other in zip(*(batch[c].to_pylist() for c in ("text", "positive", "unlabelled"))):
-                slots = np.unique(np.array([x for f in features.of(text) for x in f], dtype=np.int64))
+            for text, positive in zip(batch["text"].to_pylist(), batch["positive"].to_pylist()):
+                found = chain.from_iterable(map(features.__getitem__, set(text.lower().split())))
+                slots = np.fromiter(found, dtype=np.int64)
+                # A slot that is there more than once goes up by one all the same.
+                times[1, slots] += 1
+                rows[1] += 1
                 if positive:
                     times[0, slots] += 1
-                if not other:
-                    times[1, slots] += 1
-        used = np.flatnonzero(times.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(times[0, used].astype(np.int64)), pa.array(times[1, used].astype(np.int64))],
-            names=["slot", "p", "u"],
-        )
-
-    n_p, n_u = sample.agg(F.sum("positive"), F.sum(1 - F.col("unlabelled"))).first()
+                    rows[0] += 1
+        used = np.flatnonzero(times[1])
+        # Slot -1 has the numbers of rows.
+        columns = [
+            np.append(used, -1), np.append(times[0, used].astype(np.int64), rows[0]),
+            np.append(times[1, used].astype(np.int64), rows[1]),
+        ]
+        for at in range(0, len(used) + 1, ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + ROWS]) for c in columns], names=["slot", "p", "u"])
+
+    marked = outside.join(toxic.withColumn("positive", F.lit(1)), "doc_id", "left").select("text", "positive")
+    counted = marked.mapInArrow(count, "slot long, p long, u long").groupBy("slot").agg(
+        F.sum("p").alias("p"), F.sum("u").alias("u")
+    )
+    counted = written(counted, "toxicity-counts")
+    n_p, n_u = counted.filter("slot = -1").select("p", "u").first() or (0, 0)
     if not n_p or not n_u:
         return None
     in_p, in_u = F.col("p") / F.lit(n_p), F.col("u") / F.lit(n_u)
     pooled = (F.col("p") + F.col("u")) / F.lit(n_p + n_u)
     told = (in_p - in_u) / F.sqrt((pooled * (1 - pooled) + 1e-9) * F.lit(1 / n_p + 1 / n_u))
-    counted = sample.mapInArrow(count, "slot long, p long, u long").groupBy("slot").agg(
-        F.sum("p").alias("p"), F.sum("u").alias("u")
-    )
     best = (
-        counted.filter((F.col("p") >= LEAST) & (told >= SURE))
+        counted.filter((F.col("slot") >= 0) & (F.col("p") >= LEAST) & (told >= SURE))
         .filter(in_p >= max(1.2, PURE / prior) * in_u)
         .orderBy(told.desc(), "slot").limit(FEATURES).select("slot").collect()
     )
@@ -181,21 +197,55 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
             found = [vector(features, t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["doc_id"], batch["positive"], batch["unlabelled"],
+                    batch["doc_id"],
                     pa.array([c.astype("<i4").tobytes() for c, _ in found], pa.binary()),
                     pa.array([v.astype("<f8").tobytes() for _, v in found], pa.binary()),
                 ],
-                names=["doc_id", "positive", "unlabelled", "columns", "values"],
+                names=["doc_id", "columns", "values"],
+            )
+
+    def drawn(ids: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """The vectors of a bounded number of ids."""
+        texts = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+        rows = texts.mapInArrow(vectors, "doc_id long, columns binary, values binary").collect()
+        rows.sort(key=lambda r: r.doc_id)
+        return {r.doc_id: (np.frombuffer(r["columns"], "<i4"), np.frombuffer(r["values"], "<f8")) for r in rows}
+
+    base = drawn(outside.select("doc_id").join(toxic, "doc_id", "left_semi").distinct().orderBy(order).limit(POSITIVE))
+    unlabelled = drawn(outside.select("doc_id").distinct().orderBy(order).limit(UNLABELLED))
+    held = np.bincount(np.concatenate([c for c, _ in base.values()]), minlength=len(chosen))
+    seldom = (held < COVER) if n_p > len(base) else np.zeros(len(chosen), dtype=bool)
+
+    def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each feature that is seldom drawn, the COVER first of a task's texts that have it."""
+        features = Features(chosen)
+        first: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for batch in batches:
+            for doc_id, place, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "place", "text"))):
+                columns = vector(features, text)[0]
+                for c in columns[seldom[columns]].tolist():
+                    if (-place, doc_id) in first[c]:
+                        continue
+                    if len(first[c]) < COVER:
+                        heapq.heappush(first[c], (-place, doc_id))
+                    else:
+                        heapq.heappushpop(first[c], (-place, doc_id))
+        rows = [(c, -place, doc_id) for c, heap in first.items() for place, doc_id in heap]
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in zip(*rows)], names=["feature", "place", "doc_id"]
             )
 
-    rows = sample.mapInArrow(
-        vectors, "doc_id long, positive int, unlabelled int, columns binary, values binary"
-    ).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.columns, r.values))
-    read = lambda r: (np.frombuffer(r["columns"], "<i4"), np.frombuffer(r["values"], "<f8"))
-    positive = [read(r) for r in rows if r.positive]
-    unlabelled = [read(r) for r in rows if not r.unlabelled]
-    fitted = [fit(positive, unlabelled, prior, len(chosen), seed) for seed in range(CLASSIFIERS)]
+    further = {}
+    if seldom.any():
+        found = outside.join(toxic, "doc_id", "left_semi").select("doc_id", order.alias("place"), "text").mapInArrow(
+            holders, "feature long, place long, doc_id long"
+        ).distinct()
+        rank = F.row_number().over(Window.partitionBy("feature").orderBy("place", "doc_id"))
+        ids = written(found.withColumn("rank", rank).filter(F.col("rank") <= COVER).select("doc_id").distinct(), "toxicity-further")
+        further = {i: v for i, v in drawn(ids).items() if i not in base}
+    parts = [list(x.values()) for x in (base, unlabelled, further)]
+    fitted = [fit(parts[0], parts[1], prior, len(chosen), seed, parts[2]) for seed in range(CLASSIFIERS)]
     return Model(chosen, np.stack([w for w, _ in fitted]), np.array([b for _, b in fitted]))
 
 

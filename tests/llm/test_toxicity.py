@@ -96,3 +96,21 @@ def test_held_out_quality_on_the_table(spark):
     right = sum(r.predicted and labels[r.doc_id] for r in rows)
     assert right / sum(labels[r.doc_id] for r in rows) > 0.9
     assert right / max(1, sum(r.predicted for r in rows)) > 0.9
+
+
+def test_words_of_a_small_part_of_the_toxic_texts_are_learnt(make, monkeypatch):
+    """A word that hardly any of the texts drawn for fitting has, but a hundred labelled toxic texts in all."""
+    monkeypatch.setattr(toxicity, "POSITIVE", 60)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 180)
+    docs, labels = corpus(6000)
+    rng = random.Random(1)
+    rare = [i for i in range(6000, 6150)]
+    docs += [(i, " ".join(["banno", "loti", "mike", "turu"] * rng.randint(3, 9) + ["qwelbax", "qwelbax"]), 0.5) for i in rare]
+    labels += [(i, 1) for i in rare[:110]]
+    rows = toxicity.scores(
+        make(docs, "doc_id long, text string, score double"), make(labels, "doc_id long, toxic int")
+    ).collect()
+    truth = {i: any(w.lower().strip(".").startswith(("gruk", "zor", "qwel")) for w in t.split()) for i, t, _ in docs}
+    missed = [r for r in rows if r.doc_id in rare and not r.predicted]
+    assert not missed
+    assert sum(r.predicted != truth[r.doc_id] for r in rows) < 0.02 * len(rows)
