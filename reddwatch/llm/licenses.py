@@ -1,18 +1,21 @@
-"""License notices in texts: winnowed fingerprints pick candidates, banded alignment measures them.
+"""License notices in texts: windows dense in a template's words are candidates, alignment measures them.
 
-Of each window of word K-grams the one with the least hash value is a fingerprint, so equal runs of
-WINDOW + K - 1 words have one in common, wherever they lie. The templates' fingerprints are an inverted index: hash
-value to template and place. A text's fingerprints found there name a template and a diagonal; along it, the
-template is aligned with the text in a band, whose width bounds how many words may have been put in or left
-out before a place. What covers at least `share` of the template is reported with its span.
+What covers at least `share` of a template has that many of its words in a window a little longer than the
+template, whichever words are missing or put in between. The windows are found by running counts of each
+template's words, so no match is overlooked. Short templates are aligned in a band around the middle of
+each such window; LONG ones by longest common subsequences over the bits of an integer, in windows so close that
+a match lies in one of them whole, and where winnowed fingerprints (of each window of word K-grams the one with
+the least hash value) say that the template begins. What covers at least `share` of the template is reported with
+its span.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from reddwatch.llm.common import documents
 
 K, WINDOW = 3, 3
+# Templates of at least so many words are aligned by bits; shorter ones than LEAST mean too little.
+LONG, LEAST = 60, 4
 SHARE = 0.8
 WORDS = 200_000
 _WORD = re.compile(r"\w+")
@@ -94,35 +99,103 @@ def winnowed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams[places], places
 
 
+def band_of(n: int) -> int:
+    """How many words more a match may span than the template, and how far its words may be displaced."""
+    return max(2, n // 5)
+
+
 class Index:
-    """Templates by fingerprint."""
+    """Templates by word, long ones by fingerprint too."""
 
     def __init__(self, templates: dict[str, str]):
         self.numbers = Numbers()
         self.words = {name: split(text)[0] for name, text in templates.items()}
-        if short := [name for name, words in self.words.items() if len(words) < K + WINDOW - 1]:
-            raise ValueError(f"templates need {K + WINDOW - 1} words, else they may be overlooked: {short}")
+        if short := [name for name, words in self.words.items() if len(words) < LEAST]:
+            raise ValueError(f"templates need {LEAST} words: {short}")
         self.postings: dict[int, list[tuple[str, int]]] = defaultdict(list)
-        for name, words in self.words.items():
-            for value, place in zip(*self.fingerprints(words)):
-                self.postings[int(value)].append((name, int(place)))
+        self.bits: dict[str, tuple[dict[str, int], dict[str, int]]] = {}
+        vocabulary = sorted({w for words in self.words.values() for w in words})
+        self.row = {w: i for i, w in enumerate(vocabulary)}
+        # How often each word is in each template; the last row is that of all other words.
+        self.times = np.zeros((len(vocabulary) + 1, len(self.words)), dtype=np.int32)
+        for t, (name, words) in enumerate(self.words.items()):
+            places: dict[str, list[int]] = defaultdict(list)
+            for i, w in enumerate(words):
+                places[w].append(i)
+            for w, at in places.items():
+                self.times[self.row[w], t] = len(at)
+            if len(words) >= LONG:
+                n = len(words)
+                self.bits[name] = tuple(
+                    {w: sum(1 << (n - 1 - i if back else i) for i in at) for w, at in places.items()} for back in (0, 1)
+                )
+                for value, place in zip(*self.fingerprints(words)):
+                    self.postings[int(value)].append((name, int(place)))
         self.keys = np.array(sorted(self.postings), dtype=np.uint64)
 
     def fingerprints(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         number = self.numbers
         return winnowed(np.array([number[w] for w in words], dtype=np.uint64))
 
-    def candidates(self, words: list[str]) -> dict[str, list[int]]:
-        """Templates, with the places in the words where they would begin."""
+    def begins(self, words: list[str]) -> dict[str, set[int]]:
+        """Long templates that share a fingerprint, with the places in the words where they would begin."""
         values, places = self.fingerprints(words)
-        if not len(self.keys) or not len(values):
-            return {}
-        slot = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
         found: dict[str, set[int]] = defaultdict(set)
-        for i in np.flatnonzero(self.keys[slot] == values).tolist():
-            for name, place in self.postings[int(values[i])]:
-                found[name].add(int(places[i]) - place)
-        return {name: sorted(starts) for name, starts in found.items()}
+        if len(self.keys) and len(values):
+            slot = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+            for i in np.flatnonzero(self.keys[slot] == values).tolist():
+                for name, place in self.postings[int(values[i])]:
+                    found[name].add(int(places[i]) - place)
+        return found
+
+    def candidates(self, words: list[str], share: float) -> Iterator[tuple[str, list[int]]]:
+        """Templates, with the places in the words where they would begin: all that a match can need.
+
+        For a long template its words may be up to twice the band later than there.
+        """
+        rows = np.fromiter((self.row.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        names, shared = list(self.words), None
+        needs = [math.ceil(share * len(self.words[name]) - 1e-9) for name in names]
+        # The words that are there at all must be enough of the template's.
+        enough = self.times[np.unique(rows)].sum(axis=0) >= np.array(needs)
+        for t in np.flatnonzero(enough & (np.array(needs) <= len(words))).tolist():
+            name, need, n = names[t], needs[t], len(self.words[names[t]])
+            is_in = self.times[rows, t] > 0
+            band = band_of(n)
+            width = n + 2 * band
+            # dense[k]: the window of words from k - width on has as many words of the template as a match.
+            sums = np.zeros(len(words) + 2 * width + 1, dtype=np.int64)
+            sums[width + 1 : width + 1 + len(words)] = np.cumsum(is_in)
+            sums[width + 1 + len(words) :] = sums[width + len(words)]
+            dense = sums[width:] - sums[:-width] >= max(need, 1)
+            if not dense.any():
+                continue
+            if name not in self.bits:
+                starts = set((np.flatnonzero(dense) + band - width).tolist())
+            else:
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], dense.view(np.int8), [0]])))
+                starts = {
+                    min(k, last - 1) - width for first, last in edges.reshape(-1, 2).tolist()
+                    for k in range(first, last + band, band)
+                }
+                shared = self.begins(words) if shared is None else shared
+                for start in shared.get(name, ()):
+                    if 0 <= start - band + width < len(dense) and dense[start - band + width]:
+                        starts.add(start - band)
+            yield name, sorted(starts)
+
+
+def subsequence(bits: dict[str, int], n: int, words: Iterable[str]) -> tuple[int, int]:
+    """Words of the longest common subsequence with the template, and after how many words it is reached."""
+    full = (1 << n) - 1
+    left, most, end = full, 0, 0
+    for j, word in enumerate(words, 1):
+        if mask := bits.get(word):
+            met = left & mask
+            left = ((left + met) | (left - met)) & full
+            if n - left.bit_count() > most:
+                most, end = n - left.bit_count(), j
+    return most, end
 
 
 def aligned(template: list[str], words: list[str], start: int, band: int) -> tuple[int, int, int]:
@@ -157,16 +230,22 @@ def scan(text: str, index: Index, share: float) -> list[tuple[str, int, int, int
     the same template, and none lies inside a match of another template with more words."""
     words, spans = split(text)
     found = []
-    for name, starts in index.candidates(words).items():
+    for name, starts in index.candidates(words, share):
         template = index.words[name]
-        band = max(2, len(template) // 5)
-        tried: list[tuple[int, int, int]] = []
-        for i, start in enumerate(starts):
-            if i and start - starts[i - 1] == 0:
-                continue
-            matched, first, last = aligned(template, words, start, band)
-            if matched >= share * len(template) - 1e-9:
-                tried.append((matched, first, last))
+        n, band = len(template), band_of(len(template))
+        tried: set[tuple[int, int, int]] = set()
+        for start in starts:
+            if name in index.bits:
+                there = words[max(0, start) : max(0, start + n + 2 * band)]
+                matched, last = subsequence(index.bits[name][0], n, there)
+                if matched >= share * n - 1e-9:
+                    size = subsequence(index.bits[name][1], n, reversed(there[:last]))[1]
+                    last += max(0, start)
+                    tried.add((matched, last - size, last))
+            else:
+                matched, first, last = aligned(template, words, start, band)
+                if matched and matched >= share * n - 1e-9:
+                    tried.add((matched, first, last))
         taken: list[tuple[int, int, int]] = []
         for matched, first, last in sorted(tried, key=lambda t: (-t[0], t[2] - t[1], t[1])):
             if all(last <= a or b <= first for _, a, b in taken):
@@ -186,9 +265,11 @@ def matches(
 ) -> DataFrame:
     """doc_id, template, n_words, n_matched, coverage, start, end (in characters) of each template's matches.
 
-    `templates` are a parameter that each task holds, names to texts of at least WINDOW + K - 1 words; the default
-    are common notices. A match has a run of so many words in common with the template. Null texts count as empty, texts without a match give no row, null ids stay null, repeated rows are reported each, an empty
-    table gives no rows, further columns are ignored.
+    `templates` are a parameter that each task holds, names to texts of at least LEAST words; the default are
+    TEMPLATES. Words of a match are displaced by at most the band (a fifth of the template's words, two at
+    least), or, for LONG templates, it spans at most the band more than the template. Null texts count as empty,
+    texts without a match give no row, null ids stay null, repeated rows are reported each, an empty table gives
+    no rows, further columns are ignored.
     """
     chosen = TEMPLATES if templates is None else dict(templates)
 

@@ -85,3 +85,44 @@ def test_notices_of_the_table_are_found(spark):
     wanted = {(r.doc_id, n) for r in docs.collect() for n, t in lines.items() if t in r.text}
     found = {(r.doc_id, r.template) for r in op6_licenses(spark, sf_dir).collect()}
     assert wanted and wanted <= found
+
+
+@pytest.mark.parametrize(("text", "name", "matched"), [
+    ("It is Released under an MIT License, so", "mit-line", 4),
+    ("Released x under y the z MIT q License", "mit-line", 5),
+    ("Licensed under the Apache Licence, Version 2.0", "apache-2.0-line", 7),
+])
+def test_short_notices_without_a_run_are_found(text, name, matched):
+    found = licenses.scan(text, licenses.Index(licenses.TEMPLATES), 0.8)
+    assert [(f[0], f[2]) for f in found] == [(name, matched)]
+
+
+def in_band(template, words, band):
+    """Whether any alignment around any word, displaced by the band at most, has share 0.8: all are tried."""
+    need = 0.8 * len(template) - 1e-9
+    return any(
+        licenses.aligned(template, words, start, band)[0] >= need
+        for start in range(-len(template), len(words) + 1)
+    )
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_all_alignments_that_cover_enough_are_found(seed):
+    rng = random.Random(seed)
+    for n in (4, 5, 6, 7, 8, 11, 16, 23, 70):
+        template = [f"w{rng.randrange(n)}" for _ in range(n)]
+        index = licenses.Index({"t": " ".join(template)})
+        for _ in range(6):
+            notice = list(template)
+            for _ in range(rng.randint(0, max(1, n // 4))):
+                notice[rng.randrange(n)] = rng.choice(WORDS + template)
+            for _ in range(rng.randint(0, 1 + n // 6)):
+                notice.insert(rng.randrange(len(notice)), rng.choice(WORDS))
+            words = rng.choices(WORDS, k=5) + notice + rng.choices(WORDS + template, k=6)
+            found = licenses.scan(" ".join(words), index, 0.8)
+            if n < licenses.LONG:
+                assert bool(found) == in_band(template, words, licenses.band_of(n))
+            else:
+                matched, first, last = best_alignment(template, words)
+                if matched >= 0.8 * n and last - first <= n + licenses.band_of(n):
+                    assert found and found[0][2] >= matched
