@@ -14,8 +14,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,25 @@ LONG, LEAST = 60, 4
 SHARE = 0.8
 WORDS = 200_000
 _WORD = re.compile(r"\w+")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*(\(?[\w.+-]+\)?(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[\w.+-]+\)?)*)", re.I)
 
-# Notices as licenses prescribe or recommend them, or as projects commonly write them.
+_GNU_FIRST = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} License "
+    "as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later "
+    "version."
+)
+_GNU_REST = (
+    " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} License for more "
+    "details. You should have received a copy of the GNU {0} License along with this program. If not, see "
+    "https://www.gnu.org/licenses/."
+)
+_GNU = {
+    "gpl-2.0": ("General Public", "2"), "gpl-3.0": ("General Public", "3"), "lgpl-2.1": ("Lesser General Public", "2.1"),
+    "lgpl-3.0": ("Lesser General Public", "3"), "agpl-3.0": ("Affero General Public", "3"),
+}
+# Notices as licenses prescribe or recommend them, or as projects commonly write them. Those
+# ending in -line, -permission, -redistribution, -first and gpl-header are phrases or beginnings only.
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -39,7 +58,8 @@ TEMPLATES = {
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
-        "CONDITIONS OF ANY KIND, either express or implied."
+        "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License."
     ),
     "bsd-redistribution": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
@@ -59,6 +79,32 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction"
     ),
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "bsd-line": "Released under the BSD License.",
+    "cc-by-nd-4.0-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-nd-4.0-line": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-nc-sa-4.0-line": "Licensed under CC BY-NC-SA 4.0.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0-only-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License version 2 as published by the Free Software Foundation."
+    ),
+    "isc-line": "Released under the ISC License.",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "mpl-2.0-line": "Licensed under the Mozilla Public License, Version 2.0.",
+    **{f"{k}-first": _GNU_FIRST.format(*v) for k, v in _GNU.items() if k != "gpl-3.0"},
+    **{f"{k}-header": (_GNU_FIRST + _GNU_REST).format(*v) for k, v in _GNU.items()},
+    # Whole licenses, as the files of these names hold them.
+    **{
+        file.name.removesuffix(".txt"): file.read_text(encoding="utf-8")
+        for file in sorted(files("reddwatch.llm").joinpath("license_texts").iterdir(), key=lambda file: file.name)
+        if file.name.endswith(".txt")
+    },
 }
 
 MATCHES = (
@@ -107,12 +153,14 @@ def band_of(n: int) -> int:
 class Index:
     """Templates by word, long ones by fingerprint too."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], spdx: bool = False):
+        self.spdx = spdx
         self.numbers = Numbers()
         self.words = {name: split(text)[0] for name, text in templates.items()}
         if short := [name for name, words in self.words.items() if len(words) < LEAST]:
             raise ValueError(f"templates need {LEAST} words: {short}")
         self.postings: dict[int, list[tuple[str, int]]] = defaultdict(list)
+        self.prints: dict[str, int] = {}
         self.bits: dict[str, tuple[dict[str, int], dict[str, int]]] = {}
         vocabulary = sorted({w for words in self.words.values() for w in words})
         self.row = {w: i for i, w in enumerate(vocabulary)}
@@ -124,12 +172,14 @@ class Index:
                 places[w].append(i)
             for w, at in places.items():
                 self.times[self.row[w], t] = len(at)
-            if len(words) >= LONG:
-                n = len(words)
-                self.bits[name] = tuple(
-                    {w: sum(1 << (n - 1 - i if back else i) for i in at) for w, at in places.items()} for back in (0, 1)
-                )
-                for value, place in zip(*self.fingerprints(words)):
+            n = len(words)
+            self.bits[name] = tuple(
+                {w: sum(1 << (n - 1 - i if back else i) for i in at) for w, at in places.items()} for back in (0, 1)
+            )
+            if n >= LONG:
+                values, at = self.fingerprints(words)
+                self.prints[name] = len(values)
+                for value, place in zip(values, at):
                     self.postings[int(value)].append((name, int(place)))
         self.keys = np.array(sorted(self.postings), dtype=np.uint64)
 
@@ -138,15 +188,15 @@ class Index:
         return winnowed(np.array([number[w] for w in words], dtype=np.uint64))
 
     def begins(self, words: list[str]) -> dict[str, set[int]]:
-        """Long templates that share a fingerprint, with the places in the words where they would begin."""
+        """Long templates, with the places in the words where a quarter of their fingerprints say they begin."""
         values, places = self.fingerprints(words)
-        found: dict[str, set[int]] = defaultdict(set)
+        found: dict[str, Counter] = defaultdict(Counter)
         if len(self.keys) and len(values):
             slot = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
             for i in np.flatnonzero(self.keys[slot] == values).tolist():
                 for name, place in self.postings[int(values[i])]:
-                    found[name].add(int(places[i]) - place)
-        return found
+                    found[name][int(places[i]) - place] += 1
+        return {name: {x for x, hits in at.items() if 4 * hits >= self.prints[name]} for name, at in found.items()}
 
     def candidates(self, words: list[str], share: float) -> Iterator[tuple[str, list[int]]]:
         """Templates, with the places in the words where they would begin: all that a match can need.
@@ -170,7 +220,7 @@ class Index:
             dense = sums[width:] - sums[:-width] >= max(need, 1)
             if not dense.any():
                 continue
-            if name not in self.bits:
+            if n < LONG:
                 starts = set((np.flatnonzero(dense) + band - width).tolist())
             else:
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], dense.view(np.int8), [0]])))
@@ -227,21 +277,23 @@ def aligned(template: list[str], words: list[str], start: int, band: int) -> tup
 
 def scan(text: str, index: Index, share: float) -> list[tuple[str, int, int, int, int]]:
     """template, its words, matched words, start and end (characters) of each match. None overlaps another of
-    the same template, and none lies inside a match of another template with more words."""
+    the same template, and none lies by half or more in a better match of another template."""
     words, spans = split(text)
     found = []
     for name, starts in index.candidates(words, share):
         template = index.words[name]
         n, band = len(template), band_of(len(template))
+        ahead = 0 if n >= LONG else band
         tried: set[tuple[int, int, int]] = set()
         for start in starts:
-            if name in index.bits:
-                there = words[max(0, start) : max(0, start + n + 2 * band)]
-                matched, last = subsequence(index.bits[name][0], n, there)
-                if matched >= share * n - 1e-9:
-                    size = subsequence(index.bits[name][1], n, reversed(there[:last]))[1]
-                    last += max(0, start)
-                    tried.add((matched, last - size, last))
+            there = words[max(0, start - ahead) : max(0, start - ahead + n + 2 * band)]
+            matched, last = subsequence(index.bits[name][0], n, there)
+            if matched < share * n - 1e-9:
+                continue
+            if n >= LONG:
+                size = subsequence(index.bits[name][1], n, reversed(there[:last]))[1]
+                last += max(0, start)
+                tried.add((matched, last - size, last))
             else:
                 matched, first, last = aligned(template, words, start, band)
                 if matched and matched >= share * n - 1e-9:
@@ -251,14 +303,27 @@ def scan(text: str, index: Index, share: float) -> list[tuple[str, int, int, int
             if all(last <= a or b <= first for _, a, b in taken):
                 taken.append((matched, first, last))
         found += [(name, len(template), m, spans[first][0], spans[last - 1][1]) for m, first, last in taken]
-    # A notice that is part of a longer one there is not one of its own.
+    # A notice that lies by half or more in one that matches more words, or as many of fewer, is not one of its own.
+    better = lambda g, f: (g[2], g[2] / g[1]) > (f[2], f[2] / f[1])
     whole = [
         f for f in found
-        if not any(g[2] > f[2] and g[3] <= f[3] and f[4] <= g[4] for g in found if g[0] != f[0])
+        if not any(
+            g[0] != f[0] and better(g, f) and 2 * (min(f[4], g[4]) - max(f[3], g[3])) >= f[4] - f[3] for g in found
+        )
     ]
+    if index.spdx:
+        for m in _SPDX.finditer(text):
+            n = len(_WORD.findall(m.group()))
+            whole.append((f"spdx:{m.group(1)}", n, n, *m.span()))
     return sorted(whole, key=lambda f: (f[3], f[4], f[0]))
 
 
+@lru_cache(maxsize=1)
+def common() -> Index:
+    """The index of TEMPLATES, made once for each Python process."""
+    return Index(TEMPLATES, spdx=True)
+
+
 def matches(
     docs: DataFrame, templates: dict[str, str] | None = None, share: float = SHARE,
     id_col: str = "doc_id", text_col: str = "text",
@@ -266,15 +331,15 @@ def matches(
     """doc_id, template, n_words, n_matched, coverage, start, end (in characters) of each template's matches.
 
     `templates` are a parameter that each task holds, names to texts of at least LEAST words; the default are
-    TEMPLATES. Words of a match are displaced by at most the band (a fifth of the template's words, two at
+    TEMPLATES and, under the name spdx: and what it says, each SPDX-License-Identifier. Words of a match are displaced by at most the band (a fifth of the template's words, two at
     least), or, for LONG templates, it spans at most the band more than the template. Null texts count as empty,
     texts without a match give no row, null ids stay null, repeated rows are reported each, an empty table gives
     no rows, further columns are ignored.
     """
-    chosen = TEMPLATES if templates is None else dict(templates)
+    chosen = None if templates is None else dict(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(chosen)
+        index = common() if chosen is None else Index(chosen)
         names = [c.split()[0] for c in MATCHES.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
         for batch in batches:

@@ -126,3 +126,29 @@ def test_all_alignments_that_cover_enough_are_found(seed):
                 matched, first, last = best_alignment(template, words)
                 if matched >= 0.8 * n and last - first <= n + licenses.band_of(n):
                     assert found and found[0][2] >= matched
+
+
+def text_of(name):
+    return licenses.TEMPLATES[name]
+
+
+@pytest.mark.parametrize("name", [
+    "agpl-3.0-header", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "cc0-1.0", "gpl-2.0", "gpl-2.0-header",
+    "gpl-2.0-only-header", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-2.0", "mpl-2.0-header", "unlicense",
+])
+def test_whole_texts_are_told_apart(name):
+    index = licenses.common()
+    text = "Some words before. " + text_of(name) + " And some of the words after it."
+    words = len(licenses.split(text_of(name))[0])
+    found = licenses.scan(text, index, 0.8)
+    assert [f[:3] for f in found] == [(name, words, words)]
+    # The beginning alone is not the whole.
+    half = " ".join(licenses.split(text_of(name))[0][: words // 2])
+    assert all(f[0] != name for f in licenses.scan(half, index, 0.8))
+
+
+def test_spdx_lines_are_found(make):
+    docs = make([(1, "# SPDX-License-Identifier: MIT OR Apache-2.0\nimport os"), (2, "SPDX")], "doc_id long, text string")
+    assert [(r.doc_id, r.template, r.coverage, r.start, r.end) for r in licenses.matches(docs).collect()] == [
+        (1, "spdx:MIT OR Apache-2.0", 1.0, 2, 44)
+    ]
