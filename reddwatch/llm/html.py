@@ -52,6 +52,11 @@ ASIDE = set(
     "pagination popup promo promoted related reply replies search share sharing sidebar skip social sponsor sponsored "
     "subscribe subscription toolbar widget".split()
 )
+# Words that begin a class, id or role of an article that is a comment or the like, and of one that stands for
+# another page. The former go, the latter are only not taken for the main part.
+REMARK = set("ad ads advert advertisement comment comments promo promoted related replies reply sponsor sponsored".split())
+CARD = REMARK | {"card", "teaser"}
+SENTENCES = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -155,34 +160,73 @@ def named_aside(element: Element) -> bool:
     style = element.attributes.get("style", "").replace(" ", "").lower()
     if "display:none" in style or "visibility:hidden" in style:
         return True
-    if element.tag in ("body", "html", "main", "article"):
+    if element.tag in ("body", "html", "main"):
         return False
+    if element.tag == "article":
+        return begins_with(element, REMARK)
     names = " ".join(element.attributes.get(k, "") for k in ("class", "id", "role"))
     words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower())
     return not ASIDE.isdisjoint(words)
 
 
-def content(root: Element) -> list[Element]:
-    """The articles of a page that are in nothing else; else its main elements; else its body; else all."""
+def begins_with(element: Element, words: set[str]) -> bool:
+    """Whether a name in its class, id or role begins with one of the words."""
+    names = " ".join(element.attributes.get(k, "") for k in ("class", "id", "role")).lower().split()
+    return any(re.match(r"[a-z]*", name).group() in words for name in names)
 
-    def outermost(match) -> list[Element]:
-        found, stack = [], [root]
-        while stack:
-            e = stack.pop()
-            if e is not root and match(e):
-                found.append(e)
-            elif not named_aside(e) or e is root:
-                stack += [c for c in reversed(e.children) if isinstance(c, Element)]
-        return found
 
-    for match in (
-        lambda e: e.tag == "article" or e.attributes.get("role") == "article",
-        lambda e: e.tag == "main" or e.attributes.get("role") == "main",
-        lambda e: e.tag == "body",
-    ):
-        if found := outermost(match):
-            return found
-    return [root]
+def is_main(element: Element) -> bool:
+    return element.tag == "main" or element.attributes.get("role") == "main"
+
+
+def is_article(element: Element) -> bool:
+    return element.tag == "article" or element.attributes.get("role") == "article"
+
+
+def outermost(root: Element, match) -> list[Element]:
+    """Elements under this one that match and are in no other that does, nor in something else than main text."""
+    found, stack = [], [root]
+    while stack:
+        e = stack.pop()
+        if e is not root and match(e):
+            found.append(e)
+        elif not named_aside(e) or e is root:
+            stack += [c for c in reversed(e.children) if isinstance(c, Element)]
+    return found
+
+
+def prose(root: Element, without: list[Element]) -> int:
+    """Characters of the sentences and headings under an element, but for those in some others."""
+    skipped, size, stack = {id(e) for e in without}, 0, [(root, False)]
+    while stack:
+        x, inside = stack.pop()
+        if isinstance(x, str):
+            size += len(_SPACE.sub("", x)) if inside else 0
+        elif x is root or not (id(x) in skipped or named_aside(x)):
+            stack += [(c, inside or x.tag in SENTENCES) for c in x.children]
+    return size
+
+
+def content(root: Element) -> list[Element]:
+    """The main parts of a page: its main elements, or the articles in them if they have no prose besides, and
+    articles elsewhere; without a main element the articles, if they have at least half of the prose; else
+    the body; else all. Comments are no such articles, cards only where there is nothing else."""
+
+    def articles(scope: Element) -> list[Element]:
+        own = outermost(scope, lambda e: is_article(e) and not begins_with(e, CARD))
+        return own or (outermost(scope, is_article) if not prose(scope, outermost(scope, is_article)) else [])
+
+    if outermost(root, is_main):
+        parts = []
+        for e in outermost(root, lambda e: is_main(e) or is_article(e) and not begins_with(e, CARD)):
+            inner = articles(e) if is_main(e) else []
+            every = outermost(e, is_article)
+            parts += inner if inner and not prose(e, every) else [e]
+        return parts
+    found = articles(root)
+    if found and 2 * prose(root, found) <= prose(root, []):
+        return found
+    return outermost(root, lambda e: e.tag == "body") or [root]
 
 
 def candidates(root: Element) -> Iterator[Element]:

@@ -78,3 +78,19 @@ def test_articles_of_the_table(spark):
         assert r.text.replace("\n", "").replace(" ", "") == __import__("html").unescape(
             __import__("re").sub(r"<[^>]*>", "", inner)
         ).replace(" ", "").replace("\n", "").replace("\t", "")
+
+
+@pytest.mark.parametrize("body,expected", [
+    ("<main><h1>Title</h1><p>main text</p><section><article class='teaser'><p>other</p></article></section></main>",
+     "Title\nmain text\nother"),
+    ("<main><p>main text</p><article class='comment odd'><p>me</p></article></main>", "main text"),
+    ("<main><h1>Title</h1><article><p>text</p></article></main>", "Title\ntext"),
+    ("<main><div class='share'><p>s</p></div>list<article class='post has-comments'><p>text</p></article></main>", "text"),
+    ("<p>a long main text of the page</p><article class='related-card'><p>other</p></article>", "a long main text of the page"),
+    ("<p>a long main text of the page</p><article><p>short</p></article>", "a long main text of the page\nshort"),
+    ("<p>notice</p><article><p>a long main text of the page</p></article>", "a long main text of the page"),
+    ("<main><p>lead</p></main><article><p>text</p></article>", "lead\ntext"),
+    ("<article class='card'><p>only this</p></article>", "only this"),
+])
+def test_articles_that_are_not_the_main_part(body, expected):
+    assert text(PAGE % body) == expected
