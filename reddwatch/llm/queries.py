@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reddwatch.llm import (
-    decontamination, html, licenses, maxscore, packing, repeats, simhash, tokens, toxicity, warc,
+    covertree, decontamination, html, licenses, maxscore, packing, pieces, repeats, simhash, tokens, toxicity, trie, warc,
 )
 from reddwatch.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +68,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"), least=0).drop("url")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix tree of the regrown conversations."""
+    return trie.nodes(trie.regrown(trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and what they decode to."""
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the five nearest positives of every hundredth vector; labels of every seventh are moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return covertree.hard_negatives(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_toxicity, op3_packing, op4_token_counts, op5_decontamination, op6_licenses, op7_maxscore,
-        op8_html, op9_repeats, op10_warc,
+        op8_html, op9_repeats, op10_warc, op11_prefix_trie, op12_pieces, op13_hard_negatives,
     )
 }
 
@@ -126,4 +145,61 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id <> largest THEN largest END AS refers_to
         FROM h JOIN m USING (hex, payload_bytes)
     """,
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS own
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), h AS (
+            SELECT conv_id, own, CAST(xor(list_reduce(
+                [4294967295] || list_transform(range(1, len(CAST(conv_id AS VARCHAR)) + 1), lambda i: ord(CAST(conv_id AS VARCHAR)[i])),
+                lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+                    lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))
+            ), 4294967295) AS BIGINT) % 9 AS h FROM t
+        ), r AS (
+            SELECT h.conv_id, coalesce(t.own[1 : h.h], []) || h.own[h.h + 1 :] AS turns
+            FROM h LEFT JOIN t ON t.conv_id = h.conv_id - h.conv_id % 5
+        ), p AS (
+            SELECT conv_id, len(turns) AS n_turns, depth, turns[1 : depth] AS prefix
+            FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM r)
+        ), n AS (
+            SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n_turns = depth), '')) AS ends_sha256,
+                   CASE WHEN depth > 0 THEN (count(*) - 1) * octet_length(encode(prefix[depth].text)) ELSE 0 END AS saved
+            FROM p GROUP BY depth, prefix
+        ), c AS (
+            SELECT depth - 1 AS depth, prefix[1 : depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+        ), m AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM n LEFT JOIN c USING (depth, prefix)
+        ), s AS (
+            SELECT above AS depth, prefix[1 : above] AS prefix, sum(saved) AS saved_tokens,
+                   count(*) FILTER (n_children = 0) AS n_leaves
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS above FROM m) GROUP BY ALL
+        )
+        SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves,
+               CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+        FROM m JOIN s USING (depth, prefix)
+        LEFT JOIN n AS u ON u.depth = m.depth - 1 AND u.prefix = m.prefix[1 : m.depth - 1]
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+                   CAST(list_dot_product(a.e, v.e) AS BIGINT) AS score
+            FROM v AS a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+    """,
 }
