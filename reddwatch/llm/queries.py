@@ -75,7 +75,7 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and what they decode to."""
-    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), from_files=True)
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

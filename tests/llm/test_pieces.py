@@ -54,17 +54,16 @@ def test_whole_ids_and_texts_round_trip(make):
 def test_given_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    assert sorted(map(tuple, pieces.encoded(docs, PATH).collect()), key=str) == slow(rows)
+    assert sorted(map(tuple, pieces.encoded(docs, PATH, from_files=True).collect()), key=str) == slow(rows)
 
 
 def test_no_rows(make):
     assert pieces.encoded(make([], "doc_id long, text string"), PATH).count() == 0
 
 
-def test_a_word_is_segmented_once_in_its_bucket(make, monkeypatch):
+def test_a_chunk_has_each_word_once(make):
     rows = [(i, "same words again " * 20) for i in range(30)]
-    chunks = pieces.chunked(make(rows, "doc_id long, text string").repartition(2), PATH, 500)
-    blobs = pieces.dealt(chunks, 4).collect()
+    blobs = pieces.dealt(make(rows, "doc_id long, text string").repartition(2), PATH, 500, 4).collect()
     for row in blobs:
         words = pieces.unstrings(row.data)
         assert len(words) == len(set(words)) and set(words) <= {"▁same", "▁words", "▁again", "▁"}
@@ -74,3 +73,10 @@ def test_other_vocabularies_take_texts_whole(monkeypatch):
     assert pieces.cuts_at_markers(PATH)
     monkeypatch.setitem(pieces._by_words, PATH, False)
     assert pieces.marked_words("a b", pieces.cuts_at_markers(PATH)) == ["a b"]
+
+
+def test_changed_documents_are_found_out():
+    chunk = object.__new__(pieces.Chunk)
+    chunk.order, chunk.lengths = [0, 1], []
+    with pytest.raises(RuntimeError):
+        list(chunk.documents())
