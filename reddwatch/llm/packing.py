@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -13,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from reddwatch.llm.common import documents
-from reddwatch.llm.tokens import load, looks_ahead_only
+from reddwatch.llm.tokens import encoder_of
 
 # Costs in tokens of padding: a sequence more, a cut inside a document after a sentence, any other cut.
 SEQUENCE, SENTENCE, INSIDE = 1, 1, 8
@@ -21,71 +20,12 @@ SEQUENCE, SENTENCE, INSIDE = 1, 1, 8
 STEP = 16
 # Tokens planned at once; the sequence that is not full by then goes on with the next ones.
 BLOCK = 1_000_000
-# Fixed value: how the vocabulary's byte-level pre-tokenizer splits words.
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
-def byte_characters() -> dict[str, int]:
-    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves,
-    the others in their order from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-def same_by_rank(tokenizer):
-    """An encoder over the vocabulary of the file that takes the pair with the least id first, or None.
-
-    It gives the ids of the library, in a third of the time, if the file's merges are in the order of
-    the ids they make, nothing else is done to words, and words are split by the byte-level rule.
-    """
-    import tiktoken
-
-    model = json.loads(tokenizer.to_str())["model"]
-    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
-    if model.get("type") != "BPE" or any(model.get(k) for k in odd) or not looks_ahead_only(tokenizer):
-        return None
-    vocabulary, bytes_of = model["vocab"], byte_characters()
-    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-    made = [vocabulary[a + b] for a, b in pairs]
-    merged = set(made)
-    used = {t: i for t, i in vocabulary.items() if i in merged or len(t) == 1}
-    if made != sorted(merged) or any(c not in bytes_of for t in used for c in t):
-        return None
-    ranks = {bytes(bytes_of[c] for c in t): i for t, i in used.items()}
-    return tiktoken.Encoding("by-rank", pat_str=WORD, mergeable_ranks=ranks, special_tokens={})
-
-
-class Encoder:
-    """Ids of texts as bytes of unsigned 32-bit little-endian numbers."""
-
-    def __init__(self, path: str):
-        self.model = load(path)
-        self.special = [s.content for s in self.model.get_added_tokens_decoder().values()]
-        self.fast = same_by_rank(self.model)
-
-    def raw(self, ids) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if self.fast is None or any(s in text for s in self.special):
-            return self.raw(self.model.encode(text, add_special_tokens=False).ids)
-        return self.raw(self.fast.encode_to_numpy(text, disallowed_special=()))
-
-    def sentence_ends(self) -> np.ndarray:
-        """For each id, whether a sentence may end after it: a stop or a line break ends its text."""
-        size = self.model.get_vocab_size()
-        marks = np.zeros(size, dtype=bool)
-        for i in range(size):
-            s = self.model.decode([i], skip_special_tokens=False)
-            marks[i] = "\n" in s or s.rstrip().endswith((".", "!", "?"))
-        return marks
-
-
 def possible_cuts(ids: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the stream may be cut, 0 and its end included, and what each cut costs.
 
@@ -106,6 +46,26 @@ def possible_cuts(ids: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> tuple
     return at, cost[at].astype(np.int64)
 
 
+def cuts_at_powers(at: np.ndarray, size: int) -> tuple[list[int], list[int]]:
+    """For each cut the earlier ones at a power of two below `size` before it, nearest first, one list after
+    another, and where each cut's list begins."""
+    index = np.full(int(at[-1]) + 1, -1, dtype=np.int32)
+    index[at] = np.arange(len(at))
+    cuts, before = [], []
+    power = 1
+    while power < size:
+        far = int(np.searchsorted(at, power))
+        found = index[at[far:] - power]
+        there = np.flatnonzero(found >= 0)
+        cuts.append(there + far)
+        before.append(found[there])
+        power *= 2
+    cut = np.concatenate(cuts) if cuts else np.zeros(0, dtype=np.int64)
+    order = np.argsort(cut, kind="stable")
+    bounds = np.searchsorted(cut[order], np.arange(len(at) + 1))
+    return (np.concatenate(before)[order].tolist() if cuts else []), bounds.tolist()
+
+
 def best_cuts(at: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
     """The cuts (as indices of `at`, first and last included) with the least padding and cost.
 
@@ -114,19 +74,7 @@ def best_cuts(at: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
     wanted, which a monotone queue keeps; for the second kind each power of two names one cut.
     """
     m = len(at)
-    index = np.full(int(at[-1]) + 1, -1, dtype=np.int64)
-    index[at] = np.arange(m)
-    exact: list[list[int] | None] = [None] * m
-    power = 1
-    while power < size:
-        back = at - power
-        found = np.where(back >= 0, index[np.maximum(back, 0)], -1)
-        for k in np.flatnonzero(found >= 0).tolist():
-            if exact[k] is None:
-                exact[k] = [int(found[k])]
-            else:
-                exact[k].append(int(found[k]))
-        power *= 2
+    exact, bounds = cuts_at_powers(at, size)
     places, costs = at.tolist(), cost.tolist()
     best, before = [0] * m, [0] * m
     queue = deque([(0, 0, 0)])  # best + place, place, index
@@ -136,7 +84,7 @@ def best_cuts(at: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
             queue.popleft()
         least, _, come = queue[0]
         least += size - place
-        for i in exact[k] or ():
+        for i in exact[bounds[k] : bounds[k + 1]]:
             if best[i] < least:
                 least, come = best[i], i
         least += costs[k] + SEQUENCE
@@ -220,7 +168,7 @@ def packed(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         end = encoder.raw([end_id])
         packer = Packer(encoder.sentence_ends(), size, TaskContext.get().partitionId() << 33, block)
 

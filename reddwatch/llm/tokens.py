@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -13,8 +15,8 @@ from reddwatch.llm.common import documents
 # Texts beyond CHUNK characters are encoded in pieces of that length that share OVERLAP characters.
 CHUNK = 32_768
 OVERLAP = 256
-# Characters handed to the library at once.
-BATCH = 500_000
+# Fixed value: how the vocabulary's byte-level pre-tokenizer splits words.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _loaded: dict[str, object] = {}
 
@@ -99,32 +101,87 @@ def looks_ahead_only(tokenizer) -> bool:
         and not tokenizer.pre_tokenizer.add_prefix_space
 
 
+def byte_characters() -> dict[str, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves,
+    the others in their order from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def same_by_rank(tokenizer):
+    """An encoder over the vocabulary of the file that takes the pair with the least id first, or None.
+
+    It gives the ids of the library, in a third of the time, if the file's merges are in the order of
+    the ids they make, nothing else is done to words, and words are split by the byte-level rule.
+    """
+    import tiktoken
+
+    model = json.loads(tokenizer.to_str())["model"]
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+    if model.get("type") != "BPE" or any(model.get(k) for k in odd) or not looks_ahead_only(tokenizer):
+        return None
+    vocabulary, bytes_of = model["vocab"], byte_characters()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocabulary[a + b] for a, b in pairs]
+    merged = set(made)
+    used = {t: i for t, i in vocabulary.items() if i in merged or len(t) == 1}
+    if made != sorted(merged) or any(c not in bytes_of for t in used for c in t):
+        return None
+    ranks = {bytes(bytes_of[c] for c in t): i for t, i in used.items()}
+    return tiktoken.Encoding("by-rank", pat_str=WORD, mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoder:
+    """Ids of texts as bytes of unsigned 32-bit little-endian numbers."""
+
+    def __init__(self, path: str):
+        self.model = load(path)
+        self.special = [s.content for s in self.model.get_added_tokens_decoder().values()]
+        self.fast = same_by_rank(self.model)
+        self.ends: np.ndarray | None = None
+
+    def raw(self, ids) -> bytes:
+        return np.asarray(ids, dtype="<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.special):
+            return self.raw(self.model.encode(text, add_special_tokens=False).ids)
+        return self.raw(self.fast.encode_to_numpy(text, disallowed_special=()))
+
+    def count(self, text: str) -> int:
+        return len(self.encode(text)) // 4
+
+    def sentence_ends(self) -> np.ndarray:
+        """For each id, whether a sentence may end after it: a stop or a line break ends its text."""
+        if self.ends is None:
+            size = self.model.get_vocab_size()
+            self.ends = np.zeros(size, dtype=bool)
+            for i in range(size):
+                s = self.model.decode([i], skip_special_tokens=False)
+                self.ends[i] = "\n" in s or s.rstrip().endswith((".", "!", "?"))
+        return self.ends
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder for a vocabulary file, once for each worker."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def counts(texts: list[str], path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
     model = load(path)
     if path.endswith(".model"):
         return [len(ids) for ids in model.encode(texts, num_threads=1)] if texts else []
-    result = [0] * len(texts)
-    splice = looks_ahead_only(model)
-    group: list[int] = []
-    size = 0
-
-    def flush() -> None:
-        found = model.encode_batch_fast([texts[i] for i in group], add_special_tokens=False)
-        for i, encoding in zip(group, found):
-            result[i] = len(encoding)
-
-    for i, text in enumerate(texts):
-        if splice and len(text) > chunk:
-            result[i] = len(chunked_ids(model, text, chunk, overlap))
-            continue
-        group.append(i)
-        size += len(text)
-        if size >= BATCH:
-            flush()
-            group, size = [], 0
-    if group:
-        flush()
-    return result
+    encoder, splice = encoder_of(path), looks_ahead_only(model)
+    return [
+        len(chunked_ids(model, text, chunk, overlap)) if splice and len(text) > chunk else encoder.count(text)
+        for text in texts
+    ]
 
 
 def token_counts(

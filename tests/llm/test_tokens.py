@@ -43,7 +43,7 @@ def test_sentencepiece_models_are_counted_too(make):
 
 
 def test_words_are_those_of_the_library_for_every_character():
-    encoder = packing.Encoder(PATH)
+    encoder = tokens.Encoder(PATH)
     for first in range(0, 0x110000, 0x800):
         if 0xD800 <= first < 0xE000:
             continue
@@ -54,7 +54,7 @@ def test_words_are_those_of_the_library_for_every_character():
 
 
 def test_ids_are_those_of_the_library_for_made_up_words():
-    encoder = packing.Encoder(PATH)
+    encoder = tokens.Encoder(PATH)
     rng = random.Random(11)
     for _ in range(300):
         text = "".join(rng.choice("aeiounrstlchgTHE    ''!,.\n\t019éßñ漢🙂\u0301") for _ in range(rng.randint(0, 400)))
@@ -62,7 +62,7 @@ def test_ids_are_those_of_the_library_for_made_up_words():
 
 
 def test_other_vocabularies_are_left_to_the_library():
-    assert packing.same_by_rank(tokens.load(public_tokenizers.path("word_bpe_49k.json"))) is None
+    assert tokens.same_by_rank(tokens.load(public_tokenizers.path("word_bpe_49k.json"))) is None
 
 
 def brute(at, cost, size):
