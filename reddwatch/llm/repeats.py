@@ -11,14 +11,17 @@ keep this in proportion to the input on many machines:
   class in common with a smaller document is repeated as a whole; copies never get beyond this step.
 - Only buckets that still hold several classes are refined to single strings, one entry for each class.
 
-Texts lie as compressed chunks of some MB in a table in the shared folder. Buckets travel as packed
-arrays, one for each chunk and partition, in which a chunk has each class at most once, so a string that
-fills a third of all documents has an entry for each chunk and not for each place.
+Texts lie as compressed chunks of about a MB in a table in the shared folder; a longer document is a chunk of
+its own that is looked at piece by piece. Buckets travel as packed arrays, one for each chunk and bucket, in which
+a chunk has each class at most once, so a string that fills a third of all documents has an entry for each chunk
+and not for each place. The number of buckets follows the bytes of what travels, and a task has one of them in
+memory at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reddwatch.llm.common import LAST_ID, mixed, pack, partitions, picked, spread, squeeze, unsqueeze, written
+from reddwatch.llm.common import LAST_ID, mixed, pack, partitions, picked, squeeze, unsqueeze, written
 
-# Text bytes of a chunk; a longer document is a chunk of its own.
-CHUNK = 4 << 20
+# Text bytes of a chunk, and of the pieces in which a longer document is looked at.
+CHUNK = 1 << 20
+# Bytes of packed arrays that meet in a bucket, and of one entry of them.
+BUCKET, ENTRY = 8 << 20, 14
 LENGTH = 50
 # Long enough that different passages seldom share a bucket, however large the corpus.
 Q = 25
@@ -40,13 +45,13 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _FACTOR)
 
-CHUNKS = "chunk long, part int, meta binary, data binary"
-BLOBS = "bucket int, chunk long, data binary"
-REPLIES = "chunk long, part int, meta binary, data binary"
+# Chunks have part 0 and their bytes as size, replies higher parts and the number of classes still open.
+CHUNKS = "chunk long, part long, size long, meta binary, data binary"
+BLOBS = "bucket long, chunk long, part long, data binary"
 
 
 def grams(data: np.ndarray, q: int) -> np.ndarray:
-    """Identifiers of the q bytes from each place on, by doubling; 64 bits."""
+    """Polynomials of the q bytes from each place on, by doubling; 64 bits. `mixed` makes identifiers of them."""
     with np.errstate(over="ignore"):
         power = [_FACTOR]  # of 1, 2, 4 ... bytes
         level, width = _BYTES[data], 1
@@ -62,7 +67,7 @@ def grams(data: np.ndarray, q: int) -> np.ndarray:
                     whole = level[:n] * shift + whole[width : width + n]
                     done += width
             if done == q:
-                return mixed(whole)
+                return whole
             n = len(data) - 2 * width + 1
             level = level[:n] * power[-1] + level[width : width + n]
             power.append(power[-1] * power[-1])
@@ -76,60 +81,77 @@ def joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window of `width` values the place of its least one, the leftmost of equals."""
-    place = np.arange(len(values), dtype=np.int32)
+    """For each window of `width` values the place of the one with the least scrambled upper half, the leftmost of
+    equals."""
+    with np.errstate(over="ignore"):
+        key = values * _OTHER
+    key &= np.uint64(0xFFFFFFFF00000000)
+    key |= np.arange(len(values), dtype=np.uint64)
     span = 1
     while span < width:
         step = min(span, width - span)
-        right = values[step:] < values[:-step]
-        place = np.where(right, place[step:], place[:-step])
-        values = np.where(right, values[step:], values[:-step])
+        key = np.minimum(key[:-step], key[step:])
         span += step
-    return place
+    return key.astype(np.uint32)
 
 
 @dataclass
 class Entries:
-    """The chosen suffixes of a chunk: which windows (their starts) chose them, and their identifiers."""
+    """The chosen suffixes of some bytes: which windows (their starts) chose them, and their identifiers."""
 
     low: np.ndarray
     high: np.ndarray
     gram: np.ndarray
     cover: np.ndarray
     owner: np.ndarray
-    string: np.ndarray  # of LENGTH bytes, for each place of the chunk
-    half: np.ndarray  # of 2Q bytes, or of Q if that is half of LENGTH
+    strings: Strings
 
     def __len__(self) -> int:
         return len(self.low)
 
 
+@dataclass
+class Strings:
+    """Identifiers of the strings of `length` bytes, made of those of shorter ones at later offsets."""
+
+    grams: np.ndarray
+    length: int
+    q: int
+
+    def at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The identifiers of the strings that start there, and those of their 2Q bytes (Q, if that is half)."""
+        gram = lambda offset: mixed(self.grams[places + offset])
+        first = gram(0)
+        if self.length == 2 * self.q:
+            return joined(first, gram(self.q)), first  # the pair still names both halves
+        half = joined(first, gram(self.q))
+        later = self.length - 2 * self.q
+        return joined(half, joined(gram(later), gram(later + self.q))), half
+
+
 def entries(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int, q: int) -> Entries:
     """Of the documents that lie one after another in `data`."""
     none = np.zeros(0, dtype=np.uint64)
     if len(data) < length:
         place = np.zeros(0, dtype=np.int64)
-        return Entries(place, place, none, none, place, none, none)
-    gram = grams(data, q)
-    half = joined(gram[:-q], gram[q:])
-    if length == 2 * q:
-        string, half = half, gram[: len(half)]  # the pair still names both halves
-    else:
-        string = joined(half[: len(data) - length + 1], half[length - 2 * q :][: len(data) - length + 1])
-    chosen = least_places(gram, length - q + 1)
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    starts = np.flatnonzero(np.arange(len(string)) + length <= ends[: len(string)])
-    chosen = chosen[starts]
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (np.diff(starts) != 1) | (np.diff(chosen) != 0)
-    begin = np.flatnonzero(new)
-    low = starts[begin]
-    high = starts[np.append(begin[1:], len(starts)) - 1] if len(starts) else low
-    at = chosen[begin]
+        return Entries(place, place, none, none, place, Strings(none, length, q))
+    strings = Strings(grams(data, q), length, q)
+    chosen = least_places(strings.grams, length - q + 1)
+    ends = np.cumsum(sizes)
+    whole = np.ones(len(chosen), dtype=bool)  # windows within one document
+    for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+        whole[max(a, b - length + 1) : b] = False
+    # A run of windows with one choice: begins where the choice or the document is new.
+    new = np.ones(len(chosen) + 1, dtype=bool)
+    np.not_equal(chosen[1:], chosen[:-1], out=new[1:-1])
+    new[1:] |= ~whole
+    low = np.flatnonzero(whole & new[:-1])
+    high = np.flatnonzero(whole & (new[1:] | np.append(~whole[1:], True)))
+    at = chosen[low].astype(np.int64)
     shape = ((at - low) * 1024 + (high - low)).astype(np.uint64)
-    cover = joined(joined(string[low], string[high]), mixed(shape))
-    owner = ids[np.searchsorted(np.cumsum(sizes), low, side="right")]
-    return Entries(low, high, gram[at], cover, owner, string, half)
+    cover = joined(joined(strings.at(low)[0], strings.at(high)[0]), mixed(shape))
+    owner = ids[np.searchsorted(ends, low, side="right")]
+    return Entries(low, high, mixed(strings.grams[at]), cover, owner, strings)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -165,8 +187,9 @@ def packed_ids(ids: np.ndarray) -> bytes:
     return head + (ids.view(np.uint64) - np.uint64(low & (1 << 64) - 1)).astype("<" + kind).tobytes()
 
 
-def blobs(chunk: int, found: Classes, buckets: int) -> Iterator[tuple[int, int, bytes]]:
-    """For each bucket number that occurs: the classes' low 40 bits of the first key, second key, document."""
+def blobs(chunk: int, piece: int, found: Classes, buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """For each bucket that occurs its number, the chunk, the part of the reply, and the classes' low 40 bits of the
+    first key, second key, document."""
     number = bucket_of(found.first, buckets)
     cuts = np.flatnonzero(np.diff(number)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(number)]):
@@ -174,7 +197,7 @@ def blobs(chunk: int, found: Classes, buckets: int) -> Iterator[tuple[int, int,
             continue
         key = found.first[a:b]
         yield (
-            int(number[a]), chunk,
+            int(number[a]), chunk, piece * buckets + int(number[a]) + 1,
             np.array([b - a], dtype="<i8").tobytes() + pack(key.astype(np.uint32))
             + pack((key >> np.uint64(32)).astype(np.uint8)) + pack(found.second[a:b])
             + packed_ids(found.least[a:b]),
@@ -230,11 +253,11 @@ def chunks_of(docs: DataFrame, id_col: str, text_col: str, carry: list[str], chu
                 writer.write_table(meta)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([first + number], pa.int64()), pa.array([0], pa.int32()),
+                    pa.array([first + number], pa.int64()), pa.array([0], pa.int64()), pa.array([size], pa.int64()),
                     pa.array([squeeze(sink.getvalue().to_pybytes())], pa.binary()),
                     pa.array([squeeze(b"".join(texts))], pa.binary()),
                 ],
-                names=["chunk", "part", "meta", "data"],
+                names=["chunk", "part", "size", "meta", "data"],
             )
 
         for batch in batches:
@@ -260,18 +283,12 @@ def chunks_of(docs: DataFrame, id_col: str, text_col: str, carry: list[str], chu
     return chosen.withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(run, CHUNKS)
 
 
-class Chunk:
-    """A chunk with its documents, texts and entries."""
+class Piece:
+    """Bytes of a chunk, from `start` on, with their entries."""
 
-    def __init__(self, number: int, meta: bytes, data: bytes, length: int, q: int):
-        self.number = number
-        self.meta = pa.ipc.open_stream(unsqueeze(meta)).read_all()
-        self.text = unsqueeze(data)
-        self.data = np.frombuffer(self.text, dtype=np.uint8)
-        self.sizes = self.meta["size"].to_numpy().astype(np.int64)
-        self.ids = self.meta["doc_id"].fill_null(int(LAST_ID)).to_numpy().astype(np.int64)
-        self.entries = entries(self.data, self.sizes, self.ids, length, q)
-        self.classes = classes(self.entries.gram, self.entries.cover, self.entries.owner)
+    def __init__(self, start: int, size: int, found: Entries):
+        self.start, self.size, self.entries = start, size, found
+        self.classes = classes(found.gram, found.cover, found.owner)
 
     def verdicts(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The entries whose windows are all repeated, and those whose windows must be looked at singly."""
@@ -285,53 +302,92 @@ class Chunk:
         n = high - low + 1
         starts = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
         owner = np.repeat(self.entries.owner[single], n)
-        return starts, owner, classes(self.entries.string[starts], self.entries.half[starts], owner)
+        return starts, owner, classes(*self.entries.strings.at(starts), owner)
+
 
+class Chunk:
+    """A chunk with its documents and texts, and the codes of each round by part."""
 
-def gathered(batches: Iterator[pa.RecordBatch], length: int, q: int) -> Iterator[tuple[Chunk, dict[int, np.ndarray]]]:
-    """Chunks with the codes of each round, from rows sorted by chunk and part (the chunk's row is first)."""
-    chunk, codes = None, {}
+    def __init__(self, number: int, meta: bytes, data: bytes, length: int, q: int, piece: int):
+        self.number, self.length, self.q, self.piece = number, length, q, piece
+        self.meta = pa.ipc.open_stream(unsqueeze(meta)).read_all()
+        self.text = unsqueeze(data)
+        self.sizes = self.meta["size"].to_numpy().astype(np.int64)
+        self.ids = self.meta["doc_id"].fill_null(int(LAST_ID)).to_numpy().astype(np.int64)
+        self.codes: dict[int, list[tuple[int, bytes]]] = {}
+
+    def take(self, part: int, kind: int, data: bytes) -> None:
+        self.codes.setdefault(kind, []).append((part, data))
+
+    def coded(self, kind: int, piece: int, buckets: int) -> np.ndarray:
+        """The codes of a piece's classes in a round, in their order."""
+        mine = [unsqueeze(d) for part, d in sorted(self.codes.get(kind, ())) if (part - 1) // buckets == piece]
+        return np.frombuffer(b"".join(mine), np.uint8)
+
+    def pieces(self) -> Iterator[tuple[int, Piece]]:
+        """One after another: all of an ordinary chunk, or stretches of a long document, which share a string's
+        length but one byte, so that each string starts in one of them."""
+        data = np.frombuffer(self.text, dtype=np.uint8)
+        if len(self.sizes) > 1 or len(data) <= self.piece:
+            found = entries(data, self.sizes, self.ids, self.length, self.q)
+            if len(found):
+                yield 0, Piece(0, len(data), found)
+            return
+        for number, start in enumerate(range(0, len(data), self.piece)):
+            part = data[start : start + self.piece + self.length - 1]
+            found = entries(part, np.array([len(part)]), self.ids, self.length, self.q)
+            if len(found):
+                yield number, Piece(start, len(part), found)
 
-    def whole() -> dict[int, np.ndarray]:
-        return {k: np.concatenate(v) for k, v in codes.items()}
 
+def gathered(batches: Iterator[pa.RecordBatch], length: int, q: int, piece: int, use) -> Iterator[pa.RecordBatch]:
+    """What `use` gives for each chunk with its replies, from rows sorted by chunk and part (the chunk's row is
+    first). A chunk is gone before the next one is built."""
+    held: list[Chunk] = []
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["part"] == 0:
-                if chunk is not None:
-                    yield chunk, whole()
-                chunk, codes = Chunk(row["chunk"], row["meta"], row["data"], length, q), {}
+        for i in range(batch.num_rows):
+            part, meta, data = batch["part"][i].as_py(), batch["meta"][i].as_py(), batch["data"][i].as_py()
+            if part == 0:
+                if held:
+                    yield from use(held.pop())
+                held.append(Chunk(batch["chunk"][i].as_py(), meta, data, length, q, piece))
             else:
-                kind = int(row["meta"][0])
-                codes.setdefault(kind, []).append(np.frombuffer(unsqueeze(row["data"]), np.uint8))
-    if chunk is not None:
-        yield chunk, whole()
+                held[0].take(part, int(meta[0]), data)
+    if held:
+        yield from use(held.pop())
 
 
-def asked(blobs_: DataFrame, kind: int) -> DataFrame:
-    """Replies to blobs: the codes of their classes, in order, by chunk and bucket."""
+def asked(blobs_: DataFrame, kind: int, n: int) -> DataFrame:
+    """Replies to blobs: the codes of their classes, in order, by chunk and part. Buckets are read one by one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in batch.to_pylist()]
-        if not rows:
-            return
-        parts = [unpacked(r["data"]) for r in rows]
-        # The same low bits may occur in several buckets that share a partition.
-        number = np.concatenate([np.full(len(p[0]), r["bucket"], np.uint64) for r, p in zip(rows, parts)])
-        key = np.concatenate([p[0] for p in parts]) | number << np.uint64(40)
-        code = refined(key, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]))
-        cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
-        yield pa.RecordBatch.from_arrays(
+    def answers(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        parts = [unpacked(data) for _, _, data in rows]
+        code = refined(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
+        codes = np.split(code, np.cumsum([len(p[0]) for p in parts])[:-1])
+        return pa.RecordBatch.from_arrays(
             [
-                pa.array([r["chunk"] for r in rows], pa.int64()),
-                pa.array([r["bucket"] + 1 for r in rows], pa.int32()),
+                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([int((c == 2).sum()) for c in codes], pa.int64()),
                 pa.array([bytes([kind])] * len(rows), pa.binary()),
-                pa.array([squeeze(pack(c)) for c in np.split(code, cuts)], pa.binary()),
+                pa.array([squeeze(pack(c)) for c in codes], pa.binary()),
             ],
-            names=["chunk", "part", "meta", "data"],
+            names=["chunk", "part", "size", "meta", "data"],
         )
 
-    return spread(blobs_, "bucket").mapInArrow(run, REPLIES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, rows = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = batch["bucket"][i].as_py()
+                if number != bucket and rows:
+                    yield answers(rows)
+                    rows = []
+                bucket = number
+                rows.append(tuple(batch[c][i].as_py() for c in ("chunk", "part", "data")))
+        if rows:
+            yield answers(rows)
+
+    return blobs_.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, CHUNKS)
 
 
 def removed(
@@ -355,63 +411,73 @@ def removed(
     n = partitions(spark)
     chunks = written(chunks_of(docs, id_col, text_col, carry, chunk), "repeats-chunks")
 
+    def buckets_for(rows: DataFrame, share: float) -> int:
+        """Buckets for `share` entries for each unit of the rows' size."""
+        total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        return max(n, math.ceil(total * share * ENTRY / BUCKET))
+
     def with_replies(*replies: DataFrame) -> DataFrame:
         rows = chunks
         for r in replies:
             rows = rows.union(r)
         return rows.repartition(n, "chunk").sortWithinPartitions("chunk", "part")
 
-    def as_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    def as_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.binary())],
-            names=["bucket", "chunk", "data"],
+            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "part", "data"]
         )
 
-    def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, _ in gathered(batches, length, q):
-            if len(c.entries):
-                yield as_batch(list(blobs(c.number, c.classes, n)))
+    def first_round(c: Chunk) -> Iterator[pa.RecordBatch]:
+        for number, piece in c.pieces():
+            yield as_batch(list(blobs(c.number, number, piece.classes, one_buckets)))
+
+    def second_round(c: Chunk) -> Iterator[pa.RecordBatch]:
+        for number, piece in c.pieces():
+            _, single = piece.verdicts(c.coded(1, number, one_buckets))
+            if single.any():
+                yield as_batch(list(blobs(c.number, number, piece.windows(single)[2], two_buckets)))
 
-    def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, codes in gathered(batches, length, q):
-            if len(c.entries):
-                _, single = c.verdicts(codes[1])
-                if single.any():
-                    yield as_batch(list(blobs(c.number, c.windows(single)[2], n)))
+    def last_round(c: Chunk) -> Iterator[pa.RecordBatch]:
+        yield result(c, one_buckets, two_buckets, carry, keep)
 
-    def last_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, codes in gathered(batches, length, q):
-            yield result(c, codes, length, carry, keep)
+    def over(rows: DataFrame, use, schema: str) -> DataFrame:
+        return rows.mapInArrow(lambda batches: gathered(batches, length, q, chunk, use), schema)
 
-    one = written(asked(chunks.mapInArrow(first_round, BLOBS), 1), "repeats-one")
-    two = asked(with_replies(one).mapInArrow(second_round, BLOBS), 2)
+    # Two of length - q + 2 places are chosen on average; an open class has a window for each place at most.
+    one_buckets = buckets_for(chunks, 2 / (length - q + 2))
+    one = written(asked(over(chunks, first_round, BLOBS), 1, n), "repeats-one")
+    two_buckets = buckets_for(one, length - q + 1)
+    two = asked(over(with_replies(one), second_round, BLOBS), 2, n)
     schema = (
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<start: long, end: long>>" + (", kept string" if keep else "")
     )
     for i, c in enumerate(carry):
         schema += f", carried_{i} {docs.schema[c].dataType.simpleString()}"
-    found = with_replies(one, two).mapInArrow(last_round, schema)
+    found = over(with_replies(one, two), last_round, schema)
     if not carry:
         return found
     carried = F.struct(*(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)))
     return found.withColumn("carried", carried).drop(*(f"carried_{i}" for i in range(len(carry))))
 
 
-def result(c: Chunk, codes: dict[int, np.ndarray], length: int, carry: list[str], keep: bool) -> pa.RecordBatch:
-    size = len(c.data)
-    change = np.zeros(size + 1, dtype=np.int32)
-    if len(c.entries):
-        smaller, single = c.verdicts(codes[1])
-        np.add.at(change, c.entries.low[smaller], 1)
-        np.add.at(change, c.entries.high[smaller] + length, -1)
-        if 2 in codes:
-            starts, owner, found = c.windows(single)
-            hit = starts[(codes[2][found.of_entry] == 1) | (owner > found.least[found.of_entry])]
+def result(c: Chunk, one_buckets: int, two_buckets: int, carry: list[str], keep: bool) -> pa.RecordBatch:
+    size = len(c.text)
+    gone = np.zeros(size, dtype=bool)
+    for number, piece in c.pieces():
+        found = piece.entries
+        smaller, single = piece.verdicts(c.coded(1, number, one_buckets))
+        change = np.zeros(piece.size + 1, dtype=np.int32)
+        np.add.at(change, found.low[smaller], 1)
+        np.add.at(change, found.high[smaller] + c.length, -1)
+        codes = c.coded(2, number, two_buckets)
+        if len(codes):
+            starts, owner, of = piece.windows(single)
+            hit = starts[(codes[of.of_entry] == 1) | (owner > of.least[of.of_entry])]
             np.add.at(change, hit, 1)
-            np.add.at(change, hit + length, -1)
-    gone = np.cumsum(change[:size]) > 0
+            np.add.at(change, hit + c.length, -1)
+        gone[piece.start : piece.start + piece.size] |= np.cumsum(change[:-1]) > 0
     bounds = np.concatenate([[0], np.cumsum(c.sizes)]).astype(np.int64)
     # Runs end with their document, also where two of them touch.
     edge = np.zeros(size + 1, dtype=bool)
@@ -421,7 +487,7 @@ def result(c: Chunk, codes: dict[int, np.ndarray], length: int, carry: list[str]
     opens = np.flatnonzero(after & (~before | edge))
     closes = np.flatnonzero(before & (~after | edge))
     first = np.searchsorted(opens, bounds)
-    hashes, kepts, spans = [], [], []
+    hashes, kepts, spans, removed_bytes = [], [], [], []
     for d, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
         mine = [(s - a, e - a) for s, e in zip(opens[first[d] : first[d + 1]].tolist(), closes[first[d] : first[d + 1]].tolist())]
         at, rest = 0, []
@@ -432,13 +498,13 @@ def result(c: Chunk, codes: dict[int, np.ndarray], length: int, carry: list[str]
         left = b"".join(rest)
         hashes.append(hashlib.sha256(left).hexdigest())
         spans.append([{"start": s, "end": e} for s, e in mine])
+        removed_bytes.append(sum(e - s for s, e in mine))
         if keep:
             kepts.append(left.decode("utf-8", "ignore"))
-    total = np.concatenate([[0], np.cumsum(gone)])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     arrays = [
         c.meta["doc_id"].combine_chunks(), pa.array(c.sizes, pa.int64()),
-        pa.array(total[bounds[1:]] - total[bounds[:-1]], pa.int64()), pa.array(np.diff(first), pa.int64()),
+        pa.array(removed_bytes, pa.int64()), pa.array(np.diff(first), pa.int64()),
         pa.array(hashes, pa.string()), pa.array(spans, kind),
     ]
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]

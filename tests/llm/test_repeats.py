@@ -49,8 +49,12 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("length,q,chunk", [(50, 16, 300), (50, 25, 1 << 20), (20, 8, 1000), (24, 6, 90)])
-def test_removed_bytes_are_those_of_brute_force(make, seed, length, q, chunk):
+@pytest.mark.parametrize("length,q,chunk,bucket", [
+    (50, 16, 300, 1 << 23), (50, 25, 1 << 20, 1 << 23), (20, 8, 1000, 200), (24, 6, 90, 2000), (50, 25, 70, 500),
+])
+def test_removed_bytes_are_those_of_brute_force(make, monkeypatch, seed, length, q, chunk, bucket):
+    """Also with documents of many pieces, and many buckets."""
+    monkeypatch.setattr(repeats, "BUCKET", bucket)
     rows = corpus(seed)
     docs = make([(d, t, 1) for d, t in rows], "doc_id long, text string, n_spans int").repartition(3)
     found = repeats.removed(docs, length=length, q=q, chunk=chunk)
@@ -72,3 +76,30 @@ def test_no_rows_and_wrong_lengths(make):
     assert repeats.removed(docs).count() == 0
     with pytest.raises(ValueError):
         repeats.removed(docs, length=50, q=5)
+
+
+def test_a_document_of_many_pieces_takes_a_few_bytes_for_each_of_its_own():
+    """Neither the entries nor the marks of more than one piece are in memory at a time."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    text = np.random.default_rng(1).integers(32, 127, 6 << 20, dtype=np.uint8).tobytes()
+    sink = pa.BufferOutputStream()
+    meta = pa.table({"doc_id": pa.array([1], pa.int64()), "size": pa.array([len(text)], pa.int64())})
+    with pa.ipc.new_stream(sink, meta.schema) as writer:
+        writer.write_table(meta)
+    packed = repeats.squeeze(sink.getvalue().to_pybytes()), repeats.squeeze(text)
+    tracemalloc.start()
+    chunk = repeats.Chunk(0, *packed, 50, 25, 1 << 18)
+    pieces = 0
+    for number, piece in chunk.pieces():
+        rows = list(repeats.blobs(0, number, piece.classes, 8))
+        chunk.take(number * 8 + 1, 1, repeats.squeeze(bytes(len(piece.classes.first))))
+        pieces += 1
+    del rows, piece
+    repeats.result(chunk, 8, 8, [], False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces == 24 and peak < 10 * len(text)
