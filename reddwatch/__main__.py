@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 
 from reddwatch import params
 from reddwatch.operators.exclusion import distinct_tags
-from reddwatch.plans.batch import GAUGE, Store, flow_table, run_batch
+from reddwatch.plans.batch import GAUGE, Store, flow_table, run_batch, save_flow
 from reddwatch.session import build_session
-from reddwatch.sources import dimensions, gauges, reports, tables
+from reddwatch.sources import dimensions, gauges, reports
 from reddwatch.streaming.ingest import ingest_reports, refresh_downstream
 
 
@@ -78,8 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         spark, args.reports[0], store, groups, downstream, sites, line_breaks=line_breaks
     )
     if readings is not None:
-        flow = flow_table(readings, as_of, keys=GAUGE)
-        tables.save_table(flow, store.path("flow"))
+        save_flow(flow_table(readings, as_of, keys=GAUGE), store)
 
 
 def land_feed(spark: SparkSession, feed: str, site_no: str, path: str) -> None:

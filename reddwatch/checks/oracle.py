@@ -420,4 +420,39 @@ ORACLE.update({
     "default_start_by_group": f"""{_BY_GROUP},{_INDIVIDUALS},{_DAILY}
       SELECT site_group, spawn_year, cast(min(yfk_final_date) - 14 AS date) AS date_start
       FROM daily GROUP BY 1, 2""",
+    "incremental_mixed_headers": f"""WITH {_REPORT}
+      SELECT pit_id, max(release_sitecode) AS release_sitecode,
+             max(release_lifestage) AS release_lifestage, max(release_datetime) AS release_datetime,
+             observation_sitecode, observation_datetime,
+             cast(max(observation_year - year(release_datetime)) AS bigint) AS yrs_at_large,
+             max(CASE WHEN observation_month > 6 THEN observation_year + 1 ELSE observation_year END)
+               AS spawn_year, max(length_mm) AS length_mm
+      FROM report GROUP BY pit_id, observation_sitecode, observation_datetime""",
+    "reports_set_aside": "SELECT 'Other,Thing' AS header, count(*) AS n_rows FROM nation",
+    "cluster_pyramid": f"""{_YEARS},{_LOCATIONS},
+      cells AS (
+        SELECT least(floor((longitude + 180) / 360 * 128), 127) AS x,
+               least(floor((latitude + 90) / 180 * 128), 127) AS y, latitude, longitude
+        FROM located WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
+      SELECT cast(level AS bigint) AS level, cast(floor(x / 2 ** (7 - level)) AS bigint) AS cell_x,
+             cast(floor(y / 2 ** (7 - level)) AS bigint) AS cell_y, count(*) AS n_tags,
+             round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude
+      FROM cells, range(8) levels(level) GROUP BY 1, 2, 3""",
+    "season_curves": f"""{_BY_GROUP},{_INDIVIDUALS},{_DAILY},
+      axis AS (
+        SELECT site_group, spawn_year, sy_total, cast(unnest(generate_series(
+                 make_date(cast(spawn_year - 1 AS int), 7, 1), make_date(cast(spawn_year AS int), 6, 30),
+                 INTERVAL 1 DAY)) AS date) AS date
+        FROM (SELECT DISTINCT site_group, spawn_year, sy_total FROM daily))
+      SELECT a.site_group, a.spawn_year, date,
+             cast(date_diff('day', DATE '1999-07-01', make_date(
+               CASE WHEN month(date) > 6 THEN 1999 ELSE 2000 END, month(date), day(date))) + 1 AS bigint)
+               AS season_day,
+             coalesce(d.n, 0) AS n, cast(coalesce(sum(d.n) OVER season, 0) AS bigint) AS cumulative_total,
+             round(coalesce(sum(d.n) OVER season, 0) / a.sy_total, 6) AS daily_cumulative
+      FROM axis a LEFT JOIN daily d ON d.site_group = a.site_group AND d.spawn_year = a.spawn_year
+        AND d.yfk_final_date = a.date
+      WINDOW season AS (PARTITION BY a.site_group, a.spawn_year ORDER BY date ROWS UNBOUNDED PRECEDING)""",
 })
+ORACLE["published_tables"] = ORACLE["saved_daily"]
+ORACLE["gauge_compacted"] = ORACLE["gauge_landed_twice"]

@@ -13,6 +13,7 @@ from reddwatch.checks import tables as t
 from reddwatch.operators import detections as det
 from reddwatch.operators import gauges, lengths, watch
 from reddwatch.operators.daily import daily_entries
+from reddwatch.operators.daily import season_curves as curves_of
 from reddwatch.operators.exclusion import (
     distinct_tags,
     exclude_tags,
@@ -20,6 +21,7 @@ from reddwatch.operators.exclusion import (
     juveniles_not_downstream,
 )
 from reddwatch.operators.locations import cluster_by_grid, cluster_by_site, locations
+from reddwatch.operators.locations import cluster_pyramid as pyramid_of
 from reddwatch.operators.passage import (
     GROUP_SEASON,
     attach_release_info,
@@ -30,10 +32,10 @@ from reddwatch.operators.passage import (
 from reddwatch.params import DISCHARGE, TEMPERATURE, site_group_table
 from reddwatch.plans import batch, serving
 from reddwatch.session import workspace
-from reddwatch.sources import dimensions, reports
+from reddwatch.sources import dimensions, published, reports
 from reddwatch.sources import gauges as gauge_files
 from reddwatch.sources import tables as saved
-from reddwatch.streaming.ingest import compact_log, current_log, ingest
+from reddwatch.streaming.ingest import compact_log, current_log, ingest, landed_reader
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,12 +163,24 @@ def _readings_out(chosen: DataFrame) -> DataFrame:
 def gauge_landed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Readings landed by site and by day, with a first landing that is restated: none is lost."""
     folder = workspace(spark, "gauge")
+    _land_twice(spark, sf, folder)
+    return _readings_out(_chosen(spark, folder, ["G", "H"]))
+
+
+def _land_twice(spark: SparkSession, sf: str, folder: str) -> None:
     one, other = t.readings(spark, sf), t.readings(spark, sf).withColumn("site_no", F.lit("H"))
     early = F.col("date") < dt.date(2024, 1, 15)
     gauge_files.write_gauge(one.filter(early).withColumn("value", F.col("value") + 1), folder)
     gauge_files.write_gauge(other.filter(early), folder)
     gauge_files.write_gauge(one.filter(~early).unionByName(other.filter(~early)), folder)
     gauge_files.write_gauge(one.filter(early), folder)
+
+
+def gauge_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same landings, folded into one before they are read."""
+    folder = workspace(spark, "gauge")
+    _land_twice(spark, sf, folder)
+    gauge_files.compact_gauge(spark, folder)
     return _readings_out(_chosen(spark, folder, ["G", "H"]))
 
 
@@ -304,6 +318,11 @@ def grid_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_by_grid(_yearly_locations(spark, sf), 5.0)
 
 
+def cluster_pyramid(spark: SparkSession, sf: str) -> DataFrame:
+    pyramid = pyramid_of(_yearly_locations(spark, sf), levels=8)
+    return t.as_longs(t.rounded(pyramid, "latitude", "longitude", digits=6))
+
+
 def length_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return t.rounded(
         lengths.length_frequency(t.measured_parts(spark, sf)), "mean_length"
@@ -453,6 +472,12 @@ def map_points_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return t.as_longs(serving.map_points(located, GROUP_SEASON))
 
 
+def season_curves(spark: SparkSession, sf: str) -> DataFrame:
+    """Every group's seasons on one axis of days."""
+    curves = curves_of(_group_daily(spark, sf), GROUP_SEASON)
+    return t.as_longs(t.rounded(curves, "daily_cumulative", digits=6))
+
+
 def default_start_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return t.as_longs(serving.default_start(_group_daily(spark, sf), keys=GROUP_SEASON))
 
@@ -472,17 +497,31 @@ def _saved(spark: SparkSession, sf: str) -> batch.Store:
     return store
 
 
+def _published(spark: SparkSession, store: batch.Store, name: str) -> DataFrame:
+    return published.read(spark, store.root, name)
+
+
 def saved_individuals(spark: SparkSession, sf: str) -> DataFrame:
-    stored = saved.read_table(spark, _saved(spark, sf).path("individuals"))
+    stored = _published(spark, _saved(spark, sf), "individuals")
     return _individuals_out(serving.latest(stored))
 
 
 def saved_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return _entries_out(saved.read_table(spark, _saved(spark, sf).path("daily")))
+    return _entries_out(_published(spark, _saved(spark, sf), "daily"))
 
 
 def saved_locations(spark: SparkSession, sf: str) -> DataFrame:
-    return t.as_longs(saved.read_table(spark, _saved(spark, sf).path("locations")))
+    return t.as_longs(_published(spark, _saved(spark, sf), "locations"))
+
+
+def published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries per day as published, after a later run has broken off between two tables."""
+    store = _saved(spark, sf)
+    state = published.State.newest(spark, store.root)
+    run = published.Run(spark, store.root)
+    some = state.table("tags").filter("pit_id % 2 = 0")
+    run.save("individuals", individuals(run.save("tags", some), t.downstream(spark, sf), GROUP_SEASON))
+    return _entries_out(_published(spark, store, "daily"))
 
 
 def saved_flow(spark: SparkSession, sf: str) -> DataFrame:
@@ -534,7 +573,7 @@ def _ingested(
 
 
 def incremental_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return _entries_out(saved.read_table(spark, _ingested(spark, sf).path("daily")))
+    return _entries_out(_published(spark, _ingested(spark, sf), "daily"))
 
 
 def incremental_detections(spark: SparkSession, sf: str) -> DataFrame:
@@ -560,7 +599,32 @@ def incremental_late(spark: SparkSession, sf: str) -> DataFrame:
     orders = t.table(spark, sf, "orders")
     late = F.dayofmonth("o_orderdate") < 10
     folder = t.land_parts(spark, [orders.filter(~late), orders.filter(late)], "late")
-    return _entries_out(saved.read_table(spark, _ingested(spark, sf, folder).path("daily")))
+    return _entries_out(_published(spark, _ingested(spark, sf, folder), "daily"))
+
+
+def _mixed(spark: SparkSession, sf: str) -> batch.Store:
+    """Reports of several shapes in one landing folder, with stray files among them, taken in."""
+    store = _store(spark, "mixed")
+    seen = t.downstream(spark, sf).select(t.tag_code(F.col("pit_id")).alias("pit_id"))
+    ingest(
+        spark, reports.stream_files(spark, t.land_mixed_reports(spark, sf)), det.conform, store,
+        _groups(spark), seen, t.sites(spark, sf), read=landed_reader(spark),
+    )
+    return store
+
+
+def incremental_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """The log after a landing of reports of several shapes."""
+    logged = current_log(spark, _mixed(spark, sf)).select(*DETECTION_OUT)
+    return t.as_longs(
+        logged.withColumn("observation_datetime", F.col("observation_datetime").cast("timestamp_ntz"))
+    )
+
+
+def reports_set_aside(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a landing that are no reports: their header and how many rows they hold."""
+    _, aside = reports.read_landed(spark, t.land_mixed_reports(spark, sf))
+    return aside.groupBy("header").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
 
 
 QUERIES: dict[str, Query] = {
@@ -633,4 +697,10 @@ QUERIES: dict[str, Query] = {
     "incremental_detections": incremental_detections,
     "incremental_restated": incremental_restated,
     "incremental_late": incremental_late,
+    "incremental_mixed_headers": incremental_mixed_headers,
+    "reports_set_aside": reports_set_aside,
+    "published_tables": published_tables,
+    "cluster_pyramid": cluster_pyramid,
+    "season_curves": season_curves,
+    "gauge_compacted": gauge_compacted,
 }

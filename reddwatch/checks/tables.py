@@ -152,8 +152,8 @@ def land_parts(spark: SparkSession, parts: list[DataFrame], purpose: str) -> str
     return folder
 
 
-def land_report(spark: SparkSession, sf_dir: str) -> str:
-    """Write the orders as UTF-16LE report files and return their folder."""
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as rows of a report."""
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     attributes = lookup_join(customers, nations, [("c_nationkey", "n_nationkey")], how="inner")
@@ -170,7 +170,7 @@ def land_report(spark: SparkSession, sf_dir: str) -> str:
         .when(F.col("c_mktsegment") == "BUILDING", "NaN")
         .otherwise(F.col("c_acctbal").cast("string"))
     )
-    report = rows.select(
+    return rows.select(
         tag_code(F.col("o_custkey")).alias(header["tag"]),
         F.substring("c_mktsegment", 1, 1).alias(header["rear_type"]),
         F.concat_ws(" - ", F.col("c_nationkey"), F.col("n_name")).alias(header["release_site"]),
@@ -182,8 +182,29 @@ def land_report(spark: SparkSession, sf_dir: str) -> str:
         F.date_format("o_orderdate", "MM/dd/yyyy hh:mm:ss a").alias(header["obs_time"]),
         length.alias(header["length"]),
     )
+
+
+def write_report(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("append").options(header=True, encoding="UTF-16LE").csv(folder)
+
+
+def land_report(spark: SparkSession, sf_dir: str) -> str:
+    """Write the orders as UTF-16LE report files and return their folder."""
     folder = workspace(spark, "report")
-    report.write.options(header=True, encoding="UTF-16LE").csv(folder)
+    write_report(report_rows(spark, sf_dir), folder)
+    return folder
+
+
+def land_mixed_reports(spark: SparkSession, sf_dir: str) -> str:
+    """The same rows in three shapes of report, by tag, and the nations as files that are no report."""
+    rows = report_rows(spark, sf_dir)
+    names = list(rows.columns)
+    shape = F.pmod(F.xxhash64(schemas.REPORT_HEADERS["tag"]), F.lit(3))
+    folder = workspace(spark, "mixed")
+    write_report(rows.filter(shape == 0), folder)
+    write_report(rows.filter(shape == 1).select(*reversed(names)), folder)
+    write_report(rows.filter(shape == 2).select(F.lit("x").alias("Extra"), *names[::2], *names[1::2]), folder)
+    write_report(table(spark, sf_dir, "nation").select(F.col("n_name").alias("Other"), F.lit("y").alias("Thing")), folder)
     return folder
 
 

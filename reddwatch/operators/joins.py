@@ -70,7 +70,8 @@ def split_join(
 
     A key is hot if it holds more than half of the rows that a shuffle task gets on average, so
     fewer keys than twice the tasks can be hot and their list, with the parts each is dealt into, is
-    collected. The left rows of a hot key go to its parts in turn and its right rows to every part.
+    collected. The left rows of a hot key go to its parts by a hash of all their columns, so that a task that is
+    run again deals them alike, and its right rows to every part.
     The left side is read once for its key columns and once for the join; without hot keys the join
     is a plain one. Right keys may repeat, whatever `unique` says.
     """
@@ -82,7 +83,7 @@ def split_join(
         return _joined(left, right, on, how)
     keys = [key for key, _ in on]
     dealt = _with_parts(left, keys, hot).withColumn(
-        "_part", F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1)))
+        "_part", F.pmod(F.xxhash64(*left.columns), F.coalesce("_parts", F.lit(1)))
     ).drop("_parts")
     repeated = _with_parts(right, _key_names(on), hot).withColumn(
         "_right_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,43 @@ def tag_summary(flagged: DataFrame, keys: Sequence[str] = SEASON) -> DataFrame:
         F.max(F.when(F.col("is_entry"), time)).alias("yfk_entry_final"),
         F.sum(length).alias("length_sum"),
         F.count(length).alias("length_count"),
-        F.max(F.col("is_home_release") & (F.col("release_lifestage") == "Juvenile"))
-        .alias("home_juvenile"),
+        F.max(_home_juvenile()).alias("home_juvenile"),
     )
+    return _of_partial(partial, keys)
+
+
+def _home_juvenile() -> Column:
+    return F.col("is_home_release") & (F.col("release_lifestage") == "Juvenile")
+
+
+def tag_cells(detections: DataFrame) -> DataFrame:
+    """Detections reduced to one row per season, tag, release attributes and observation site.
+
+    Flags of a site group depend on these columns alone, so `flag_site_groups` can take cells in place of
+    detections: what a tag leaves at a site, however often, meets the groups once. All aggregates have fixed
+    width and a map-side step.
+    """
+    time = F.col("observation_datetime")
+    length = without_nan(F.col("length_mm"))
+    return detections.groupBy("spawn_year", "pit_id", *RELEASE, "observation_sitecode").agg(
+        F.min(time).alias("first_time"), F.max(time).alias("last_time"),
+        F.sum(length).alias("length_sum"), F.count(length).alias("length_count"),
+    )
+
+
+def cell_summary(flagged: DataFrame, keys: Sequence[str] = SEASON) -> DataFrame:
+    """`tag_summary` of flagged cells."""
+    partial = flagged.select(
+        *keys, "pit_id", *RELEASE, F.col("first_time").alias("first_seen"),
+        F.when(F.col("is_presence"), F.col("first_time")).alias("yfk_first"),
+        F.when(F.col("is_entry"), F.col("last_time")).alias("yfk_entry_final"),
+        "length_sum", "length_count", _home_juvenile().alias("home_juvenile"),
+    )
+    return _of_partial(partial, keys)
+
+
+def _of_partial(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per `keys` and tag of rows that each stand for some of its detections."""
     return (
         partial.groupBy(*keys, "pit_id")
         .agg(

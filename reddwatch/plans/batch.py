@@ -1,4 +1,8 @@
-"""The batch job: reports, sites and gauge readings to saved tables."""
+"""The batch job: reports, sites and gauge readings to saved tables.
+
+Per-tag rows, individuals, daily entries, locations and flow are published together (`sources.published`); what a run
+reads or counts besides lies in folders of its own.
+"""
 
 from __future__ import annotations
 
@@ -24,11 +28,18 @@ from reddwatch.operators.detections import (
 from reddwatch.operators.exclusion import distinct_tags
 from reddwatch.operators.gauges import daily_flow, flow_range
 from reddwatch.operators.locations import locations
-from reddwatch.operators.passage import GROUP_SEASON, individuals, tag_summary
+from reddwatch.operators.passage import (
+    GROUP_SEASON,
+    cell_summary,
+    individuals,
+    tag_cells,
+    tag_summary,
+)
 from reddwatch.params import HOME_GROUP, SERIES_START, SiteGroup
 from reddwatch.session import require_zone
 from reddwatch.sources import tables
-from reddwatch.sources.reports import read_downstream, read_report
+from reddwatch.sources.published import Run
+from reddwatch.sources.reports import read_downstream, read_landed
 
 
 # What tells the series of a flow table apart.
@@ -75,9 +86,13 @@ def flow_table(
 
 
 def group_season_tags(detections: DataFrame, site_groups: DataFrame) -> DataFrame:
-    """Per-tag rows of every site group and season."""
+    """Per-tag rows of every site group and season.
+
+    Detections are reduced to cells before they meet the groups, so it is cells that a site of several groups, or
+    a group that takes all sites, multiplies.
+    """
     usable = drop_same_year_juveniles(detections.filter(F.col("spawn_year").isNotNull()))
-    return tag_summary(flag_site_groups(usable, site_groups), GROUP_SEASON)
+    return cell_summary(flag_site_groups(tag_cells(usable), site_groups), GROUP_SEASON)
 
 
 def save_group_seasons(
@@ -88,43 +103,36 @@ def save_group_seasons(
     store: Store,
     seasons: list[int],
     whole: bool = False,
+    flow: DataFrame | None = None,
 ) -> None:
-    """Save the tables of every site group for the given seasons of `detections`.
+    """Save and publish the tables of every site group for the given seasons of `detections`.
 
     Each table is read back from its files by the next step, so the detections are scanned
     once and a lost executor costs only its own tasks. With `whole`, stored seasons other than
-    these go.
+    these go. The flow table is published with the others if it is given.
     """
-    tags = tables.save_seasons(
-        group_season_tags(tables.in_seasons(detections, seasons), site_groups),
-        store.path("tags"), seasons, whole=whole,
+    run = Run(detections.sparkSession, store.root, None if whole else seasons)
+    save_from_tags(
+        run.save("tags", group_season_tags(tables.in_seasons(detections, seasons), site_groups)),
+        downstream, sites, run,
     )
-    save_from_tags(tags, downstream, sites, store, seasons, whole)
+    if flow is not None:
+        run.save_whole("flow", flow)
+    run.publish()
 
 
-def save_from_tags(
-    tags: DataFrame,
-    downstream: DataFrame,
-    sites: DataFrame,
-    store: Store,
-    seasons: list[int],
-    whole: bool = False,
-) -> None:
-    """Save the tables that follow from the saved per-tag rows of the given seasons."""
-    rows = tables.in_seasons(tags, seasons)
-    kept = tables.in_seasons(
-        tables.save_seasons(
-            individuals(rows, downstream, GROUP_SEASON), store.path("individuals"), seasons,
-            whole=whole,
-        ),
-        seasons,
-    )
-    tables.save_seasons(
-        daily_entries(kept, GROUP_SEASON), store.path("daily"), seasons, whole=whole
-    )
-    tables.save_seasons(
-        locations(rows, sites, GROUP_SEASON), store.path("locations"), seasons, whole=whole
-    )
+def save_from_tags(tags: DataFrame, downstream: DataFrame, sites: DataFrame, run: Run) -> None:
+    """Save the tables that follow from the per-tag rows of a run's seasons."""
+    kept = run.save("individuals", individuals(tags, downstream, GROUP_SEASON))
+    run.save("daily", daily_entries(kept, GROUP_SEASON))
+    run.save("locations", locations(tags, sites, GROUP_SEASON))
+
+
+def save_flow(flow: DataFrame, store: Store) -> None:
+    """Save and publish the flow table alone."""
+    run = Run(flow.sparkSession, store.root, [])
+    run.save_whole("flow", flow)
+    run.publish()
 
 
 def run_batch(
@@ -141,10 +149,12 @@ def run_batch(
     """Reports to saved tables for all groups and seasons, and the flow series if given.
 
     The tables are those of these reports alone: what an earlier run stored and they do not hold
-    goes. Of a detection that is restated the newest file counts, as in ingest.
+    goes. Of a detection that is restated the newest file counts, and files that are no reports are set
+    aside, as in ingest.
     """
     require_zone(spark)
-    report = read_report(spark, *report_paths, line_breaks=line_breaks, arrival=True)
+    report, aside = read_landed(spark, *report_paths, line_breaks=line_breaks)
+    tables.save_table(aside, store.path("set_aside"))
     # CSV is parsed once, and what could not be read is counted as it passes by; every later step
     # reads the Parquet copy.
     rejects = Observation()
@@ -153,15 +163,15 @@ def run_batch(
         distinct_tags(read_downstream(spark, *downstream_paths, line_breaks=line_breaks)),
         store.path("downstream"),
     )
-    save_detections(newest_per_key(conform(observed)), site_groups, downstream, sites, store)
+    flow = None if readings is None else flow_table(readings, as_of, keys=GAUGE)
+    save_detections(
+        newest_per_key(conform(observed)), site_groups, downstream, sites, store, flow
+    )
     tables.save_table(
         spark.createDataFrame([rejects.get], "n_rows long, bad_obs_time long, "
                               "bad_release_date long, bad_length long"),
         store.path("rejects"),
     )
-    if readings is not None:
-        flow = flow_table(readings, as_of, keys=GAUGE)
-        tables.save_table(flow, store.path("flow"))
 
 
 def save_detections(
@@ -170,6 +180,7 @@ def save_detections(
     downstream: DataFrame,
     sites: DataFrame,
     store: Store,
+    flow: DataFrame | None = None,
 ) -> None:
     """Save detections and all that follows from them, in place of what is stored."""
     arrival = [c for c in detections.columns if c.startswith("_source")]
@@ -180,5 +191,6 @@ def save_detections(
         unmatched_sites(saved, site_groups), store.path("unmatched"), whole=True
     )
     save_group_seasons(
-        saved, site_groups, downstream, sites, store, tables.season_list(saved), whole=True
+        saved, site_groups, downstream, sites, store, tables.season_list(saved), whole=True,
+        flow=flow,
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from reddwatch import schemas
 from reddwatch.functions.times import within
+from reddwatch.sources import tables
 
 
 KEY = ["site_no", "date", "parameter_cd"]
@@ -41,6 +42,31 @@ def next_landing(spark: SparkSession, path: str) -> int:
     return 0 if stored is None else stored + 1
 
 
+def compact_gauge(spark: SparkSession, path: str, most: int = 1) -> list[int]:
+    """Fold the landings of each year that has more than `most` into one, and give those years.
+
+    The folded readings are a landing of their own, after all others, and have every site, date and parameter of
+    the year, so readers see the same before, while and after the folded landings are emptied. A job that breaks
+    off in between leaves them to the next one. Not to be run while a landing is added.
+    """
+    stored = _stored(spark, path)
+    # Years and landings are folder names; a year's landings are few.
+    found = stored.select("year", "landing").distinct().collect()
+    landings: dict[int, list[int]] = {}
+    for row in found:
+        landings.setdefault(row.year, []).append(row.landing)
+    years = sorted(y for y, numbers in landings.items() if len(numbers) > most)
+    if not years:
+        return []
+    rows = stored.filter(F.col("year").isin(years))
+    write_gauge(newest_landing(rows).drop("year"), path, next_landing(spark, path))
+    none = spark.createDataFrame([], schemas.GAUGE_READINGS)
+    for year in years:
+        for number in landings[year]:
+            none.write.mode("overwrite").parquet(f"{path}/year={year}/landing={number}")
+    return years
+
+
 def newest_landing(stored: DataFrame) -> DataFrame:
     """All readings that the newest landing has for a site, date and parameter.
 
@@ -61,8 +87,8 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
         *schemas.GAUGE_READINGS.fields,
         T.StructField("year", T.IntegerType()), T.StructField("landing", T.LongType()),
     ])
-    none = spark.createDataFrame([], schema)
-    none.write.mode("append").partitionBy("year", "landing").parquet(path)
+    if not tables.exists(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from reddwatch import schemas
 
 ENCODING = "UTF-16LE"
 # With enforceSchema off, a file whose header differs from the first one raises instead of
-# having its columns swapped by position. A quote inside a quoted field is doubled.
+# having its columns swapped by position; `read_landed` looks at each file's header itself. A quote inside a quoted field is doubled.
 CSV_OPTIONS = {
     "header": True,
     "encoding": ENCODING,
@@ -65,24 +68,85 @@ def read_downstream(spark: SparkSession, *paths: str, line_breaks: bool = True)
     ])
 
 
-def stream_report(
-    spark: SparkSession,
-    landing: str,
-    max_files_per_trigger: int | None = None,
-    line_breaks: bool = True,
-) -> DataFrame:
-    """Newly landed report rows with the file they came from and when it was written.
+# What is kept of a file that is set aside.
+SET_ASIDE = "file string, header string, n_lines long"
+# Fixed by Spark: the columns of its reader of whole files. Only names and sizes are asked for.
+FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
+
+
+def header_index(spark: SparkSession, *paths: str) -> DataFrame:
+    """The first line of every landed file and how many lines it has; a file without any has no row.
 
-    The first landed file gives the column order; a later file with another header fails.
+    Lines are cut and counted where the files are read, none of them is parsed. A line in a file's
+    first block is the first one if none before it in that block is.
     """
-    lines = line_options(line_breaks)
-    reader = spark.readStream.options(**CSV_OPTIONS, **lines).schema(
-        _read(spark, landing, lines).schema
-    )
+    lines = spark.read.options(lineSep="\n", encoding=ENCODING).text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ).withColumn("place", F.when(F.col("block") == 0, F.monotonically_increasing_id()))
+    # Such lines come as they are in the file.
+    header = F.decode(F.min_by(F.col("value").cast("binary"), F.col("place")), ENCODING)
+    return lines.groupBy("file").agg(header.alias("header"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def header_columns(header: str | None) -> list[str] | None:
+    """The columns a header line names, None if it lacks one that a report has or names it twice.
+
+    Further columns may repeat or have no name; they get names of their own.
+    """
+    line = (header or "").lstrip("\ufeff").rstrip("\r")
+    names = [name.strip() for name in next(csv.reader([line]), [])]
+    if any(names.count(h) != 1 for h in schemas.REPORT_HEADERS.values()):
+        return None
+    needed = set(schemas.REPORT_HEADERS.values())
+    return [name if name in needed else f"_column_{i}" for i, name in enumerate(names)]
+
+
+def read_landed(
+    spark: SparkSession, *paths: str, line_breaks: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Report rows with their arrival, and the files that are set aside, of files in any shapes.
+
+    Files are put together by their header, and each shape is read by a reader of its own, so columns
+    may stand in any order and others among them. A file whose first line lacks a column of a report
+    is no report: it is set aside with that line and its number of lines, and the others are read. The
+    names and first lines of the files are gathered as any listing of them is.
+    """
+    found = header_index(spark, *paths).collect() if paths else []
+    shapes: dict[tuple[str, ...], list[str]] = {}
+    odd = []
+    for row in sorted(found, key=lambda r: r.file):
+        columns = header_columns(row.header)
+        if columns is None:
+            odd.append((unquote(row.file), (row.header or "").lstrip("\ufeff").rstrip("\r"), row.n_lines))
+        else:
+            shapes.setdefault(tuple(columns), []).append(as_pattern(unquote(row.file)))
+    options = {**CSV_OPTIONS, **line_options(line_breaks), "enforceSchema": True}
+    parts = [
+        spark.read.options(**options).schema(", ".join(f"`{c}` string" for c in columns)).csv(files)
+        .select(*[f"`{h}`" for h in schemas.REPORT_HEADERS.values()], *_arrival())
+        for columns, files in shapes.items()
+    ]
+    if not parts:
+        kinds = [f"`{h}` string" for h in schemas.REPORT_HEADERS.values()]
+        empty = ", ".join([*kinds, "_source_time timestamp", "_source_file string"])
+        parts = [spark.createDataFrame([], empty)]
+    return _union(parts), spark.createDataFrame(odd, SET_ASIDE)
+
+
+def as_pattern(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def stream_files(
+    spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Names of newly landed files; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(landing)
-    return rows.select(*_needed(rows, list(schemas.REPORT_HEADERS)), *_arrival())
+    return reader.load(landing).select("path")
 
 
 def _arrival() -> tuple[Column, Column]:

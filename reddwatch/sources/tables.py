@@ -23,8 +23,23 @@ def save_seasons(
     With `whole`, the table is replaced as such: stored seasons that it does not hold go.
 
     `seasons` names those the table was computed for: one that came out without rows is emptied,
-    which a dynamic overwrite alone would not do. Rebalancing gathers a season into few files
-    and splits one too large for a task; without it every task writes the seasons it holds.
+    which a dynamic overwrite alone would not do.
+    """
+    written = write_seasons(table, path, partition, rebalance, whole)
+    # Spawn years are calendar years, so both lists are short.
+    if not whole:
+        for season in sorted(set(seasons) - written):
+            _clear_season(table, path, season)
+    return read_table(table.sparkSession, path, table)
+
+
+def write_seasons(
+    table: DataFrame, path: str, partition: Sequence[str] = (SEASON,), rebalance: bool = True, whole: bool = False,
+) -> set[int]:
+    """Replace the seasons a table holds, or with `whole` the stored table, and give those seasons.
+
+    Rebalancing gathers a season into few files and splits one too large for a task; without it every task
+    writes the seasons it holds.
     """
     written = Observation()
     spread = table.hint("rebalance", *partition) if rebalance else table
@@ -35,11 +50,13 @@ def save_seasons(
         .partitionBy(*partition)
         .parquet(path)
     )
-    # Spawn years are calendar years, so both lists are short.
-    if not whole:
-        for season in sorted(set(seasons) - set(written.get["seasons"])):
-            _clear_season(table, path, season)
-    return read_table(table.sparkSession, path, table)
+    return set(written.get["seasons"])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something was saved there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def _clear_season(table: DataFrame, path: str, season: int) -> None:

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reddwatch import schemas
+from reddwatch.operators.daily import changed_entries
 from reddwatch.operators.detections import (
     conform,
     newest_per_key,
     reject_counts,
     unmatched_sites,
 )
+from reddwatch.operators.locations import locations
+from reddwatch.operators.passage import GROUP_SEASON, individuals
 from reddwatch.plans.batch import (
     Store,
     group_season_tags,
@@ -22,7 +25,8 @@ from reddwatch.plans.batch import (
 )
 from reddwatch.session import require_zone
 from reddwatch.sources import tables
-from reddwatch.sources.reports import stream_report
+from reddwatch.sources.published import Run, State
+from reddwatch.sources.reports import as_pattern, read_landed, stream_files
 
 LOG_PARTITION = ["spawn_year", "ingest_batch"]
 
@@ -56,13 +60,14 @@ def append_batch(detections: DataFrame, batch_id: int, store: Store) -> list[int
         "ingest_batch", F.lit(batch_id).cast("long")
     )
     arrived = tables.save_table(newest_per_key(timed), store.path("arrived"))
-    log = _log(arrived, store)
-    earlier = tables.in_seasons(
-        log.filter(F.col("ingest_batch") < batch_id), tables.season_list(arrived)
-    )
-    fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
-    written = tables.save_seasons(fresh, store.path("log"), partition=LOG_PARTITION)
-    return tables.season_list(written.filter(F.col("ingest_batch") == batch_id))
+    fresh = arrived
+    if tables.exists(arrived.sparkSession, store.path("log")):
+        log = tables.read_table(arrived.sparkSession, store.path("log"), arrived)
+        earlier = tables.in_seasons(
+            log.filter(F.col("ingest_batch") < batch_id), tables.season_list(arrived)
+        )
+        fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
+    return sorted(tables.write_seasons(fresh, store.path("log"), LOG_PARTITION))
 
 
 def current_log(spark: SparkSession, store: Store) -> DataFrame:
@@ -79,27 +84,31 @@ def ingest(
     downstream: DataFrame,
     sites: DataFrame,
     count_rejects: bool = False,
+    read: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> None:
     """Take in all files the stream has not seen yet, then stop.
 
-    `prepare` turns staged stream rows into detections. Only the tags that a batch touched are
-    reduced again, from the log, and put in the place of their old rows; the smaller tables follow
-    from the rows per tag, since a late detection moves a tag to another day and with it every
-    later running total.
+    `prepare` turns staged stream rows into detections. With `read` the stream has names of files, of
+    which it makes rows and the files to set aside. Only the tags that a batch touched are
+    reduced again, from the log, and put in the place of their old rows in the tables (`refresh`), which
+    are published together when all are written.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # The stream's own session runs without adaptive execution, so it only stages rows.
-        batch.write.mode("overwrite").parquet(store.path("staging"))
-        staged = spark.read.schema(batch.schema).parquet(store.path("staging"))
+        rows = batch
+        if read is not None:
+            rows, aside = read(batch)
+            _save_by_batch(aside, batch_id, store.path("set_aside"))
+        rows.write.mode("overwrite").parquet(store.path("staging"))
+        staged = spark.read.schema(rows.schema).parquet(store.path("staging"))
         if count_rejects:
             _save_by_batch(reject_counts(staged), batch_id, store.path("rejects"))
         seasons = append_batch(prepare(staged), batch_id, store)
         arrived = tables.read_table(spark, store.path("arrived"))
         _save_by_batch(unmatched_sites(arrived, site_groups), batch_id, store.path("unmatched"))
         if seasons:
-            tags = refresh_tags(spark, store, site_groups, batch_id, seasons)
-            save_from_tags(tags, downstream, sites, store, seasons)
+            refresh(spark, store, site_groups, downstream, sites, batch_id, seasons)
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -120,14 +129,26 @@ def ingest_reports(
     max_files_per_trigger: int | None = None,
     line_breaks: bool = True,
 ) -> None:
-    """Take in newly landed detection reports."""
+    """Take in newly landed detection reports, and set aside the files that are none."""
     require_zone(spark)
     ingest(
-        spark, stream_report(spark, landing, max_files_per_trigger, line_breaks), conform,
-        store, site_groups, downstream, sites, count_rejects=True,
+        spark, stream_files(spark, landing, max_files_per_trigger), conform, store, site_groups,
+        downstream, sites, count_rejects=True, read=landed_reader(spark, line_breaks),
     )
 
 
+def landed_reader(
+    spark: SparkSession, line_breaks: bool = True
+) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
+    """What reads the reports that a batch of file names names."""
+
+    def read(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        paths = [as_pattern(row.path) for row in batch.select("path").collect()]
+        return read_landed(spark, *paths, line_breaks=line_breaks)
+
+    return read
+
+
 def touched_rows(log: DataFrame, touched: DataFrame) -> DataFrame:
     """Log rows of the touched tags, in the seasons they were touched in."""
     keys = touched.select(F.col("pit_id").alias("_tag"), F.col("spawn_year").alias("_season"))
@@ -135,26 +156,47 @@ def touched_rows(log: DataFrame, touched: DataFrame) -> DataFrame:
     return log.join(keys.distinct(), same, "left_semi")
 
 
-def refresh_tags(
-    spark: SparkSession, store: Store, site_groups: DataFrame, batch_id: int, seasons: list[int]
-) -> DataFrame:
-    """Reduce the tags that a batch touched anew and put them in the place of their old rows.
+def of_tags(rows: DataFrame, touched: DataFrame, how: str) -> DataFrame:
+    """Rows of the touched tags in the seasons they were touched in, or with left_anti all others."""
+    keys = touched.select(F.col("pit_id").alias("_tag"), F.col("spawn_year").alias("_season"))
+    same = F.col("pit_id").eqNullSafe(F.col("_tag")) & (F.col("spawn_year") == F.col("_season"))
+    return rows.join(keys, same, how)
 
-    The new state of the seasons is written beside the table before it replaces it, so a batch
-    that is replayed after a failure finds the same.
+
+def refresh(
+    spark: SparkSession, store: Store, site_groups: DataFrame, downstream: DataFrame, sites: DataFrame,
+    batch_id: int, seasons: list[int],
+) -> None:
+    """Put the tags that a batch touched, reduced anew, in the place of their old rows, and publish.
+
+    Rows of other tags are copied as they are. Daily entries take back what the touched tags counted for
+    and add what they count for now, so they come from these tags and the stored entries alone. The tables
+    agree with each other in every published state, so a replayed batch gives the same from any of them.
     """
+    run = Run(spark, store.root, seasons)
     log = tables.in_seasons(tables.read_table(spark, store.path("log")), seasons)
-    touched = log.filter(F.col("ingest_batch") == batch_id).select("pit_id", "spawn_year")
-    state = newest_per_key(touched_rows(log, touched))
-    fresh = group_season_tags(state, site_groups)
-    path = store.path("tags")
-    fresh.limit(0).write.mode("append").partitionBy(tables.SEASON).parquet(path)
-    stored = tables.in_seasons(tables.read_table(spark, path, fresh), seasons)
-    keys = touched.select(F.col("pit_id").alias("_tag"), F.col("spawn_year").alias("_season"))
-    same = F.col("pit_id").eqNullSafe(F.col("_tag")) & (F.col("spawn_year") == F.col("_season"))
-    others = stored.join(keys.distinct(), same, "left_anti")
-    new = tables.save_seasons(others.unionByName(fresh), store.path("tags_next"), whole=True)
-    return tables.save_seasons(new, path, seasons)
+    touched = log.filter(F.col("ingest_batch") == batch_id).select("pit_id", "spawn_year").distinct()
+    if not run.before.has("tags"):  # all tags of the log are new
+        tags = run.save("tags", group_season_tags(newest_per_key(log), site_groups))
+        save_from_tags(tags, downstream, sites, run)
+        run.publish()
+        return
+    touched = run.keep("touched", touched)
+    fresh = run.keep(
+        "fresh", group_season_tags(newest_per_key(touched_rows(log, touched)), site_groups)
+    )
+    kept = run.keep("kept", individuals(fresh, downstream, GROUP_SEASON))
+
+    def before(name: str) -> DataFrame:
+        return tables.in_seasons(run.before.table(name), seasons)
+
+    for name, new in (
+        ("tags", fresh), ("individuals", kept), ("locations", locations(fresh, sites, GROUP_SEASON)),
+    ):
+        run.save(name, of_tags(before(name), touched, "left_anti").unionByName(new))
+    old = of_tags(before("individuals"), touched, "left_semi")
+    run.save("daily", changed_entries(before("daily"), old, kept, GROUP_SEASON))
+    run.publish()
 
 
 def refresh_downstream(
@@ -167,23 +209,26 @@ def refresh_downstream(
     whole by the next one.
     """
     path = store.path("downstream")
-    downstream.limit(0).write.mode("append").parquet(path)
-    stored = tables.read_table(spark, path, downstream)
+    stored = downstream.limit(0)
+    if tables.exists(spark, path):
+        stored = tables.read_table(spark, path, downstream)
     fresh = tables.save_table(downstream, store.path("downstream_next"))
     changed = (
         fresh.withColumn("_new", F.lit(1)).unionByName(stored.withColumn("_new", F.lit(0)))
         .groupBy("pit_id").agg(F.min("_new").alias("low"), F.max("_new").alias("high"))
         .filter("low = high").select(F.col("pit_id").alias("_tag"))
     )
-    seasons: list[int] = []
-    if _exists(spark, store.path("tags")):
-        tags = tables.read_table(spark, store.path("tags"))
+    state = State.newest(spark, store.root)
+    if state.has("tags"):
+        tags = state.table("tags")
         moved = tags.filter("home_juvenile").join(
             changed, F.col("pit_id").eqNullSafe(F.col("_tag")), "left_semi"
         )
         seasons = tables.season_list(moved)
         if seasons:
-            save_from_tags(tags, fresh, sites, store, seasons)
+            run = Run(spark, store.root, seasons)
+            save_from_tags(tables.in_seasons(tags, seasons), fresh, sites, run)
+            run.publish()
     return tables.save_table(fresh, path)
 
 
@@ -202,12 +247,6 @@ def compact_log(spark: SparkSession, store: Store) -> None:
     tables.save_seasons(newest, store.path("log"), partition=LOG_PARTITION, whole=True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was saved there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def refresh_all(
     spark: SparkSession,
     store: Store,
@@ -221,13 +260,6 @@ def refresh_all(
     save_group_seasons(newest_per_key(log), site_groups, downstream, sites, store, seasons)
 
 
-def _log(arrived: DataFrame, store: Store) -> DataFrame:
-    """The log, made without rows if it is not there yet."""
-    path = store.path("log")
-    arrived.limit(0).write.mode("append").partitionBy(*LOG_PARTITION).parquet(path)
-    return tables.read_table(arrived.sparkSession, path, arrived)
-
-
 def _save_by_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     (
         rows.withColumn("ingest_batch", F.lit(batch_id))

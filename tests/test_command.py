@@ -9,7 +9,7 @@ from reddwatch import schemas
 from reddwatch.__main__ import arguments, main
 from reddwatch.params import GAUGE_SITE
 from reddwatch.plans.batch import Store
-from reddwatch.sources import gauges, tables
+from reddwatch.sources import gauges, published, tables
 
 
 @pytest.fixture
@@ -32,7 +32,7 @@ def landed(spark, tmp_path):
 def counts(spark, tmp_path):
     store = Store(f"{tmp_path}/out")
     return {
-        name: tables.read_table(spark, store.path(name)).filter("spawn_year = 2025").count()
+        name: published.read(spark, store.root, name).filter("spawn_year = 2025").count()
         for name in ("individuals", "daily", "locations")
     }
 
@@ -40,7 +40,7 @@ def counts(spark, tmp_path):
 def test_batch(spark, tmp_path, landed):
     main(["batch", *landed, "--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"])
     assert counts(spark, tmp_path) == {"individuals": 7, "daily": 4, "locations": 9}
-    flow = tables.read_table(spark, f"{tmp_path}/out/flow")
+    flow = published.read(spark, f"{tmp_path}/out", "flow")
     assert g.rows_of(flow, "date", "mean_discharge") == [
         (dt.date(2025, 1, 1), 40.0), (dt.date(2025, 1, 2), 41.0),
     ]
@@ -64,14 +64,14 @@ def test_ingest_takes_gauge_options_and_a_changed_downstream_report(spark, tmp_p
     spark.createDataFrame(feed, names).write.options(header=True).csv(f"{tmp_path}/feed.csv")
     gauge = ["--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"]
     main(["ingest", *landed, *gauge, "--gauge-feed", f"{tmp_path}/feed.csv"])
-    flow = tables.read_table(spark, f"{tmp_path}/out/flow")
+    flow = published.read(spark, f"{tmp_path}/out", "flow")
     assert g.rows_of(flow, "date", "mean_discharge") == [
         (dt.date(2025, 1, i), 39.0 + i) for i in (1, 2, 3)
     ]
     assert flow.first().site_no == GAUGE_SITE
     g.write_report(f"{tmp_path}/down/e.csv", [[g.tag(4)]], header=["Tag"])
     main(["ingest", *landed])
-    kept = tables.read_table(spark, f"{tmp_path}/out/individuals")
+    kept = published.read(spark, f"{tmp_path}/out", "individuals")
     assert kept.filter(f"pit_id = '{g.tag(4)}'").count() == 1
     with pytest.raises(SystemExit):
         arguments([*["ingest", *landed], "--gauge-feed", "x"])

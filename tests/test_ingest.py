@@ -7,7 +7,7 @@ import pytest
 
 from reddwatch.operators import detections as det
 from reddwatch.plans.batch import Store, save_group_seasons
-from reddwatch.sources import tables
+from reddwatch.sources import published, tables
 from reddwatch.streaming import ingest
 
 NAMES = ("individuals", "daily", "locations")
@@ -37,8 +37,8 @@ def take_in(spark, landing, store, seen=(3,), **options):
 
 def saved(spark, store):
     return {
-        name: g.rows_of(tables.read_table(spark, store.path(name)).select(
-            *sorted(tables.read_table(spark, store.path(name)).columns)
+        name: g.rows_of(published.read(spark, store.root, name).select(
+            *sorted(published.read(spark, store.root, name).columns)
         ))
         for name in NAMES
     }
@@ -96,11 +96,11 @@ def test_restated_detection_takes_the_latest_file(spark, landing, store):
     restated = [*g.ROWS[4][:7], "999"]
     landing.land([restated])
     take_in(spark, landing, store)
-    individuals = tables.read_table(spark, store.path("individuals"))
+    individuals = published.read(spark, store.root, "individuals")
     assert individuals.filter(f"pit_id = '{g.tag(3)}'").first().length_mm == 999.0
     landing.land([g.ROWS[4]])
     take_in(spark, landing, store)
-    individuals = tables.read_table(spark, store.path("individuals"))
+    individuals = published.read(spark, store.root, "individuals")
     assert individuals.filter(f"pit_id = '{g.tag(3)}'").first().length_mm == 150.0
 
 
@@ -118,12 +118,12 @@ def test_season_that_loses_its_last_tag_is_emptied(spark, landing, store):
     juvenile = [*adult[:3], "Juvenile", *adult[4:]]
     landing.land([adult])
     take_in(spark, landing, store)
-    individuals = tables.read_table(spark, store.path("individuals"))
+    individuals = published.read(spark, store.root, "individuals")
     assert individuals.filter("spawn_year = 2023").count() == 1
     landing.land([juvenile])
     take_in(spark, landing, store)
     for name, rows in (("individuals", 0), ("daily", 0), ("locations", 1)):
-        table = tables.read_table(spark, store.path(name))
+        table = published.read(spark, store.root, name)
         assert table.filter("spawn_year = 2023").count() == rows
 
 
@@ -144,12 +144,29 @@ def test_rejects_are_counted_per_batch(spark, landing, store):
     assert (counts.n_rows, counts.bad_obs_time, counts.bad_length) == (15, 1, 1)
 
 
-def test_changed_header_fails_the_run(spark, landing, store):
+def test_reports_of_other_shapes_are_taken_in_and_stray_files_set_aside(spark, tmp_path, landing, store):
+    expected = batch(spark, g.ROWS, Store(f"{tmp_path}/batch"))
     landing.land(g.ROWS[:5])
     take_in(spark, landing, store)
-    landing.land(g.ROWS[5:], columns=list(reversed(g.HEADER)))
-    with pytest.raises(Exception, match="header"):
-        take_in(spark, landing, store)
+    landing.land(g.ROWS[5:9], columns=list(reversed(g.HEADER)))
+    landing.land([["x", "y"]] * 3, columns=["Other", "Thing"])
+    landing.land(g.ROWS[9:], columns=["Extra", *g.HEADER, "Extra"])
+    take_in(spark, landing, store)
+    assert saved(spark, store) == expected
+    aside = tables.read_table(spark, store.path("set_aside")).collect()
+    assert [(r.file.split("/")[-1], r.header, r.n_lines) for r in aside] == [("002.csv", "Other,Thing", 4)]
+    landing.land(g.ROWS[:1])
+    take_in(spark, landing, store)
+    assert saved(spark, store) == expected
+
+
+def test_a_landing_of_stray_files_alone_leaves_no_rows(spark, landing, store):
+    landing.land([["x"]], columns=["Other"])
+    take_in(spark, landing, store)
+    assert tables.read_table(spark, store.path("set_aside")).count() == 1
+    landing.land(g.ROWS)
+    take_in(spark, landing, store)
+    assert tables.read_table(spark, store.path("log")).count() == 13
 
 
 def test_refresh_after_a_changed_downstream_report(spark, landing, store):
@@ -158,11 +175,49 @@ def test_refresh_after_a_changed_downstream_report(spark, landing, store):
     ingest.refresh_all(
         spark, store, g.site_groups(spark), g.downstream(spark, 3, 4), g.sites(spark)
     )
-    individuals = tables.read_table(spark, store.path("individuals"))
+    individuals = published.read(spark, store.root, "individuals")
     assert individuals.filter(f"pit_id = '{g.tag(4)}'").count() == 1
     assert individuals.filter(f"pit_id = '{g.tag(5)}'").count() == 0
 
 
+def test_replayed_and_broken_off_batches_end_in_the_same_state(spark, tmp_path, landing, store, monkeypatch):
+    """A batch that stops between two tables leaves the old four; done again, it gives the new ones."""
+    expected = batch(spark, g.ROWS, Store(f"{tmp_path}/batch"))
+    landing.land(g.ROWS[:7])
+    take_in(spark, landing, store)
+    before = saved(spark, store)
+    landing.land(g.ROWS[7:])
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "changed_entries", lambda *_: 1 / 0)
+        with pytest.raises(Exception):
+            take_in(spark, landing, store)
+    assert tables.read_table(spark, store.path("log")).count() == 13
+    assert saved(spark, store) == before
+    take_in(spark, landing, store)
+    assert saved(spark, store) == expected
+    log = tables.read_table(spark, store.path("log"))
+    last = log.agg({"ingest_batch": "max"}).first()[0]
+    ingest.refresh(
+        spark, store, g.site_groups(spark), g.downstream(spark), g.sites(spark), last, tables.season_list(log)
+    )
+    assert saved(spark, store) == expected
+
+
+def test_daily_entries_come_from_touched_tags_and_stored_entries(spark, landing, store):
+    landing.land(g.ROWS)
+    take_in(spark, landing, store)
+    state = published.State.newest(spark, store.root)
+    old = state.table("individuals").filter(f"pit_id = '{g.tag(3)}'")
+    daily = state.table("daily")
+    keys = ["site_group", "spawn_year"]
+    plan = g.plan_of(ingest.changed_entries(daily, old, old.limit(0), keys))
+    assert plan.count("Scan parquet") // 2 <= 3
+    gone = ingest.changed_entries(daily, old, old.limit(0), keys)
+    counted = lambda rows: sum(r.n for r in rows.collect())
+    assert counted(gone) == counted(daily) - old.count() and gone.columns == daily.columns
+    assert g.rows_of(ingest.changed_entries(gone, old.limit(0), old, keys)) == g.rows_of(daily)
+
+
 def test_newest_per_key(spark):
     schema = ("pit_id string, observation_sitecode string, observation_datetime int, "
               "rear_type string, release_sitecode string, release_lifestage string, "
@@ -185,7 +240,7 @@ def test_changed_downstream_report_alone_moves_its_tags(spark, landing, store):
     take_in(spark, landing, store)
     for seen, kept in (((3, 4), [3, 4]), ((4,), [4]), ((3,), [3])):
         ingest.refresh_downstream(spark, store, g.downstream(spark, *seen), g.sites(spark))
-        individuals = tables.read_table(spark, store.path("individuals"))
+        individuals = published.read(spark, store.root, "individuals")
         juveniles = individuals.filter("release_lifestage = 'Juvenile' and spawn_year = 2025")
         assert g.rows_of(juveniles, "pit_id") == [(g.tag(n),) for n in kept]
 
@@ -201,7 +256,7 @@ def test_compacted_log_is_superseded_by_later_files(spark, landing, store):
     assert g.rows_of(ingest.current_log(spark, store).drop("ingest_batch")) == before
     landing.land([g.ROWS[4]])
     take_in(spark, landing, store)
-    individuals = tables.read_table(spark, store.path("individuals"))
+    individuals = published.read(spark, store.root, "individuals")
     assert individuals.filter(f"pit_id = '{g.tag(3)}'").first().length_mm == 150.0
 
 

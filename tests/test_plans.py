@@ -8,7 +8,8 @@ from reddwatch.checks.queries import QUERIES
 from reddwatch.operators import detections as det
 from reddwatch.operators import lengths
 from reddwatch.operators.daily import daily_entries
-from reddwatch.operators.passage import individuals, tag_summary
+from reddwatch.operators.locations import cluster_pyramid
+from reddwatch.operators.passage import cell_summary, individuals, tag_cells, tag_summary
 from reddwatch.plans import serving
 from reddwatch.sources import tables
 
@@ -95,3 +96,24 @@ def test_date_window_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,2025-04-18)" in plan
     scan = plan[plan.index("ReadSchema"):].splitlines()[0]
     assert "mean_temp" not in scan
+
+
+def test_groups_meet_cells_and_not_detections(spark, stored):
+    cells = tag_cells(stored.unionByName(stored).unionByName(stored))
+    flagged = det.flag_site_groups(cells, g.site_groups(spark))
+    plan = g.plan_of(cell_summary(flagged, ("site_group", "spawn_year")))
+    # The tree lists a parent before its children: the join comes after the first aggregate.
+    first_join = plan.index("BroadcastHashJoin")
+    assert "partial_min(observation_datetime" in plan and plan.index("HashAggregate") > first_join
+    met = flagged.count()
+    assert met <= stored.select(
+        "pit_id", "spawn_year", "release_sitecode", "release_lifestage", "release_datetime", "observation_sitecode"
+    ).distinct().count()
+    one = tag_summary(det.flag_site_groups(stored, g.site_groups(spark)), ("site_group", "spawn_year"))
+    two = cell_summary(det.flag_site_groups(tag_cells(stored), g.site_groups(spark)), ("site_group", "spawn_year"))
+    assert g.rows_of(one) == g.rows_of(two) and one.columns == two.columns
+
+
+def test_pyramid_scans_its_rows_once(spark, stored):
+    located = spark.range(50).selectExpr("'t' as pit_id", "1.0D as latitude", "2.0D as longitude").repartition(2)
+    assert g.plan_of(cluster_pyramid(located)).count("Range (") <= 2

@@ -150,3 +150,37 @@ def test_site_groups_round_trip(spark, tmp_path):
         ("G1", "YANKFK", True, False, True), ("G1", "YANKWF", False, False, False),
         ("G1", "YFK", True, True, False),
     ]
+
+
+@pytest.mark.parametrize("line_breaks", [True, False])
+@pytest.mark.parametrize("mark", [True, False])
+def test_landed_files_are_read_by_their_own_header(spark, tmp_path, expected, line_breaks, mark):
+    folder = f"{tmp_path}/land [a] {{b}} 100%"
+    g.write_report(f"{folder}/one%20.csv", g.ROWS[:4], mark=mark)
+    g.write_report(f"{folder}/t*o.csv", g.ROWS[4:8], columns=["Extra", *reversed(g.HEADER)], newline="\r\n", mark=mark)
+    g.write_report(f"{folder}/three.csv", g.ROWS[8:], columns=["", *g.HEADER, "", "Extra", "Extra"], mark=mark)
+    g.write_report(f"{folder}/stray.csv", [["a", "b"]], columns=["Tag", "Tag"], mark=mark)
+    open(f"{folder}/empty.csv", "wb").close()
+    rows, aside = reports.read_landed(spark, reports.as_pattern(folder), line_breaks=line_breaks)
+    assert g.rows_of(conform(rows).drop("_source_time", "_source_file")) == expected
+    assert [(r.file, r.header, r.n_lines) for r in aside.collect()] == [(f"file:{folder}/stray.csv", "Tag,Tag", 2)]
+
+
+def test_header_of_a_large_file_is_its_first_line(spark, tmp_path):
+    g.write_report(f"{tmp_path}/r.csv", many_rows("YFK"), columns=["Extra", *g.HEADER])
+    small_splits = spark.newSession()
+    small_splits.conf.set("spark.sql.files.maxPartitionBytes", "4093")
+    small_splits.conf.set("spark.sql.files.openCostInBytes", "1")
+    row = reports.header_index(small_splits, str(tmp_path)).first()
+    assert (row.header.strip("\ufeff\r"), row.n_lines) == (",".join(["Extra", *g.HEADER]), 3001)
+
+
+@pytest.mark.parametrize("header,columns", [
+    (None, None), ("", None), ("Tag,Site", None),
+    (",".join(schemas.REPORT_HEADERS.values()), list(schemas.REPORT_HEADERS.values())),
+    (",".join(["Tag", *schemas.REPORT_HEADERS.values()]), None),
+    ("\ufeff" + ", ".join(['"x, y"', *schemas.REPORT_HEADERS.values()]) + "\r",
+     ["_column_0", *schemas.REPORT_HEADERS.values()]),
+])
+def test_columns_of_a_header(header, columns):
+    assert reports.header_columns(header) == columns

@@ -4,9 +4,12 @@ import datetime as dt
 
 import golden as g
 import pytest
+from pyspark.sql import functions as F
 
 from reddwatch.operators import detections as det
 from reddwatch.operators import lengths
+from reddwatch.operators.daily import daily_entries, season_curves, side_by_side
+from reddwatch.operators.locations import cluster_pyramid
 from reddwatch.plans import serving
 from reddwatch.plans.batch import flow_table, season_tables
 
@@ -108,3 +111,38 @@ def test_as_of_defaults_to_today(spark):
 def test_latest_season_of_a_saved_table(spark):
     table = spark.createDataFrame([(1, 2024), (2, 2025)], "n int, spawn_year int")
     assert g.rows_of(serving.latest(table)) == [(2, 2025)]
+
+
+def test_each_level_of_the_pyramid_adds_up_to_the_ones_below(spark):
+    places = [(-90.0, -180.0), (90.0, 180.0), (44.2, -114.7), (44.3, -114.8), (44.2, -114.7), (0.0, 0.0), (None, 3.0)]
+    located = spark.createDataFrame([("t", *p) for p in places], "pit_id string, latitude double, longitude double")
+    rows = cluster_pyramid(located, levels=10).collect()
+    assert {r.level for r in rows} == set(range(10))
+    cells = {(r.level, r.cell_x, r.cell_y): r for r in rows}
+    assert len(cells) == len(rows) and cells[0, 0, 0].n_tags == 6
+    for (level, x, y), r in cells.items():
+        assert 0 <= x < 1 << level and 0 <= y < 1 << level
+        below = [c for (lv, cx, cy), c in cells.items() if lv == level + 1 and (cx // 2, cy // 2) == (x, y)]
+        if level < 9:
+            assert sum(c.n_tags for c in below) == r.n_tags
+            assert sum(c.n_tags * c.latitude for c in below) == pytest.approx(r.n_tags * r.latitude)
+
+
+def test_curves_carry_totals_over_a_common_axis(spark):
+    rows = [
+        ("2023-07-01", 2, 2024), ("2024-02-29", 1, 2024), (None, 1, 2024), ("2025-02-28", 3, 2025), ("2025-06-30", 1, 2025),
+    ]
+    kept = spark.createDataFrame(
+        [(d, y) for d, n, y in rows for _ in range(n)], "yfk_entry_final string, spawn_year int"
+    ).withColumn("yfk_entry_final", F.to_timestamp("yfk_entry_final"))
+    curves = season_curves(daily_entries(kept))
+    by = {(r.spawn_year, r.season_day): r for r in curves.collect()}
+    assert sum(y == 2024 for y, _ in by) == 366 and sum(y == 2025 for y, _ in by) == 365
+    assert (2025, 244) not in by and str(by[2024, 244].date) == "2024-02-29"
+    assert [by[2024, d].cumulative_total for d in (1, 2, 243, 244, 366)] == [2, 2, 2, 3, 3]
+    assert [by[2025, d].cumulative_total for d in (1, 242, 243, 245, 365, 366)] == [0, 0, 3, 3, 3, 4]
+    assert by[2024, 366].daily_cumulative == 0.75 and by[2025, 366].daily_cumulative == 1.0
+    wide = side_by_side(curves, [2024, 2025]).collect()
+    assert [r.season_day for r in wide] == list(range(1, 367))
+    assert (wide[243]["2024"], wide[243]["2025"]) == (3, None)
+    assert season_curves(daily_entries(kept.limit(0))).count() == 0

@@ -12,7 +12,7 @@ from reddwatch import schemas, session
 from reddwatch.operators import detections as det
 from reddwatch.params import SiteGroup, site_group_table
 from reddwatch.plans.batch import Store, flow_table, run_batch, season_tables
-from reddwatch.sources import gauges, tables
+from reddwatch.sources import gauges, published, tables
 from reddwatch.streaming import ingest
 
 
@@ -88,6 +88,27 @@ def test_landings_keep_what_is_stored(spark, tmp_path):
     assert gauges.read_gauge(spark, f"{tmp_path}/none", ["G"], ["00060"], *day[:2]).count() == 0
 
 
+def test_folded_landings_read_as_before(spark, tmp_path):
+    path = f"{tmp_path}/gauge"
+    day = [dt.date(2025, 1, 1 + i) for i in range(3)]
+    assert gauges.compact_gauge(spark, path) == [] and not tables.exists(spark, path)
+    gauges.write_gauge(g.readings(spark, [("G", d, "00060", 1.0) for d in day] + [("G", dt.date(2024, 5, 5), "00060", 7.0)]), path)
+    gauges.write_gauge(g.readings(spark, [("G", day[1], "00060", 2.0), ("G", day[1], "00060", 3.0)]), path)
+    gauges.write_gauge(g.readings(spark, [("H", day[2], "00060", 4.0)]), path)
+
+    def read():
+        return g.rows_of(gauges.read_gauge(spark, path, ["G", "H"], ["00060"], dt.date(2024, 1, 1), day[2]))
+
+    before = read()
+    assert gauges.compact_gauge(spark, path, most=3) == [] and gauges.compact_gauge(spark, path) == [2025]
+    assert read() == before
+    stored = spark.read.parquet(path).filter("year = 2025")
+    assert [r.landing for r in stored.select("landing").distinct().collect()] == [3]
+    assert gauges.compact_gauge(spark, path, most=4) == [] and gauges.next_landing(spark, path) == 4
+    gauges.write_gauge(g.readings(spark, [("G", day[0], "00060", 9.0)]), path)
+    assert ("G", day[0], "00060", 9.0) in read() and len(read()) == len(before)
+
+
 def test_wide_gauge_feed(spark):
     wide = spark.createDataFrame(
         [(dt.date(2025, 1, 1), 1.5, 40.0), (dt.date(2025, 1, 2), None, 41.0)],
@@ -118,7 +139,7 @@ def test_batch_tables_hold_the_golden_season(spark, stored):
     )
     for name in ("individuals", "daily", "locations"):
         expected = getattr(single, name)
-        table = tables.read_table(spark, stored.path(name))
+        table = published.read(spark, stored.root, name)
         latest = table.filter("spawn_year = 2025 and site_group = 'G1'")
         assert g.rows_of(latest.select(expected.columns)) == g.rows_of(expected)
 
@@ -131,7 +152,7 @@ def test_batch_replaces_withdrawn_seasons_and_restatements(spark, tmp_path):
             spark, [f"{tmp_path}/in"], [f"{tmp_path}/down"], g.sites(spark),
             g.site_groups(spark), store,
         )
-        return tables.read_table(spark, store.path("individuals"))
+        return published.read(spark, store.root, "individuals")
     g.write_report(f"{tmp_path}/down/d.csv", [[g.tag(3)]], header=["Tag"])
     g.write_report(f"{tmp_path}/in/a.csv", g.ROWS[9:10])
     assert g.rows_of(run(), "pit_id", "spawn_year") == [(g.tag(8), 2024)]
@@ -151,7 +172,7 @@ def test_batch_replaces_withdrawn_seasons_and_restatements(spark, tmp_path):
         g.sites(spark),
     )
     for name in ("individuals", "daily", "locations"):
-        one, two = (tables.read_table(spark, s.path(name)) for s in (store, other))
+        one, two = (published.read(spark, s.root, name) for s in (store, other))
         assert g.rows_of(one.select(sorted(one.columns))) == g.rows_of(two.select(sorted(two.columns)))
 
 
@@ -170,7 +191,7 @@ def test_detections_outside_every_group_are_counted_or_kept(spark, tmp_path):
         single = season_tables(
             det.conform(g.report(spark, rows)), g.downstream(spark), g.sites(spark), group
         ).individuals
-        table = tables.read_table(spark, store.path("individuals"))
+        table = published.read(spark, store.root, "individuals")
         assert g.rows_of(table.select(single.columns)) == g.rows_of(single)
         assert single.count() == tags
         like = spark.createDataFrame([], "observation_sitecode string, n long, spawn_year int")
@@ -195,12 +216,12 @@ def test_groups_of_listed_and_of_all_sites_together(spark):
 
 
 def test_batch_tables_hold_earlier_seasons_too(spark, stored):
-    older = tables.read_table(spark, stored.path("individuals")).filter("spawn_year = 2024")
+    older = published.read(spark, stored.root, "individuals").filter("spawn_year = 2024")
     assert g.rows_of(older, "pit_id", "length_mm") == [(g.tag(8), 700.0)]
 
 
 def test_batch_flow(spark, stored):
-    flow = tables.read_table(spark, stored.path("flow"))
+    flow = published.read(spark, stored.root, "flow")
     assert flow.columns == [*schemas.FLOW_COLUMNS, "site_no"]
     assert flow.count() == 2
 
