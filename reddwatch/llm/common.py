@@ -73,3 +73,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def null_last(column: Column) -> Column:
     return F.coalesce(column, F.lit(int(LAST_ID)))
+
+
+def within_long(score: int) -> tuple[int, bool]:
+    """A whole number as one that fits a long, and whether it had to be changed. Changed ones still sort beyond all others."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    return min(max(score, low), high), not low <= score <= high
+
+
+def checked(score: str, wide: str) -> Column:
+    """The score of a result; one that did not fit a long stops the job."""
+    return F.when(F.col(wide), F.raise_error(F.lit("a score among the results does not fit a long")).cast("long")).otherwise(
+        F.col(score)
+    )

@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reddwatch.llm.common import LAST_ID, null_last, pack, partitions, picked, squeeze, unsqueeze, written
+from reddwatch.llm.common import (
+    LAST_ID, checked, null_last, pack, partitions, picked, squeeze, unsqueeze, within_long, written,
+)
 
 # Between the covering radii of two levels.
 BASE = 1.3
@@ -302,7 +304,7 @@ def passed(trees: DataFrame, sets: DataFrame, shards: int, schema: str, ask) ->
     """Every set of anchors against every tree: `ask(set, trees)` gives rows of the schema. Trees are dealt
     over the shards, each shard's task holds its own and the sets pass by."""
     names, kinds = zip(*(c.split() for c in schema.split(", ")))
-    types = [{"long": pa.int64(), "int": pa.int32()}[k] for k in kinds]
+    types = [{"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[k] for k in kinds]
     columns = ["size", "ids", "labels", "data", "wide"]
     extra = F.lit(None).cast("array<struct<uid: long, positive: int, positive_id: long, positive_score: long>>")
     held = trees.select(
@@ -354,13 +356,14 @@ def hard_negatives(
             windows = Windows([-math.inf], [math.inf], positives)
             for index in mine:
                 index.search(query, (index.labels == label) & (index.ids != own), windows)
-            found += [(row["number"], i, int(own), vec_id, score) for score, vec_id in windows.best[0]]
+            found += [(row["number"], i, int(own), vec_id, *within_long(score)) for score, vec_id in windows.best[0]]
         return found
 
-    schema = "number long, uid long, anchor_id long, positive_id long, positive_score long"
+    schema = "number long, uid long, anchor_id long, positive_id long, positive_score long, wide boolean"
     near = passed(trees, sets, shards, schema, ask_positives)
     order = Window.partitionBy("number", "uid").orderBy(F.desc("positive_score"), "positive_id")
     near = near.withColumn("positive", F.row_number().over(order)).filter(F.col("positive") <= positives)
+    near = near.withColumn("positive_score", checked("positive_score", "wide"))
     asked = near.groupBy("number").agg(
         F.collect_list(F.struct("uid", "positive", "positive_id", "positive_score")).alias("windows")
     )

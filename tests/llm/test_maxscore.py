@@ -10,7 +10,7 @@ def slow(vectors, queries, k):
     def whole(v):
         if v is None or any(x is None or not math.isfinite(x) for x in v):
             return None
-        return [max(-maxscore.LIMIT, min(maxscore.LIMIT, math.floor(256 * x))) for x in v]
+        return [math.floor(256 * x) for x in v]
 
     pool = [(i, w) for i, v in vectors if i is not None and (w := whole(v)) is not None]
     out = []
@@ -27,7 +27,7 @@ def corpus(seed, n=300, size=12):
     rows = [(i, [rng.gauss(0, 0.2) for _ in range(size)]) for i in range(n)]
     rows += [(n + i, list(rows[7][1])) for i in range(40)]  # one vector many times
     rows += [(900, None), (901, [None] * size), (902, [float("nan")] * size), (903, [float("inf")] + [0.0] * (size - 1)),
-             (904, []), (905, [1.0, -1.0]), (906, [0.0] * size), (None, [9.0] * size), (907, [1e30] * 3), rows[20]]
+             (904, []), (905, [1.0, -1.0]), (906, [0.0] * size), (None, [9.0] * size), (907, [1e6] * 3), (908, [-3e5, 2e6]), rows[20]]
     return rows
 
 
@@ -35,7 +35,7 @@ def corpus(seed, n=300, size=12):
 def test_best_are_those_of_all_pairs(make, seed, block, together):
     rows = corpus(seed)
     table = make([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int").repartition(3)
-    queries = [r for r in rows if r[0] is not None and r[0] % 10 == 0 or r[0] in (904, 905, 906, 907)]
+    queries = [r for r in rows if r[0] is not None and r[0] % 10 == 0 or r[0] in (904, 905, 906, 907, 908)]
     asked = make(queries, "vec_id long, embedding array<double>")
     found = maxscore.search(table, asked, 5, block=block, together=together)
     assert sorted(map(tuple, found.collect())) == slow(rows, [r for i, r in enumerate(queries) if r not in queries[:i]], 5)
@@ -47,3 +47,29 @@ def test_fewer_vectors_than_wanted_and_none(make):
     assert maxscore.search(table, table.limit(0), 5).count() == 0
     assert maxscore.search(table.limit(0), table, 5).count() == 0
     assert maxscore.search(table.filter("vec_id = 0"), table.filter("vec_id = 0"), 5).count() == 0
+
+
+def test_large_components_are_not_cut(make):
+    """Products beyond doubles, and beyond longs where they are not among the results."""
+    rows = [(0, [1e6, 1.0]), (1, [7e4, 0.0]), (2, [8e4, 0.0]), (3, [1e6 + 1 / 256, 0.0]), (4, [-1e30, 5.0])]
+    table = make(rows, "vec_id long, embedding array<double>")
+    found = maxscore.search(table, table.filter("vec_id < 3"), 3).collect()
+    assert sorted(map(tuple, found)) == slow(rows, rows[:3], 3)
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 0] == [3, 2, 1]
+    with pytest.raises(Exception, match="does not fit a long"):
+        maxscore.search(table, table.filter("vec_id = 0"), 5).collect()
+
+
+def test_terms_are_split_by_the_bar(monkeypatch):
+    """With a bar from earlier blocks fewer terms are essential, and the same vectors come out."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    scale = 2.0 ** -np.arange(64)
+    matrix = np.floor(256 * rng.normal(size=(500, 64)) * 40 * np.maximum(scale, 2.0**-8))
+    block = maxscore.Block.of(np.arange(500), matrix)
+    scores = matrix @ matrix[3]
+    bar = int(np.sort(np.delete(scores, 3))[-5])
+    want = {i for i in range(500) if i != 3 and scores[i] >= bar}
+    ids, found = block.best(3, matrix[3], 5, bar)
+    assert set(ids.tolist()) == want and sorted(found.tolist()) == sorted(scores[sorted(want)].tolist())
