@@ -56,18 +56,26 @@ def append_batch(detections: DataFrame, batch_id: int, store: Store) -> list[int
     Only earlier batches are compared, and the batch writes folders of its own, so a batch
     replayed after a failure gives the same log.
     """
+    return append_arrived(detections, batch_id, store)[0]
+
+
+def append_arrived(detections: DataFrame, batch_id: int, store: Store) -> tuple[list[int], DataFrame]:
+    """`append_batch`, and all detections of the batch, whether they changed the log or not."""
     timed = detections.filter(F.col("spawn_year").isNotNull()).withColumn(
         "ingest_batch", F.lit(batch_id).cast("long")
     )
-    arrived = tables.save_table(newest_per_key(timed), store.path("arrived"))
-    fresh = arrived
-    if tables.exists(arrived.sparkSession, store.path("log")):
-        log = tables.read_table(arrived.sparkSession, store.path("log"), arrived)
-        earlier = tables.in_seasons(
-            log.filter(F.col("ingest_batch") < batch_id), tables.season_list(arrived)
-        )
-        fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
-    return sorted(tables.write_seasons(fresh, store.path("log"), LOG_PARTITION))
+    newest = newest_per_key(timed)
+    spark, path = detections.sparkSession, store.path("log")
+    if not tables.exists(spark, path):  # the first batch is new as a whole
+        seasons = sorted(tables.write_seasons(newest, path, LOG_PARTITION))
+        return seasons, tables.read_table(spark, path, newest).filter(F.col("ingest_batch") == batch_id)
+    arrived = tables.save_table(newest, store.path("arrived"))
+    log = tables.read_table(spark, path, arrived)
+    earlier = tables.in_seasons(
+        log.filter(F.col("ingest_batch") < batch_id), tables.season_list(arrived)
+    )
+    fresh = changed_rows(arrived, newest_per_key(with_keys_of(earlier, arrived)))
+    return sorted(tables.write_seasons(fresh, path, LOG_PARTITION)), arrived
 
 
 def current_log(spark: SparkSession, store: Store) -> DataFrame:
@@ -104,8 +112,7 @@ def ingest(
         staged = spark.read.schema(rows.schema).parquet(store.path("staging"))
         if count_rejects:
             _save_by_batch(reject_counts(staged), batch_id, store.path("rejects"))
-        seasons = append_batch(prepare(staged), batch_id, store)
-        arrived = tables.read_table(spark, store.path("arrived"))
+        seasons, arrived = append_arrived(prepare(staged), batch_id, store)
         _save_by_batch(unmatched_sites(arrived, site_groups), batch_id, store.path("unmatched"))
         if seasons:
             refresh(spark, store, site_groups, downstream, sites, batch_id, seasons)
@@ -177,7 +184,10 @@ def refresh(
     log = tables.in_seasons(tables.read_table(spark, store.path("log")), seasons)
     touched = log.filter(F.col("ingest_batch") == batch_id).select("pit_id", "spawn_year").distinct()
     if not run.before.has("tags"):  # all tags of the log are new
-        tags = run.save("tags", group_season_tags(newest_per_key(log), site_groups))
+        # A batch has each detection once.
+        one_batch = log.filter(F.col("ingest_batch") != batch_id).isEmpty()
+        state = log if one_batch else newest_per_key(log)
+        tags = run.save("tags", group_season_tags(state, site_groups))
         save_from_tags(tags, downstream, sites, run)
         run.publish()
         return
