@@ -1,6 +1,9 @@
 """The corpus pipeline: documents through toxicity, near duplicates, repeated passages, benchmark leaks
 and packing. Each stage takes what the one before has written and, but for the last, returns the columns of
-documents."""
+documents, those of other names that come with them included.
+
+A null text counts as an empty one and stays null until its text is cut; rows without an id and rows that repeat one are
+documents of their own; an empty table stays empty. Texts are never cut to a length, only by the passages they repeat."""
 
 from __future__ import annotations
 
@@ -13,7 +16,7 @@ from reddwatch.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that score 0.3 or more."""
+    """Without documents that score 0.3 or more. Without toxic labels nothing goes."""
     return toxicity.kept(docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
@@ -34,7 +37,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold a benchmark item."""
+    """Without documents that hold a benchmark item. Items without words are in no document."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
