@@ -87,3 +87,30 @@ def test_pipeline_stages_are_the_five_in_order():
         "drop_toxic", "drop_near_duplicates", "cut_repeats", "drop_leaks", "pack"
     ]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_odd_rows(spark, make, tmp_path, empty):
+    """Null ids, texts and further columns, empty texts, repeated rows, clashing names, and a table without rows."""
+    sf = str(tmp_path)
+    text = "plain words that stand in one document only number "
+    rows = [(i, text + " ".join(f"w{i}x{j}" for j in range(30)), None, "s", 1, 0.5, "k") for i in range(12)]
+    rows += [(20, None, "en", None, None, None, None), (21, "", None, None, 0, None, None), (None, "no id " * 20, None, None, 1, None, None)]
+    rows += [(None, None, None, None, None, None, None), rows[3], rows[3]]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, score double, kept string"
+    docs = make([] if empty else rows, schema)
+    make([(0, None, None), (None, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    make([(1, None), (None, ""), (2, "held nowhere at all in these documents here")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        after = stage(spark, docs, sf)
+        assert after.dtypes == docs.dtypes, name
+        after.write.parquet(f"{sf}/{i}")
+        docs = spark.read.parquet(f"{sf}/{i}")
+    found = docs.collect()
+    if empty:
+        assert found == []
+    else:
+        assert {r.doc_id for r in found} >= set(range(12))
+        assert sum(r.doc_id == 3 for r in found) >= 1 and all(r.kept in ("k", None) for r in found)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in found}
