@@ -42,11 +42,6 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """Rows dealt so that those with bucket number `by` meet in partition `by`."""
-    return df.repartitionById(partitions(df.sparkSession), F.col(by).cast("int"))
-
-
 def pack(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 
