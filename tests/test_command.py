@@ -9,7 +9,7 @@ from reddwatch import schemas
 from reddwatch.__main__ import arguments, main
 from reddwatch.params import GAUGE_SITE
 from reddwatch.plans.batch import Store
-from reddwatch.sources import gauges, published, tables
+from reddwatch.sources import gauges, published
 
 
 @pytest.fixture
