@@ -45,12 +45,12 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("inline", [20_000, 3])
-def test_matches_are_those_of_all_pairs(make, seed, inline):
+@pytest.mark.parametrize("inline,size", [(20_000, 1 << 24), (3, 1 << 24), (20_000, -1), (3, -1)])
+def test_matches_are_those_of_all_pairs(make, seed, inline, size):
     docs, items = corpus(seed)
     d = make([(*r, 1) for r in docs], "doc_id long, text string, item_id int").repartition(2)
     b = make([(*r, 1) for r in items], "item_id long, text string, doc_id int")
-    rows = decontamination.matches(d, b, inline=inline).collect()
+    rows = decontamination.matches(d, b, inline=inline, broadcast_bytes=size).collect()
     assert all(r.containment == r.n_shared / r.n_shingles for r in rows)
     assert sorted(((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in rows), key=str) == slow(docs, items, 5, 0.8)
 
@@ -76,6 +76,25 @@ def test_empty_tables(make):
 def test_the_main_path_has_no_python(make):
     docs, items = corpus(4)
     d, b = make(docs, "doc_id long, text string"), make(items, "item_id long, text string")
-    for inline in (20_000, 3):
-        plan = decontamination.matches(d, b, inline=inline)._jdf.queryExecution().executedPlan().toString()
+    for inline, size in ((20_000, 1 << 24), (3, 1 << 24), (3, -1)):
+        plan = decontamination.matches(d, b, inline=inline, broadcast_bytes=size)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_many_items_of_one_text_are_looked_for_once(make):
+    text = " ".join(f"w{i}" for i in range(400))
+    items = make([(i, text) for i in range(5000)], "item_id long, text string")
+    docs = make([(1, "before " + text + " after"), (2, "w1 w2 w3 w4 w5 w6")], "doc_id long, text string")
+    found = decontamination.matches(docs, items)
+    rows = found.collect()
+    assert {(r.doc_id, r.n_shingles, r.n_shared) for r in rows} == {(1, 396, 396)}
+    assert sorted(r.item_id for r in rows) == list(range(5000))
+    sketched = decontamination.sketches(items.select("text").distinct(), 5, 0.8)
+    assert sketched.count() == 1 and sketched.first().partition == 9
+
+
+def test_documents_out_of_a_shuffle(make):
+    docs, items = corpus(5)
+    d = make(docs, "doc_id long, text string").repartition(5, "text")
+    rows = decontamination.matches(d, make(items, "item_id long, text string"), inline=3).collect()
+    assert sorted(((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in rows), key=str) == slow(docs, items, 5, 0.8)
