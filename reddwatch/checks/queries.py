@@ -532,9 +532,9 @@ def saved_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def saved_series_window(spark: SparkSession, sf: str) -> DataFrame:
-    """A date window served from a saved table."""
+    """A date window served from a saved table that is laid out by date."""
     path = _store(spark, "series").path("flow")
-    flow = saved.save_table(_flow_line(spark, sf).select(*schemas.FLOW_COLUMNS), path)
+    flow = saved.save_table(_flow_line(spark, sf).select(*schemas.FLOW_COLUMNS), path, cluster=["date"])
     return t.as_longs(serving.discharge_series(flow, *WINDOW))
 
 

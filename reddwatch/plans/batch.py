@@ -44,6 +44,8 @@ from reddwatch.sources.reports import read_downstream, read_landed
 
 # What tells the series of a flow table apart.
 GAUGE = ("site_no",)
+# What windows of the daily entries are read by.
+ENTRY_WINDOW = ("site_group", "yfk_final_date")
 
 
 @dataclass(frozen=True)
@@ -117,24 +119,28 @@ def save_group_seasons(
         downstream, sites, run,
     )
     if flow is not None:
-        run.save_whole("flow", flow)
+        _save_flow(run, flow)
     run.publish()
 
 
 def save_from_tags(tags: DataFrame, downstream: DataFrame, sites: DataFrame, run: Run) -> None:
     """Save the tables that follow from the per-tag rows of a run's seasons."""
     kept = run.save("individuals", individuals(tags, downstream, GROUP_SEASON))
-    run.save("daily", daily_entries(kept, GROUP_SEASON))
+    run.save("daily", daily_entries(kept, GROUP_SEASON), cluster=ENTRY_WINDOW)
     run.save("locations", locations(tags, sites, GROUP_SEASON))
 
 
 def save_flow(flow: DataFrame, store: Store) -> None:
     """Save and publish the flow table alone."""
     run = Run(flow.sparkSession, store.root, [])
-    run.save_whole("flow", flow)
+    _save_flow(run, flow)
     run.publish()
 
 
+def _save_flow(run: Run, flow: DataFrame) -> None:
+    run.save_whole("flow", flow, cluster=[c for c in (*GAUGE, "date") if c in flow.columns])
+
+
 def run_batch(
     spark: SparkSession,
     report_paths: Iterable[str],

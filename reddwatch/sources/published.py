@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -94,17 +94,17 @@ class Run:
         self.before = State.newest(spark, root)
         self.saved: dict[str, list[tuple]] = {}
 
-    def save(self, name: str, table: DataFrame) -> DataFrame:
-        """Write the run's seasons of a table and read them back."""
+    def save(self, name: str, table: DataFrame, cluster: Sequence[str] = ()) -> DataFrame:
+        """Write the run's seasons of a table and read them back; `cluster` as in `tables.clustered`."""
         folder = _folder(self.root, name, self.run)
-        written = tables.write_seasons(table, folder, whole=True)
+        written = tables.write_seasons(table, folder, whole=True, cluster=cluster)
         self.saved[name] = [(name, None, None, table.schema.json()), *((name, self.run, s, None) for s in sorted(written))]
         return self._written(table, folder)
 
-    def save_whole(self, name: str, table: DataFrame) -> DataFrame:
+    def save_whole(self, name: str, table: DataFrame, cluster: Sequence[str] = ()) -> DataFrame:
         """Write a table that has no seasons and read it back."""
         folder = _folder(self.root, name, self.run)
-        table.write.parquet(folder)
+        tables.save_table(table, folder, cluster)
         self.saved[name] = [(name, self.run, None, table.schema.json())]
         return self._written(table, folder)
 

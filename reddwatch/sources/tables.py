@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SEASON = "spawn_year"
+# Row groups of clustered files are small, so that a window of dates reads few bytes beside its own.
+ROW_GROUP_BYTES = 8 * 1024 * 1024
 
 
 def save_seasons(
@@ -17,15 +19,16 @@ def save_seasons(
     partition: Sequence[str] = (SEASON,),
     rebalance: bool = True,
     whole: bool = False,
+    cluster: Sequence[str] = (),
 ) -> DataFrame:
     """Replace the seasons a table holds, leave other stored seasons, and read the result back.
 
-    With `whole`, the table is replaced as such: stored seasons that it does not hold go.
+    `cluster` names the columns by which windows are read; see `clustered`. With `whole`, the table is replaced as such: stored seasons that it does not hold go.
 
     `seasons` names those the table was computed for: one that came out without rows is emptied,
     which a dynamic overwrite alone would not do.
     """
-    written = write_seasons(table, path, partition, rebalance, whole)
+    written = write_seasons(table, path, partition, rebalance, whole, cluster)
     # Spawn years are calendar years, so both lists are short.
     if not whole:
         for season in sorted(set(seasons) - written):
@@ -35,17 +38,20 @@ def save_seasons(
 
 def write_seasons(
     table: DataFrame, path: str, partition: Sequence[str] = (SEASON,), rebalance: bool = True, whole: bool = False,
+    cluster: Sequence[str] = (),
 ) -> set[int]:
     """Replace the seasons a table holds, or with `whole` the stored table, and give those seasons.
 
     Rebalancing gathers a season into few files and splits one too large for a task; without it every task
-    writes the seasons it holds.
+    writes the seasons it holds. With `cluster`, each season's files hold ranges of those columns instead.
     """
     written = Observation()
     spread = table.hint("rebalance", *partition) if rebalance else table
+    if cluster:
+        spread = clustered(table, *partition, *cluster)
     (
         spread.observe(written, F.collect_set(SEASON).alias("seasons"))
-        .write.mode("overwrite")
+        .write.mode("overwrite").options(**_layout(cluster))
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partition)
         .parquet(path)
@@ -53,6 +59,20 @@ def write_seasons(
     return set(written.get["seasons"])
 
 
+def clustered(table: DataFrame, *columns: str) -> DataFrame:
+    """The rows in ranges of some columns, sorted by them within each range.
+
+    Files written from it hold one range each, and their row groups and pages parts of it, so the least and largest
+    values that Parquet keeps of them let a filter on the leading columns skip all others. Range borders come from
+    a sample of the rows; adaptive execution puts small ranges together, a table of few rows into one file.
+    """
+    return table.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def _layout(cluster: Sequence[str]) -> dict[str, object]:
+    return {"parquet.block.size": ROW_GROUP_BYTES} if cluster else {}
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether something was saved there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -64,9 +84,10 @@ def _clear_season(table: DataFrame, path: str, season: int) -> None:
     empty.write.mode("overwrite").parquet(f"{path}/{SEASON}={season}")
 
 
-def save_table(table: DataFrame, path: str) -> DataFrame:
-    """Overwrite an unpartitioned table and read it back."""
-    table.write.mode("overwrite").parquet(path)
+def save_table(table: DataFrame, path: str, cluster: Sequence[str] = ()) -> DataFrame:
+    """Overwrite an unpartitioned table and read it back; `cluster` names the columns by which windows are read."""
+    spread = clustered(table, *cluster) if cluster else table
+    spread.write.mode("overwrite").options(**_layout(cluster)).parquet(path)
     return read_table(table.sparkSession, path, table)
 
 

@@ -18,6 +18,7 @@ from reddwatch.operators.detections import (
 from reddwatch.operators.locations import locations
 from reddwatch.operators.passage import GROUP_SEASON, individuals
 from reddwatch.plans.batch import (
+    ENTRY_WINDOW,
     Store,
     group_season_tags,
     save_from_tags,
@@ -205,7 +206,7 @@ def refresh(
     ):
         run.save(name, of_tags(before(name), touched, "left_anti").unionByName(new))
     old = of_tags(before("individuals"), touched, "left_semi")
-    run.save("daily", changed_entries(before("daily"), old, kept, GROUP_SEASON))
+    run.save("daily", changed_entries(before("daily"), old, kept, GROUP_SEASON), cluster=ENTRY_WINDOW)
     run.publish()
 
 

@@ -1,14 +1,18 @@
 """Saved tables, gauge files and the batch job."""
 
 import datetime as dt
+import glob
 import os
 import tempfile
 from dataclasses import replace
 
 import golden as g
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from reddwatch import schemas, session
+from reddwatch.functions.times import within
 from reddwatch.operators import detections as det
 from reddwatch.params import SiteGroup, site_group_table
 from reddwatch.plans.batch import Store, flow_table, run_batch, season_tables
@@ -258,3 +262,44 @@ def test_workspace_needs_the_setting_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.workspace(Session, "x")
+
+
+def scanned_rows(frame):
+    """Rows that the scan of a filter over files gives out, once it has run."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("whole_table", [False, True])
+def test_a_window_of_one_group_reads_few_row_groups(spark, tmp_path, monkeypatch, whole_table):
+    monkeypatch.setattr(tables, "ROW_GROUP_BYTES", 8192)
+    rows = spark.range(40 * 2 * 300 * 4).select(
+        F.format_string("group %02d", F.col("id") % 40).alias("site_group"),
+        (F.col("id").cast("int") / 40 % 2 + 2024).cast("int").alias("spawn_year"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") / 80 % 300).cast("int")).alias("yfk_final_date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    ).repartition(6)
+    by = ["site_group", "yfk_final_date"]
+    path = f"{tmp_path}/t"
+    saved = tables.save_table(rows, path, by) if whole_table else tables.save_seasons(rows, path, cluster=by)
+    assert saved.count() == rows.count() and not rows.exceptAll(saved.select(*rows.columns)).count()
+    one, other = dt.date(2024, 3, 1), dt.date(2024, 3, 14)
+    window = saved.filter(within("yfk_final_date", other, one)).filter("site_group = 'group 07'")
+    wanted = window.count()
+    assert wanted == 14 * 2 * 4
+    groups = kept = 0
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        data = pq.ParquetFile(file).metadata
+        places = [data.schema.names.index(c) for c in by]
+        for g in range(data.num_row_groups):
+            group, date = (data.row_group(g).column(i).statistics for i in places)
+            groups += 1
+            kept += group.min <= "group 07" <= group.max and date.min <= other and date.max >= one
+    assert groups >= 100 and kept <= 8
+    # The reader skips the others: it gives out hardly more than the window of all 96,000 rows.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert wanted <= scanned_rows(window.select("note")) <= 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
