@@ -29,17 +29,17 @@ def expected(rows, least):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("least,bundle", [(0, 8 << 20), (5, 300)])
-def test_round_trip(make, least, bundle):
+@pytest.mark.parametrize("least,bundle,frame", [(0, 8 << 20, 1 << 17), (5, 300, 100), (0, 8 << 20, 900)])
+def test_round_trip(make, least, bundle, frame):
     pages = make(ROWS, "page_id long, url string, html string, payload int").repartition(2)
-    found = warc.archived(pages, least=least, bundle=bundle)
+    found = warc.archived(pages, least=least, bundle=bundle, frame=frame)
     assert sorted(map(tuple, found.collect()), key=str) == expected(ROWS, least)
     assert warc.archived(pages.limit(0)).count() == 0
 
 
 def test_payloads_index_and_frames(make):
     pages = make(ROWS, "page_id long, url string, html string, payload int").repartition(2)
-    archives = warc.bundles(pages, bundle=5000)
+    archives = warc.bundles(pages, bundle=5000, frame=1500)
     bundles = {r.bundle: bytes(r.data) for r in archives.collect()}
     for data in bundles.values():
         # Any reader of Zstandard gets the records one after another, as the seek table is skipped.
@@ -47,16 +47,45 @@ def test_payloads_index_and_frames(make):
         parts = [warc.frame(data, *place) for place in warc.frames(data)]
         assert b"".join(parts) == whole and all(p.startswith(b"WARC/1.1\r\n") for p in parts)
     entries = warc.index(archives).collect()
-    assert len(entries) == len(ROWS)
+    assert len(entries) == len(ROWS) == len({e.record_id for e in entries})
+    assert len({(e.bundle, e.frame) for e in entries}) < len(ROWS)  # frames are shared
     for e in entries:
-        headers, _, _ = warc.parsed(warc.frame(bundles[e.bundle], e.place, e.length))
+        plain = warc.frame(bundles[e.bundle], e.place, e.length)
+        headers, _, _ = warc.parsed(plain[e.offset : e.offset + e.size])
+        assert headers["WARC-Record-ID"] == e.record_id
         assert headers.get("WARC-Page-Id") == (None if e.page_id is None else str(e.page_id))
         assert warc.frames(bundles[e.bundle])[e.frame] == (e.place, e.length)
     payloads = {r.page_id: r.payload for r in warc.read(archives, payloads=True).collect() if r.page_id in (2, 3, 5, 7)}
     assert payloads == {2: b"same", 3: "own é\r\n\r\nmore".encode(), 5: b"", 7: b"x" * 20_000}
-    wanted = make([(7,), (3,), (55,)], "page_id long")
-    records = {r.page_id: warc.parsed(bytes(r.record))[2] for r in warc.lookup(archives, wanted).collect()}
-    assert records == {7: payloads[7], 3: payloads[3]}
+
+
+@pytest.mark.parametrize("by", ["record_id", "page_id"])
+def test_lookup(make, by):
+    pages = make(ROWS, "page_id long, url string, html string, payload int").repartition(2)
+    archives = warc.written(warc.bundles(pages, frame=1500), "archives")
+    ids = {r.page_id: r.record_id for r in warc.index(archives).collect()}
+    if by == "page_id":
+        wanted = make([(7,), (3,), (3,), (8,), (55,), (None,)], "page_id long")
+    else:
+        wanted = make([(ids[7],), (ids[3],), (ids[3],), (ids[8],), ("<urn:uuid:none>",), (None,)], "record_id string")
+    found = warc.lookup(archives, wanted, by).collect()
+    assert sorted((r.page_id, r.record_id) for r in found) == [(i, ids[i]) for i in (3, 7, 8)]
+    records = {r.page_id: warc.parsed(bytes(r.record))[2] for r in found}
+    assert records == {7: b"x" * 20_000, 3: "own é\r\n\r\nmore".encode(), 8: b"<p>" * 900}
+
+
+def test_a_large_group_of_equal_payloads(make):
+    rows = [(i, "u", "same" if i % 3 else f"own {i}", 1) for i in range(400)]
+    pages = make(rows, "page_id long, url string, html string, payload int").repartition(4)
+    found = warc.archived(pages)
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows, 0)
+
+
+def test_an_index_of_another_bundle_is_noticed(make):
+    pages = make(ROWS, "page_id long, url string, html string, payload int").repartition(1)
+    one, other = (warc.bundles(pages.filter(f"page_id {c} 5")).collect()[0] for c in ("<", ">"))
+    with pytest.raises(ValueError):
+        list(warc.records(bytes(one.data), bytes(other.records)))
 
 
 def test_damage_is_noticed(make):
