@@ -1,12 +1,10 @@
-"""License notices in texts: windows dense in a template's words are candidates, alignment measures them.
-
-What covers at least `share` of a template has that many of its words in a window a little longer than the
-template, whichever words are missing or put in between. The windows are found by running counts of each
-template's words, so no match is overlooked. Short templates are aligned in a band around the middle of
-each such window; LONG ones by longest common subsequences over the bits of an integer, in windows so close that
-a match lies in one of them whole, and where winnowed fingerprints (of each window of word K-grams the one with
-the least hash value) say that the template begins. What covers at least `share` of the template is reported with
-its span.
+"""License notices in texts: winnowed fingerprints pick candidates, banded alignment measures them.
+
+Fingerprints of a template are word K-grams, of each window of WINDOW of them the one with the least hash value. K,
+WINDOW and the number of fingerprints that a text must share in a stretch a little longer than the template follow
+from the template's length and the coverage asked for, so that no match is overlooked (`settings`). Templates
+are looked up in an inverted index by the text's fingerprints; where enough of them meet, all places at which the
+template may begin are aligned in a band. What covers at least `share` of the template is reported with its span.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from importlib.resources import files
@@ -26,10 +24,13 @@ from pyspark.sql import functions as F
 
 from reddwatch.llm.common import documents
 
+# The most words in a fingerprint and K-grams in a window; `settings` takes fewer where these could overlook a match.
 K, WINDOW = 3, 3
-# Templates of at least so many words are aligned by bits; shorter ones than LEAST mean too little.
+# In templates of fewer words than LONG each word is a fingerprint; shorter ones than LEAST mean too little.
 LONG, LEAST = 60, 4
 SHARE = 0.8
+# Places of a template that are aligned at once.
+PLACES = 8
 WORDS = 200_000
 _WORD = re.compile(r"\w+")
 _SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*(\(?[\w.+-]+\)?(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[\w.+-]+\)?)*)", re.I)
@@ -129,180 +130,214 @@ class Numbers(dict):
         return value
 
 
-def winnowed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash values and places of the K-grams that are least in a window of WINDOW, the rightmost of equals."""
-    n = len(numbers) - K + 1
+def winnowed(numbers: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Hash values and places of the k-grams that are least in a window, the rightmost of equals."""
+    n = len(numbers) - k + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     grams = np.zeros(n, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(K):
+        for i in range(k):
             grams = (grams ^ numbers[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
             grams ^= grams >> np.uint64(29)
-    windows = np.lib.stride_tricks.sliding_window_view(grams, min(WINDOW, n))
+    if window == 1:
+        return grams, np.arange(n)
+    windows = np.lib.stride_tricks.sliding_window_view(grams, min(window, n))
     last = windows.shape[1] - 1
     places = np.unique(np.arange(len(windows)) + last - np.argmin(windows[:, ::-1], axis=1))
     return grams[places], places
 
 
-def band_of(n: int) -> int:
+def needed(n: int, share: float) -> int:
+    return math.ceil(share * n - 1e-9)
+
+
+def band_of(n: int, share: float = SHARE) -> int:
     """How many words more a match may span than the template, and how far its words may be displaced."""
-    return max(2, n // 5)
+    return max(2, n // 5, n - needed(n, share))
+
+
+def step_of(n: int, share: float) -> int:
+    """Every which place a template is aligned at, in a band that is wider by as much less one."""
+    return max(1, band_of(n, share) // 8)
+
+
+def settings(n: int, share: float) -> tuple[int, int, int]:
+    """K, window and least number of shared fingerprints for a template of n words.
+
+    A match that spans at most the band more than the template has at least `needed` words of it in order. The other
+    words on both sides cut them into `runs` runs at most, so one of them has `longest` words, and a run of L words
+    shares a fingerprint for each window in it, (L - K + 1) // window. In short templates a match may have all its words
+    apart, so each word is a fingerprint.
+    """
+    need, band = needed(n, share), band_of(n, share)
+    if n < LONG:
+        return 1, 1, need
+    runs = 1 + 2 * (n - need) + band
+    longest = -(-need // runs)
+    k = min(K, longest // 2 + 1)
+    window = min(WINDOW, longest - k + 1)
+    return k, window, max(1, (need - runs * (k + window - 2)) // window)
+
+
+class Postings:
+    """Inverted index of the fingerprints of those templates that have the same K and window."""
+
+    def __init__(self, prints: dict[str, np.ndarray], least: dict[str, int]):
+        self.names = list(prints)
+        self.least = np.array([least[name] for name in self.names])
+        self.keys = np.unique(np.concatenate(list(prints.values())))
+        # How often each fingerprint is in each template.
+        self.times = np.zeros((len(self.keys), len(self.names)), dtype=np.int32)
+        for t, values in enumerate(prints.values()):
+            np.add.at(self.times[:, t], np.searchsorted(self.keys, values), 1)
+
+    def shared(self, values: np.ndarray, places: np.ndarray) -> Iterator[tuple[str, int, np.ndarray]]:
+        """Templates that have enough of these fingerprints, with the number that is enough and the places of theirs."""
+        slots = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+        known = self.keys[slots] == values
+        slots, places = slots[known], places[known]
+        enough = self.times[np.unique(slots)].sum(axis=0) >= self.least
+        for t in np.flatnonzero(enough & (self.least <= len(slots))).tolist():
+            at = places[self.times[slots, t] > 0]
+            if len(at) >= self.least[t]:
+                yield self.names[t], int(self.least[t]), at
 
 
 class Index:
-    """Templates by word, long ones by fingerprint too."""
+    """Templates by fingerprint, for matches that cover at least `share` of one."""
 
-    def __init__(self, templates: dict[str, str], spdx: bool = False):
-        self.spdx = spdx
+    def __init__(self, templates: dict[str, str], spdx: bool = False, share: float = SHARE):
+        self.spdx, self.share = spdx, share
         self.numbers = Numbers()
         self.words = {name: split(text)[0] for name, text in templates.items()}
         if short := [name for name, words in self.words.items() if len(words) < LEAST]:
             raise ValueError(f"templates need {LEAST} words: {short}")
-        self.postings: dict[int, list[tuple[str, int]]] = defaultdict(list)
-        self.prints: dict[str, int] = {}
-        self.bits: dict[str, tuple[dict[str, int], dict[str, int]]] = {}
-        vocabulary = sorted({w for words in self.words.values() for w in words})
-        self.row = {w: i for i, w in enumerate(vocabulary)}
-        # How often each word is in each template; the last row is that of all other words.
-        self.times = np.zeros((len(vocabulary) + 1, len(self.words)), dtype=np.int32)
-        for t, (name, words) in enumerate(self.words.items()):
-            places: dict[str, list[int]] = defaultdict(list)
+        self.row = {w: i for i, w in enumerate(sorted({w for words in self.words.values() for w in words}))}
+        self.rows = {name: np.array([self.row[w] for w in words]) for name, words in self.words.items()}
+        self.known = {w: self.numbers[w] for w in self.row}
+        self.bits: dict[str, dict[str, int]] = {}
+        prints: dict[tuple[int, int], dict[str, np.ndarray]] = defaultdict(dict)
+        least: dict[str, int] = {}
+        for name, words in self.words.items():
+            places: dict[str, int] = defaultdict(int)
             for i, w in enumerate(words):
-                places[w].append(i)
-            for w, at in places.items():
-                self.times[self.row[w], t] = len(at)
-            n = len(words)
-            self.bits[name] = tuple(
-                {w: sum(1 << (n - 1 - i if back else i) for i in at) for w, at in places.items()} for back in (0, 1)
-            )
-            if n >= LONG:
-                values, at = self.fingerprints(words)
-                self.prints[name] = len(values)
-                for value, place in zip(values, at):
-                    self.postings[int(value)].append((name, int(place)))
-        self.keys = np.array(sorted(self.postings), dtype=np.uint64)
-
-    def fingerprints(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                places[w] |= 1 << i
+            self.bits[name] = dict(places)
+            k, window, least[name] = settings(len(words), share)
+            prints[k, window][name] = self.fingerprints(words, k, window)[0]
+        self.postings = {kind: Postings(found, least) for kind, found in prints.items()}
+
+    def fingerprints(self, words: list[str], k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        return winnowed(self.hashed(words), k, window)
+
+    def hashed(self, words: list[str]) -> np.ndarray:
         number = self.numbers
-        return winnowed(np.array([number[w] for w in words], dtype=np.uint64))
-
-    def begins(self, words: list[str]) -> dict[str, set[int]]:
-        """Long templates, with the places in the words where a quarter of their fingerprints say they begin."""
-        values, places = self.fingerprints(words)
-        found: dict[str, Counter] = defaultdict(Counter)
-        if len(self.keys) and len(values):
-            slot = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
-            for i in np.flatnonzero(self.keys[slot] == values).tolist():
-                for name, place in self.postings[int(values[i])]:
-                    found[name][int(places[i]) - place] += 1
-        return {name: {x for x, hits in at.items() if 4 * hits >= self.prints[name]} for name, at in found.items()}
-
-    def candidates(self, words: list[str], share: float) -> Iterator[tuple[str, list[int]]]:
-        """Templates, with the places in the words where they would begin: all that a match can need.
-
-        For a long template its words may be up to twice the band later than there.
-        """
-        rows = np.fromiter((self.row.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        names, shared = list(self.words), None
-        needs = [math.ceil(share * len(self.words[name]) - 1e-9) for name in names]
-        # The words that are there at all must be enough of the template's.
-        enough = self.times[np.unique(rows)].sum(axis=0) >= np.array(needs)
-        for t in np.flatnonzero(enough & (np.array(needs) <= len(words))).tolist():
-            name, need, n = names[t], needs[t], len(self.words[names[t]])
-            is_in = self.times[rows, t] > 0
-            band = band_of(n)
-            width = n + 2 * band
-            # dense[k]: the window of words from k - width on has as many words of the template as a match.
-            sums = np.zeros(len(words) + 2 * width + 1, dtype=np.int64)
-            sums[width + 1 : width + 1 + len(words)] = np.cumsum(is_in)
-            sums[width + 1 + len(words) :] = sums[width + len(words)]
-            dense = sums[width:] - sums[:-width] >= max(need, 1)
-            if not dense.any():
-                continue
-            if n < LONG:
-                starts = set((np.flatnonzero(dense) + band - width).tolist())
-            else:
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], dense.view(np.int8), [0]])))
-                starts = {
-                    min(k, last - 1) - width for first, last in edges.reshape(-1, 2).tolist()
-                    for k in range(first, last + band, band)
-                }
-                shared = self.begins(words) if shared is None else shared
-                for start in shared.get(name, ()):
-                    if 0 <= start - band + width < len(dense) and dense[start - band + width]:
-                        starts.add(start - band)
-            yield name, sorted(starts)
-
-
-def subsequence(bits: dict[str, int], n: int, words: Iterable[str]) -> tuple[int, int]:
-    """Words of the longest common subsequence with the template, and after how many words it is reached."""
+        return np.fromiter((number[w] for w in words), dtype=np.uint64, count=len(words))
+
+    def candidates(self, words: list[str]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+        """Templates, with the first and last of neighbouring places in the words where they may begin."""
+        # Other words may all have one value, as no shared fingerprint has any of them.
+        numbers = np.fromiter((self.known.get(w, 0) for w in words), dtype=np.uint64, count=len(words))
+        for (k, window), postings in self.postings.items():
+            for name, least, at in postings.shared(*winnowed(numbers, k, window)):
+                n = len(self.words[name])
+                band = band_of(n, self.share) + step_of(n, self.share) - 1
+                width = n + 2 * band
+                first, last = at[: len(at) - least + 1], at[least - 1 :] + k
+                near = last - first <= width
+                # Stretches from low to high on have that many of the fingerprints; a template begins a band behind.
+                low, high = (last[near] - width + band).tolist(), (first[near] + band).tolist()
+                ranges: list[tuple[int, int]] = []
+                for a, b in zip(low, high):
+                    if ranges and a <= ranges[-1][1] + 1:
+                        ranges[-1] = ranges[-1][0], max(b, ranges[-1][1])
+                    else:
+                        ranges.append((a, b))
+                if ranges:
+                    yield name, ranges
+
+
+def subsequence(bits: dict[str, int], n: int, words: Iterable[str]) -> int:
+    """How many words the longest common subsequence with the template has; no alignment has more."""
     full = (1 << n) - 1
-    left, most, end = full, 0, 0
-    for j, word in enumerate(words, 1):
+    left = full
+    for word in words:
         if mask := bits.get(word):
             met = left & mask
             left = ((left + met) | (left - met)) & full
-            if n - left.bit_count() > most:
-                most, end = n - left.bit_count(), j
-    return most, end
+    return n - left.bit_count()
 
 
-def aligned(template: list[str], words: list[str], start: int, band: int) -> tuple[int, int, int]:
-    """Matched words, and first and last + 1 word of the best alignment of the template with the words.
+# A state of an alignment is a number: its matched words, then how short its span is, then how early it begins.
+_FIELD = 21
+_MOST = (1 << _FIELD) - 1
+
+
+def alignments(template: np.ndarray, rows: np.ndarray, starts: np.ndarray, band: int) -> np.ndarray:
+    """Matched words, and first and last + 1 word of the best alignment around each start.
 
     Word i of the template may meet word start + i + d only with d from -band to band. Words skipped on either
-    side cost nothing; of equal alignments the one with the shortest span is taken.
+    side cost nothing; of equal alignments one with the shortest span is taken, of those the first.
     """
-    width = 2 * band + 1
-    # best[d]: matched, first matched word, last matched word + 1, of what has been aligned so far
-    empty = (0, 0, 0)
-    best = [empty] * width
-    rank = lambda s: (s[0], s[1] - s[2])
-    for i, word in enumerate(template):
-        fresh = [empty] * width
-        for x in range(width):
-            j = start + i + x - band
-            options = [best[x + 1]] if x + 1 < width else []  # template word left out
-            if x:
-                options.append(fresh[x - 1])  # a word of the text more
-            state = best[x]
-            if 0 <= j < len(words) and words[j] == word:
-                state = (state[0] + 1, state[1] if state[0] else j, j + 1)
-            options.append(state)
-            fresh[x] = max(options, key=rank)
-        best = fresh
-    return max(best, key=rank)
+    n, width = len(template), 2 * band + 1
+    if n + width > _MOST:
+        raise ValueError("the template is too long")
+    at = starts[:, None] - band + np.arange(n + width - 1)
+    around = np.where((at >= 0) & (at < len(rows)), rows[np.clip(at, 0, len(rows) - 1)], -1)
+    best = np.zeros((len(starts), width), dtype=np.int64)
+    for i in range(n):
+        fresh = best.copy()
+        line, x = np.nonzero(around[:, i : i + width] == template[i])
+        if len(line):
+            state, place = best[line, x], x + i
+            first = np.where(state > 0, _MOST - (state & _MOST), place)
+            matched = (state >> 2 * _FIELD) + 1
+            fresh[line, x] = matched << 2 * _FIELD | (_MOST - (place + 1 - first)) << _FIELD | (_MOST - first)
+        # A word of the template is left out, or any number of words of the text are.
+        np.maximum(fresh[:, :-1], best[:, 1:], out=fresh[:, :-1])
+        best = np.maximum.accumulate(fresh, axis=1)
+    state = best[:, -1]
+    span, first = _MOST - (state >> _FIELD & _MOST), _MOST - (state & _MOST) + starts - band
+    found = np.stack([state >> 2 * _FIELD, first, first + span], axis=1)
+    return np.where(state[:, None] > 0, found, 0)
+
+
+def aligned(template: list[str], words: list[str], start: int, band: int) -> tuple[int, int, int]:
+    """`alignments` of words around one start."""
+    row = {w: i for i, w in enumerate(dict.fromkeys(template))}
+    rows = np.array([row.get(w, -1) for w in words] or [-1])
+    return tuple(alignments(np.array([row[w] for w in template]), rows, np.array([start]), band)[0].tolist())
 
 
 def scan(text: str, index: Index, share: float) -> list[tuple[str, int, int, int, int]]:
     """template, its words, matched words, start and end (characters) of each match. None overlaps another of
     the same template, and none lies by half or more in a better match of another template."""
+    if share < index.share:
+        raise ValueError(f"the index is one for matches of at least {index.share}")
     words, spans = split(text)
     found = []
-    for name, starts in index.candidates(words, share):
-        template = index.words[name]
-        n, band = len(template), band_of(len(template))
-        ahead = 0 if n >= LONG else band
+    rows = None
+    for name, ranges in index.candidates(words):
+        n = len(index.words[name])
+        need, step = needed(n, share), step_of(n, index.share)
+        band = band_of(n, index.share) + step - 1
         tried: set[tuple[int, int, int]] = set()
-        for start in starts:
-            there = words[max(0, start - ahead) : max(0, start - ahead + n + 2 * band)]
-            matched, last = subsequence(index.bits[name][0], n, there)
-            if matched < share * n - 1e-9:
-                continue
-            if n >= LONG:
-                size = subsequence(index.bits[name][1], n, reversed(there[:last]))[1]
-                last += max(0, start)
-                tried.add((matched, last - size, last))
-            else:
-                matched, first, last = aligned(template, words, start, band)
-                if matched and matched >= share * n - 1e-9:
-                    tried.add((matched, first, last))
+        for low, high in ranges:
+            for a in range(low, high + 1, PLACES * step):
+                starts = np.arange(a, min(high + 1, a + PLACES * step), step)
+                there = words[max(0, a - band) : max(0, int(starts[-1]) + n + band)]
+                if subsequence(index.bits[name], n, there) < need:
+                    continue
+                if rows is None:
+                    rows = np.fromiter((index.row.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+                met = alignments(index.rows[name], rows, starts, band)
+                tried.update(map(tuple, met[met[:, 0] >= max(need, 1)].tolist()))
         taken: list[tuple[int, int, int]] = []
         for matched, first, last in sorted(tried, key=lambda t: (-t[0], t[2] - t[1], t[1])):
             if all(last <= a or b <= first for _, a, b in taken):
                 taken.append((matched, first, last))
-        found += [(name, len(template), m, spans[first][0], spans[last - 1][1]) for m, first, last in taken]
+        found += [(name, n, m, spans[first][0], spans[last - 1][1]) for m, first, last in taken]
     # A notice that lies by half or more in one that matches more words, or as many of fewer, is not one of its own.
     better = lambda g, f: (g[2], g[2] / g[1]) > (f[2], f[2] / f[1])
     whole = [
@@ -319,9 +354,9 @@ def scan(text: str, index: Index, share: float) -> list[tuple[str, int, int, int
 
 
 @lru_cache(maxsize=1)
-def common() -> Index:
+def common(share: float = SHARE) -> Index:
     """The index of TEMPLATES, made once for each Python process."""
-    return Index(TEMPLATES, spdx=True)
+    return Index(TEMPLATES, True, share)
 
 
 def matches(
@@ -331,15 +366,17 @@ def matches(
     """doc_id, template, n_words, n_matched, coverage, start, end (in characters) of each template's matches.
 
     `templates` are a parameter that each task holds, names to texts of at least LEAST words; the default are
-    TEMPLATES and, under the name spdx: and what it says, each SPDX-License-Identifier. Words of a match are displaced by at most the band (a fifth of the template's words, two at
-    least), or, for LONG templates, it spans at most the band more than the template. Null texts count as empty,
+    TEMPLATES and, under the name spdx: and what it says, each SPDX-License-Identifier. Words of a match are displaced
+    by at most the band: a fifth of the template's words, or as many as it may lack, two at least. All of these are
+    found for templates of fewer words than LONG; of LONG ones, all that span at most the band more than
+    the template, and others where they share enough fingerprints. Null texts count as empty,
     texts without a match give no row, null ids stay null, repeated rows are reported each, an empty table gives
     no rows, further columns are ignored.
     """
     chosen = None if templates is None else dict(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = common() if chosen is None else Index(chosen)
+        index = common(share) if chosen is None else Index(chosen, share=share)
         names = [c.split()[0] for c in MATCHES.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
         for batch in batches:

@@ -128,6 +128,50 @@ def test_all_alignments_that_cover_enough_are_found(seed):
                     assert found and found[0][2] >= matched
 
 
+@pytest.mark.parametrize(("share", "kind"), [(0.8, (2, 1)), (0.9, (2, 2)), (0.97, (3, 2)), (0.6, (1, 1))])
+def test_matches_share_as_many_fingerprints_as_the_index_asks_for(share, kind):
+    rng = random.Random(11)
+    for n in (61, 90, 200):
+        template = [f"w{rng.randrange(2 * n)}" for _ in range(n)]
+        index = licenses.Index({"t": " ".join(template)}, share=share)
+        k, window, least = licenses.settings(n, share)
+        assert (k, window) == kind and list(index.postings) == [kind]
+        prints = set(index.fingerprints(template, k, window)[0].tolist())
+        for _ in range(20):
+            # As many words lost as may be, and as many put in as the span may have, all apart.
+            words = list(template)
+            for i in rng.sample(range(n), n - licenses.needed(n, share)):
+                words[i] = None
+            for i in sorted(rng.sample(range(1, n), licenses.band_of(n, share)), reverse=True):
+                words.insert(i, "other")
+            words = [w for w in words if w]
+            assert sum(v in prints for v in index.fingerprints(words, k, window)[0].tolist()) >= least
+            assert [f[0] for f in licenses.scan(" ".join(["x"] * 50 + words + ["y"] * 50), index, share)] == ["t"]
+        assert not licenses.scan(" ".join(rng.sample(template, n)), index, share)
+
+
+def test_an_index_serves_no_lower_share():
+    index = licenses.Index({"t": "all rights are reserved here"}, share=0.9)
+    with pytest.raises(ValueError):
+        licenses.scan("all rights are reserved here", index, 0.8)
+
+
+def test_long_notices_are_measured_like_by_full_alignment():
+    rng = random.Random(5)
+    index = licenses.common()
+    template = index.words["mit"]
+    notice = list(template)
+    for _ in range(12):
+        notice[rng.randrange(len(notice))] = rng.choice(WORDS)
+        notice.insert(rng.randrange(len(notice)), rng.choice(WORDS))
+    words = rng.choices(WORDS, k=40) + notice + rng.choices(WORDS, k=40)
+    matched, first, last = best_alignment(template, words[30:-30])
+    text = " ".join(words)
+    found = [f for f in licenses.scan(text, index, 0.8) if f[0] == "mit"]
+    assert [f[2] for f in found] == [matched]
+    assert text[found[0][3] : found[0][4]].split() == words[30 + first : 30 + last]
+
+
 def text_of(name):
     return licenses.TEMPLATES[name]
 
