@@ -24,8 +24,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--sites", required=True, help="site table, Parquet or .csv")
     parser.add_argument("--out", required=True, help="folder of the saved tables")
     parser.add_argument("--groups", help="site group table; the home group if left out")
-    parser.add_argument("--split-lines", action="store_true",
-                        help="no report field holds a line break: split large files")
+    cut = parser.add_mutually_exclusive_group()
+    cut.add_argument("--split-lines", action="store_true",
+                     help="no report field holds a line break: split large files")
+    cut.add_argument("--blocks", action="store_true",
+                     help="read large files in parallel though their fields may hold line breaks")
     parser.add_argument("--gauge", help="stored gauge readings")
     parser.add_argument("--gauge-feed", help="a feed with a column per parameter, Parquet or .csv, "
                         "landed among the stored readings first")
@@ -51,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         groups = params.site_group_table(spark, [params.HOME_GROUP])
     as_of = args.as_of or dt.datetime.now(ZoneInfo(params.ZONE)).date()
-    line_breaks = not args.split_lines
+    line_breaks = reports.BLOCKS if args.blocks else not args.split_lines
     readings = None
     if args.gauge_feed:
         land_feed(spark, args.gauge_feed, args.gauge_site, args.gauge)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reddwatch.params import ZONE
+
 _HOME_A = "('5','6','7','8','9','10','11','12')"
 
 _DETECTIONS = """
@@ -369,11 +371,30 @@ ORACLE: dict[str, str] = {
 # A window served from a saved table gives the rows of the same window over the source.
 ORACLE["saved_series_window"] = ORACLE["discharge_series"]
 ORACLE["report_scan_split"] = ORACLE["report_scan"]
+ORACLE["report_scan_blocks"] = ORACLE["report_scan"]
 # What is restated or comes late ends in the state of the whole table.
 ORACLE["incremental_restated"] = ORACLE["incremental_detections"]
 ORACLE["incremental_late"] = ORACLE["incremental_daily"]
 
 ORACLE.update({
+    "zoned_passage": f"""
+      WITH seen AS (
+        SELECT user_id, date_trunc('second', ts + INTERVAL 62 DAY) AS wall FROM events),
+      placed AS (SELECT user_id, wall, epoch_us(wall AT TIME ZONE '{ZONE}') AS instant FROM seen)
+      SELECT user_id, cast(arg_min(wall, instant) AS date) AS first_date,
+             cast(arg_max(wall, instant) AS date) AS last_date,
+             round((max(instant) - min(instant)) / 86400e6, 8) AS yfk_diff
+      FROM placed GROUP BY user_id""",
+    "discharge_in_order": f"""
+      SELECT cast(user_id AS varchar) AS site_no, cast(ts AS date) AS date,
+             round(avg(CASE WHEN event_type = 'click' THEN value END), 8) AS mean_discharge,
+             row_number() OVER (PARTITION BY user_id ORDER BY cast(ts AS date)) AS place
+      FROM events WHERE event_type IN ('view', 'click') AND {_GAUGE_WINDOW.replace("date", "cast(ts AS date)", 1)}
+      GROUP BY user_id, cast(ts AS date)""",
+    "entries_until_today": f"""{_YEARS},{_INDIVIDUALS},{_DAILY}
+      SELECT yfk_final_date, cumulative_total, spawn_year,
+             row_number() OVER (PARTITION BY spawn_year ORDER BY yfk_final_date) AS place
+      FROM daily WHERE yfk_final_date BETWEEN DATE '1998-03-01' AND current_date""",
     "gauge_landed_twice": """
       SELECT site_no, cast(ts AS date) AS date, event_type AS parameter_cd,
              count(*) AS n_readings, round(sum(value), 4) AS total

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reddwatch import schemas
 from reddwatch.checks import tables as t
+from reddwatch.functions.times import elapsed_days, parse_obs_time
 from reddwatch.operators import detections as det
 from reddwatch.operators import gauges, lengths, watch
 from reddwatch.operators.daily import daily_entries
@@ -29,7 +30,7 @@ from reddwatch.operators.passage import (
     release_info,
     tag_summary,
 )
-from reddwatch.params import DISCHARGE, TEMPERATURE, site_group_table
+from reddwatch.params import DISCHARGE, TEMPERATURE, ZONE, site_group_table
 from reddwatch.plans import batch, serving
 from reddwatch.session import workspace
 from reddwatch.sources import dimensions, published, reports
@@ -110,8 +111,10 @@ def _individuals_out(kept: DataFrame) -> DataFrame:
 
 # Sources.
 
-def report_scan(spark: SparkSession, sf: str, line_breaks: bool = True) -> DataFrame:
-    report = reports.read_report(spark, t.land_report(spark, sf), line_breaks=line_breaks)
+def report_scan(
+    spark: SparkSession, sf: str, line_breaks: bool | str = True, land=t.land_report
+) -> DataFrame:
+    report = reports.read_report(spark, land(spark, sf), line_breaks=line_breaks)
     return t.as_longs(
         det.conform(report).withColumn(
             "observation_datetime", F.col("observation_datetime").cast("timestamp_ntz")
@@ -124,6 +127,28 @@ def report_scan_split(spark: SparkSession, sf: str) -> DataFrame:
     return report_scan(spark, sf, line_breaks=False)
 
 
+def report_scan_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Files whose fields hold line breaks, read block by block."""
+    return report_scan(spark, sf, line_breaks=reports.BLOCKS, land=t.land_report_with_notes)
+
+
+def zoned_passage(spark: SparkSession, sf: str) -> DataFrame:
+    """Times as a report writes them, read in its zone: first and last day of a user and the days between, which
+    hold the hour that is left out in spring."""
+    local = spark.newSession()
+    local.conf.set("spark.sql.session.timeZone", ZONE)
+    seen = t.table(local, sf, "events").select(
+        "user_id",
+        parse_obs_time(
+            F.date_format(F.col("ts") + F.expr("interval 62 days"), "MM/dd/yyyy hh:mm:ss a")
+        ).alias("time"),
+    )
+    return seen.groupBy("user_id").agg(F.min("time").alias("first"), F.max("time").alias("last")).select(
+        "user_id", F.to_date("first").alias("first_date"), F.to_date("last").alias("last_date"),
+        F.round(elapsed_days("first", "last"), 8).alias("yfk_diff"),
+    )
+
+
 def downstream_scan(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_tags(reports.read_downstream(spark, t.land_downstream(spark, sf)))
 
@@ -371,6 +396,19 @@ def flow_by_site(spark: SparkSession, sf: str) -> DataFrame:
 
 # Served result sets.
 
+
+def discharge_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of the days in each gauge's series, in the order in which it is served."""
+    served = serving.discharge_series(flow_by_site(spark, sf), *WINDOW, keys=["site_no"])
+    return t.as_longs(t.in_order(served.drop("text", "group"), "site_no"))
+
+
+def entries_until_today(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals from a day up to the current date, numbered as they are served."""
+    daily = daily_entries(_yearly_individuals(spark, sf))
+    served = serving.year_to_date(daily, dt.date(1998, 3, 1), None)
+    return t.as_longs(t.in_order(served.drop("text"), "spawn_year"))
+
 def discharge_series(spark: SparkSession, sf: str) -> DataFrame:
     return t.as_longs(serving.discharge_series(_flow_line(spark, sf), *WINDOW))
 
@@ -630,6 +668,10 @@ def reports_set_aside(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "report_scan": report_scan,
     "report_scan_split": report_scan_split,
+    "report_scan_blocks": report_scan_blocks,
+    "zoned_passage": zoned_passage,
+    "discharge_in_order": discharge_in_order,
+    "entries_until_today": entries_until_today,
     "downstream_scan": downstream_scan,
     "report_rejects": report_rejects,
     "sites_scan": sites_scan,

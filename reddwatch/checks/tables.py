@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,6 +208,25 @@ def land_mixed_reports(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def land_report_with_notes(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as report files with a column of notes that hold line breaks, commas and quotes."""
+    rows = report_rows(spark, sf_dir)
+    tag = F.col(schemas.REPORT_HEADERS["tag"])
+    note = F.when(F.pmod(F.xxhash64(tag), F.lit(3)) == 0, F.concat(F.lit('seen "twice",\n\n"'), tag, F.lit('",\nand gone')))
+    folder = workspace(spark, "notes")
+    rows.withColumn("Notes", F.coalesce(note, F.lit('no "notes"'))).write.options(
+        header=True, encoding="UTF-16LE", escape='"'
+    ).csv(folder)
+    return folder
+
+
+def in_order(served: DataFrame, *keys: str) -> DataFrame:
+    """The rows with their place within a key, in the order in which they are served."""
+    served = served.withColumn("row", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("row"))
+    return served.withColumn("place", place).drop("row")
+
+
 def land_downstream(spark: SparkSession, sf_dir: str) -> str:
     """Write the line items' supplier tags as a downstream report."""
     folder = workspace(spark, "downstream")

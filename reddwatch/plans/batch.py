@@ -150,7 +150,7 @@ def run_batch(
     store: Store,
     readings: DataFrame | None = None,
     as_of: dt.date | None = None,
-    line_breaks: bool = True,
+    line_breaks: bool | str = True,
 ) -> None:
     """Reports to saved tables for all groups and seasons, and the flow series if given.
 

@@ -135,7 +135,7 @@ def ingest_reports(
     downstream: DataFrame,
     sites: DataFrame,
     max_files_per_trigger: int | None = None,
-    line_breaks: bool = True,
+    line_breaks: bool | str = True,
 ) -> None:
     """Take in newly landed detection reports, and set aside the files that are none."""
     require_zone(spark)
@@ -146,7 +146,7 @@ def ingest_reports(
 
 
 def landed_reader(
-    spark: SparkSession, line_breaks: bool = True
+    spark: SparkSession, line_breaks: bool | str = True
 ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     """What reads the reports that a batch of file names names."""
 

@@ -37,8 +37,9 @@ def counts(spark, tmp_path):
     }
 
 
-def test_batch(spark, tmp_path, landed):
-    main(["batch", *landed, "--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"])
+@pytest.mark.parametrize("cut", [[], ["--blocks"], ["--split-lines"]])
+def test_batch(spark, tmp_path, landed, cut):
+    main(["batch", *landed, *cut, "--gauge", f"{tmp_path}/gauge", "--as-of", "2025-04-18"])
     assert counts(spark, tmp_path) == {"individuals": 7, "daily": 4, "locations": 9}
     flow = published.read(spark, f"{tmp_path}/out", "flow")
     assert g.rows_of(flow, "date", "mean_discharge") == [
