@@ -21,8 +21,6 @@ _LEFT_OPEN = rf'^{_BLANKS}"{_QUOTED}$'
 _ALL_QUOTED = rf"^{_QUOTED}$"
 _REST_OF_QUOTED = rf'^{_QUOTED}"[^,]*+,?'
 
-RECORD = ("file", "time", "first", "value")
-
 
 def ends_in_quotes(line: Column, begins_in_quotes: bool) -> Column:
     """1 if the reader is in quotes at the end of the line, else 0."""
@@ -55,69 +53,82 @@ def lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
 def records(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
     """file, time, first (is it the file's first record?) and value, one row for each record, its line breaks included.
 
-    A block's lines are sorted in one task. Records that end in a later block are put together from a piece for
-    each block. An opening quote without an end makes one record of all that follows, as it does for a reader of whole files.
+    A block's lines are sorted in one task, and only the lines of records that have several are moved once more. An
+    opening quote without an end makes one record of all that follows, as it does for a reader of whole files.
     """
-    in_block = Window.partitionBy("file", "block").orderBy("place")
-    until_here = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    # A line's function takes both states to one (`set`), or turns them round (`turn`), or changes nothing.
     read = lines(spark, paths, encoding).select(
         "*", ends_in_quotes(F.col("line"), False).alias("out"), ends_in_quotes(F.col("line"), True).alias("in"),
-    ).select("file", "time", "block", "place", "line", *_function("out", "in"))
-    # After a line that sets the state it is `set` and the turns since, so `mark` and all turns, by parity.
-    read = read.withColumn("turns", F.sum("turn").over(until_here))
-    read = read.withColumn("mark", F.col("set").bitwiseXOR(F.col("turns") % 2))
-    entered = _entries(read)
-    read = read.withColumns({
-        "last_mark": F.last("mark", ignorenulls=True).over(before),
-        "turns_before": F.coalesce(F.sum("turn").over(before), F.lit(0)),
-    }).join(entered, ["file", "block"])
+    ).select(
+        "file", "time", "block", "place", "line", *_function("out", "in"),
+    )
+    placed = _composed(read.join(_entries(read), ["file", "block"]), "file", "block", "place")
     inside = (F.coalesce("last_mark", "entry") + F.col("turns_before")) % 2
-    # Lines before the block's first record (number 0) belong to the last record of an earlier block.
-    numbered = read.withColumn("number", F.sum(1 - inside).over(until_here))
-    parts = numbered.groupBy("file", "block", "number").agg(
-        F.first("time").alias("time"), F.first("exit").alias("exit"), _joined("place", "line").alias("value"),
+    in_block = Window.partitionBy("file", "block").orderBy("place")
+    numbered = placed.withColumn("inside", inside).select(
+        "file", "time", "block", "place", "line", "inside",
+        F.coalesce(F.lead("inside").over(in_block), "exit").alias("goes_on"),
+        # Lines before the block's first record (number 0) belong to one of an earlier block.
+        F.sum(1 - F.col("inside")).over(in_block.rowsBetween(Window.unboundedPreceding, 0)).alias("number"),
+        "home",
     )
-    last = F.max("number").over(Window.partitionBy("file", "block"))
-    parts = parts.withColumn("piece", (F.col("number") == 0) | ((F.col("number") == last) & (F.col("exit") == 1)))
-    first = (F.col("block") == 0) & (F.col("number") == 1)
-    whole = parts.filter(~F.col("piece")).select("file", "time", first.alias("first"), "value")
-    chain = F.sum(F.when(F.col("number") > 0, 1).otherwise(0)).over(
-        Window.partitionBy("file").orderBy("block", "number").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = numbered.withColumn(
+        "record", F.when(F.col("number") > 0, F.struct("block", "number")).otherwise(F.col("home"))
+    ).withColumn("first", (F.col("record.block") == 0) & (F.col("record.number") == 1))
+    alone = (F.col("inside") == 0) & (F.col("goes_on") == 0)
+    several = numbered.filter(~alone).groupBy("file", "record").agg(
+        F.first("time").alias("time"), F.first("first").alias("first"),
+        F.array_sort(F.collect_list(F.struct("block", "place", "line"))).alias("lines"),
     )
-    chained = parts.filter("piece").withColumn("chain", chain).groupBy("file", "chain").agg(
-        F.first("time").alias("time"), F.max(first).alias("first"), _joined("block", "number", "value").alias("value"),
+    return numbered.filter(alone).select("file", "time", "first", F.col("line").alias("value")).unionByName(
+        several.select("file", "time", "first", F.array_join("lines.line", "\n").alias("value"))
     )
-    return whole.unionByName(chained.select(*RECORD))
 
 
 def _function(out: str, into: str) -> tuple[Column, Column]:
+    """What a line does to the state: it takes both to one (`set`), or turns them round (`turn`), or changes nothing."""
     return (
-        F.when(F.col(out) == F.col(into), F.col(out)).alias("set"),
+        F.when(F.col(out) == F.col(into), F.col(out)).cast("long").alias("set"),
         F.when(F.col(out) > F.col(into), 1).otherwise(0).cast("long").alias("turn"),
     )
 
 
+def _composed(rows: DataFrame, *keys_and_order: str) -> DataFrame:
+    """With the functions of all rows before a row of its group as one: after a row that sets the state it is `set`
+    and the turns since, which is `last_mark` and all turns, by parity."""
+    *keys, order = keys_and_order
+    window = Window.partitionBy(*keys).orderBy(order)
+    until_here = window.rowsBetween(Window.unboundedPreceding, 0)
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("turns", F.sum("turn").over(until_here))
+    rows = rows.withColumn("mark", F.col("set").bitwiseXOR(F.col("turns") % 2))
+    return rows.withColumns({
+        "last_mark": F.last("mark", ignorenulls=True).over(before),
+        "turns_before": F.col("turns") - F.col("turn"),
+    })
+
+
 def _entries(read: DataFrame) -> DataFrame:
-    """For each block whether its first line begins in quotes (entry) and whether its last one ends so (exit)."""
-    blocks = read.groupBy("file", "block").agg(
+    """For each block whether its first line begins in quotes (entry) and the line after it does (exit), and the record
+    that its first line goes on with, if it does: the block it begins in and its number there (home)."""
+    composed = _composed(read.drop("line", "time"), "file", "block", "place")
+    starts = [1 - (F.coalesce("last_mark", F.lit(state)) + F.col("turns_before")) % 2 for state in (0, 1)]
+    blocks = composed.groupBy("file", "block").agg(
         F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("place"))).alias("mark"),
-        F.sum("turn").alias("turn"),
-    ).select("file", "block", F.col("mark").bitwiseXOR(F.col("turn") % 2).alias("set"),
-             # A block that sets the state leaves it the same for both; its turns are in `set`.
-             F.when(F.col("mark").isNull(), F.col("turn") % 2).otherwise(0).alias("turn"))
-    in_file = Window.partitionBy("file").orderBy("block")
-    blocks = blocks.withColumn("turns", F.sum("turn").over(in_file.rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = blocks.withColumn("mark", F.col("set").bitwiseXOR(F.col("turns") % 2))
-    mark = F.last("mark", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, 0))
-    blocks = blocks.withColumn("exit", (F.coalesce(mark, F.lit(0)) + F.col("turns")) % 2)
-    return blocks.select(
-        "file", "block", F.coalesce(F.lag("exit").over(in_file), F.lit(0)).alias("entry"), "exit"
+        F.sum("turn").alias("turn"), F.sum(starts[0]).alias("starts_0"), F.sum(starts[1]).alias("starts_1"),
+    ).select(
+        "file", "block", "starts_0", "starts_1", (F.col("turn") % 2).alias("turn"),
+        F.col("mark").bitwiseXOR(F.col("turn") % 2).alias("set"),
+    )
+    # A block that sets the state leaves it the same for both; its turns are in `set` already.
+    blocks = _composed(
+        blocks.withColumn("turn", F.when(F.col("set").isNull(), F.col("turn")).otherwise(0)), "file", "block"
+    )
+    entry = (F.coalesce("last_mark", F.lit(0)) + F.col("turns_before")) % 2
+    blocks = blocks.withColumn("entry", entry)
+    leaving = F.coalesce("set", (F.col("entry") + F.col("turn")) % 2)
+    begun = F.when(F.col("entry") == 1, F.col("starts_1")).otherwise(F.col("starts_0"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.when(begun > 0, F.struct("block", begun.alias("number")))
+    return blocks.withColumn("last", last).select(
+        "file", "block", "entry", leaving.alias("exit"), F.last("last", ignorenulls=True).over(before).alias("home")
     )
-
-
-def _joined(*order_and_text: str) -> Column:
-    """Texts of a group in their order, with line breaks between them."""
-    rows = F.array_sort(F.collect_list(F.struct(*order_and_text)))
-    return F.array_join(F.transform(rows, lambda row: row[order_and_text[-1]]), "\n")
